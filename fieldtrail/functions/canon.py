@@ -25,6 +25,10 @@ def declared_type(prop_type: str, files_handling: str = "bool") -> T.DataType:
     return DECLARED_TYPES.get(prop_type, T.StringType())
 
 
+def is_fractional(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _FRACTIONAL)
+
+
 def _double_text(x: Column) -> Column:
     """Shortest decimal text of a double: plain between 1e-4 and 1e16, scientific outside."""
     java = x.cast("string")
@@ -53,7 +57,7 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
         return col
     if isinstance(dtype, T.BooleanType):
         return col.cast("int").cast("string")
-    if isinstance(dtype, _FRACTIONAL):
+    if is_fractional(dtype):
         return F.when(col.isNotNull(), _double_text(col.cast("double")))
     return col.cast("string")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtrail.functions.canon import canonical_text, differs
+from fieldtrail.functions.canon import canonical_text, differs, is_fractional
 from fieldtrail.functions.names import SYSTEM_COLUMNS
 from fieldtrail.operators import skew
 
@@ -51,6 +51,30 @@ def change_id(page_id: Column, field: Column, detected_at: Column) -> Column:
     return F.sha2(F.concat_ws("|", page_id, field, detected_at), 256)
 
 
+# A changed field leaves the Generate as (field, text or number per side). The long text
+# rule for numbers is applied once per record afterwards, which keeps the generated code
+# of the wide side small.
+
+
+def _sided(side: str, value: Column, dtype: T.DataType) -> list[Column]:
+    number = is_fractional(dtype)
+    nothing = F.lit(None)
+    return [
+        (nothing.cast("string") if number else canonical_text(value, dtype)).alias(f"_{side}_text"),
+        (value.cast("double") if number else nothing.cast("double")).alias(f"_{side}_number"),
+    ]
+
+
+def _value_text(side: str) -> Column:
+    number = canonical_text(F.col(f"_{side}_number"), T.DoubleType())
+    return F.coalesce(F.col(f"_{side}_text"), number).alias(f"{side}_value")
+
+
+def _entry(field: str, changed: Column, values: list[Column], **ids: Column) -> Column:
+    members = [F.lit(field).alias("field"), *values, *[col.alias(name) for name, col in ids.items()]]
+    return F.when(changed, F.struct(*members))
+
+
 def detect_changes(
     batch: DataFrame,
     prev: DataFrame,
@@ -88,27 +112,22 @@ def detect_changes(
             return F.lit(None).cast("string")
         return F.col(f"_p.{shadow}" if side == "_p" else shadow).cast("string")
 
-    records = []
+    entries = []
     for field in fields:
-        new = F.col(field)
+        new, new_type = F.col(field), types[field]
         if field == "page_id":
             old, old_type = F.col("_key"), stored_types["page_id"]
         elif field in stored_types:
             old, old_type = F.col(f"_p.{field}"), stored_types[field]
         else:
-            old, old_type = F.lit(None).cast("string"), types[field]
-            old = old.cast(types[field])
-        changed = unseen | differs(old, old_type, new, types[field])
-        records.append(
-            F.when(
-                changed,
-                F.struct(
-                    F.lit(field).alias("field"),
-                    F.when(~unseen, canonical_text(old, old_type)).alias("old_value"),
-                    canonical_text(new, types[field]).alias("new_value"),
-                    option_id(field, "_p").alias("old_value_id"),
-                    option_id(field, "batch").alias("new_value_id"),
-                ),
+            old, old_type = F.lit(None).cast(new_type), new_type
+        entries.append(
+            _entry(
+                field,
+                unseen | differs(old, old_type, new, new_type),
+                _sided("old", F.when(~unseen, old), old_type) + _sided("new", new, new_type),
+                old_value_id=option_id(field, "_p"),
+                new_value_id=option_id(field, "batch"),
             )
         )
     created = canonical_text(F.col("created_time"), types["created_time"]) if "created_time" in types else F.lit(run_ts)
@@ -117,15 +136,15 @@ def detect_changes(
         joined.select(
             F.col("page_id").cast("string").alias("page_id"),
             F.when(unseen, created).otherwise(detected).alias("valid_from"),
-            F.inline(F.array(*records)),
+            F.inline(F.array(*entries)),
         )
         .where(F.col("field").isNotNull())
         .select(
             change_id(F.col("page_id"), F.col("field"), detected).alias("id"),
             "page_id",
             "field",
-            "old_value",
-            "new_value",
+            _value_text("old"),
+            _value_text("new"),
             "old_value_id",
             "new_value_id",
             "valid_from",
@@ -151,14 +170,11 @@ def change_log(
     slim = versions.select(key, *[c for c in order if c != key], *[c for c in cols if c not in order and c != key])
     paired = skew.ordered_neighbours(slim, [key], order, previous=cols, min_rows=min_hot_rows)
     first = F.col("_prev").isNull()
-    records = [
-        F.when(
+    entries = [
+        _entry(
+            field,
             first | differs(F.col(f"_prev.{c}"), types[c], F.col(c), types[c]),
-            F.struct(
-                F.lit(field).alias("field"),
-                F.when(~first, canonical_text(F.col(f"_prev.{c}"), types[c])).alias("old_value"),
-                canonical_text(F.col(c), types[c]).alias("new_value"),
-            ),
+            _sided("old", F.col(f"_prev.{c}"), types[c]) + _sided("new", F.col(c), types[c]),
         )
         for field, c in values.items()
     ]
@@ -167,7 +183,8 @@ def change_log(
             F.col(key).cast("string").alias("page_id"),
             *order,
             first.alias("is_initial"),
-            F.inline(F.array(*records)),
+            F.inline(F.array(*entries)),
         )
         .where(F.col("field").isNotNull())
+        .select("page_id", *order, "is_initial", "field", _value_text("old"), _value_text("new"))
     )

@@ -35,18 +35,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS) -
     )
 
 
-def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, min_rows: int) -> DataFrame:
+def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFrame) -> DataFrame:
     """Adds ``_chunk``: 0 for ordinary keys, the rank of the order range for hot ones."""
-    hot = F.broadcast(hot_keys(df, keys, min_rows))
-    shares = [i / HOT_MAX_PARTS for i in range(1, HOT_MAX_PARTS)]
+    hot = F.broadcast(hot)
+    shares = ",".join(str(i / HOT_MAX_PARTS) for i in range(1, HOT_MAX_PARTS))
     quantiles = (
         df.select(*keys, ordinate)
         .join(hot, list(keys))
         .groupBy(*keys, "_parts")
-        .agg(F.percentile_approx(ordinate, shares, 10 * HOT_MAX_PARTS).alias("_q"))
+        .agg(
+            F.percentile_approx(
+                ordinate, F.split(F.lit(shares), ",").cast("array<double>"), 10 * HOT_MAX_PARTS
+            ).alias("_q")
+        )
     )
     # Thin the fixed quantile grid to the parts this key needs.
-    every = (F.lit(HOT_MAX_PARTS) / F.col("_parts")).alias("every")
+    every = F.lit(HOT_MAX_PARTS) / F.col("_parts")
     cuts = quantiles.select(
         *keys,
         F.array_distinct(
@@ -89,22 +93,30 @@ def ordered_neighbours(
     per ``running_sum`` entry (name -> summed column). ``order[0]`` must be numeric,
     date or timestamp and the whole order must be unique within a key.
 
-    Chunks follow the order, so a window over (key, chunk) is right everywhere but at
-    chunk edges; those come from one summary row per hot chunk.
+    Whether any key is hot is counted first, over the key columns alone. Without one
+    this is a plain window per key. Otherwise hot keys are cut into chunks that follow
+    the order: a window over (key, chunk) is then right everywhere but at chunk edges,
+    and those come from one summary row per chunk.
     """
     sums = running_sum or {}
-    chunked = _with_chunk(df, keys, order[0], min_rows)
-    part = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    hot = hot_keys(df, keys, min_rows)
+    split = not hot.isEmpty()
+    chunked = _with_chunk(df, keys, order[0], hot) if split else df
+    part = Window.partitionBy(*keys, *(["_chunk"] if split else [])).orderBy(*order)
     upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    windowed = {"_seq0": F.row_number().over(part).cast("long")}
+    windowed = {"_seq": F.row_number().over(part).cast("long")}
     if previous:
-        windowed["_prev0"] = F.lag(F.struct(*previous)).over(part)
+        windowed["_prev"] = F.lag(F.struct(*previous)).over(part)
     if following:
-        windowed["_next0"] = F.lead(F.struct(*following)).over(part)
+        windowed["_next"] = F.lead(F.struct(*following)).over(part)
     for name, col in sums.items():
-        windowed[f"_sum0_{name}"] = F.sum(col).over(upto)
+        windowed[name] = F.sum(col).over(upto)
+    within = chunked.withColumns(windowed)
+    if not split:
+        return within
 
+    # One summary row per chunk of a hot key, then what each chunk takes from the others.
     rank = F.struct(*order)
     summaries = [F.count(F.lit(1)).alias("_rows")]
     if previous:
@@ -114,7 +126,7 @@ def ordered_neighbours(
     summaries += [F.sum(col).alias(f"_total_{name}") for name, col in sums.items()]
     edge = Window.partitionBy(*keys).orderBy("_chunk")
     before = edge.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before")]
+    carried = [F.sum("_rows").over(before).alias("_rows_before")]
     if previous:
         carried.append(F.lag("_tail").over(edge).alias("_carry_prev"))
     if following:
@@ -122,15 +134,21 @@ def ordered_neighbours(
     carried += [F.sum(f"_total_{name}").over(before).alias(f"_before_{name}") for name in sums]
     edges = chunked.where("_hot").groupBy(*keys, "_chunk").agg(*summaries).select(*keys, "_chunk", *carried)
 
-    joined = chunked.withColumns(windowed).join(F.broadcast(edges), [*keys, "_chunk"], "left")
-    out = [*df.columns, (F.col("_seq0") + F.coalesce("_rows_before", F.lit(0))).alias("_seq")]
+    whole = {"_seq": F.col("_seq") + F.coalesce("_rows_before", F.lit(0))}
     if previous:
-        out.append(F.coalesce("_prev0", "_carry_prev").alias("_prev"))
+        whole["_prev"] = F.coalesce("_prev", "_carry_prev")
     if following:
-        out.append(F.coalesce("_next0", "_carry_next").alias("_next"))
+        whole["_next"] = F.coalesce("_next", "_carry_next")
     for name in sums:
-        out.append((F.col(f"_sum0_{name}") + F.coalesce(F.col(f"_before_{name}"), F.lit(0))).alias(name))
-    return joined.select(*out)
+        # A total of only NULLs before this chunk leaves the running sum as it is.
+        whole[name] = F.when(F.col(f"_before_{name}").isNull(), F.col(name)).otherwise(
+            F.coalesce(F.col(name), F.lit(0)) + F.col(f"_before_{name}")
+        )
+    return (
+        within.join(F.broadcast(edges), [*keys, "_chunk"], "left")
+        .withColumns(whole)
+        .select(*df.columns, *windowed)
+    )
 
 
 def salted_join(
@@ -146,7 +164,10 @@ def salted_join(
     A hot key's rows are spread over salts by a hash of ``spread_by`` and its single
     partner row is repeated once per salt, so no task holds the whole key.
     """
-    hot = F.broadcast(hot_keys(many, keys, min_rows))
+    hot = hot_keys(many, keys, min_rows)
+    if hot.isEmpty():
+        return many.join(one, list(keys), how)
+    hot = F.broadcast(hot)
     salt = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread_by), F.col("_parts").cast("long")).cast("int")
     )
