@@ -158,7 +158,6 @@ def change_log(
     key: str,
     order: Sequence[str],
     values: dict[str, str],
-    min_hot_rows: int = skew.HOT_MIN_ROWS,
 ) -> DataFrame:
     """O-C3: the records repeated runs of O-C2 would emit, from all versions at once.
 
@@ -168,7 +167,7 @@ def change_log(
     types = {f.name: f.dataType for f in versions.schema}
     cols = list(dict.fromkeys(values.values()))
     slim = versions.select(key, *[c for c in order if c != key], *[c for c in cols if c not in order and c != key])
-    paired = skew.ordered_neighbours(slim, [key], order, previous=cols, min_rows=min_hot_rows)
+    paired = skew.ordered_neighbours(slim, [key], order, previous=cols)
     first = F.col("_prev").isNull()
     entries = [
         _entry(

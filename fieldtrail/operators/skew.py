@@ -24,11 +24,12 @@ HOT_MAX_PARTS = 4096
 BROADCAST_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Keys worth splitting, with the number of parts. One pass over the key columns,
     combined map-side, so a hot key reaches the shuffle as one row per task."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cutoff = counts.agg(F.greatest(F.lit(float(min_rows)), F.sum("_n") / F.lit(HOT_MAX_KEYS))).scalar()
+    floor = float(HOT_MIN_ROWS if min_rows is None else min_rows)
+    cutoff = counts.agg(F.greatest(F.lit(floor), F.sum("_n") / F.lit(HOT_MAX_KEYS))).scalar()
     return (
         counts.where(F.col("_n") > cutoff)
         .select(*keys, F.least(F.lit(HOT_MAX_PARTS), F.ceil(F.col("_n") / cutoff) + 1).cast("int").alias("_parts"))
@@ -77,6 +78,15 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFram
     )
 
 
+def hot_keys_if_any(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
+    """The hot keys, or None when a count over the key columns finds none."""
+    hot = hot_keys(df, keys, min_rows)
+    return None if hot.isEmpty() else hot
+
+
+_COUNT = object()
+
+
 def ordered_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -84,7 +94,7 @@ def ordered_neighbours(
     previous: Sequence[str] = (),
     following: Sequence[str] = (),
     running_sum: dict[str, str] | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    hot=_COUNT,
 ) -> DataFrame:
     """``lag``, ``lead`` and running sums per key, exact also when one key is huge.
 
@@ -96,11 +106,13 @@ def ordered_neighbours(
     Whether any key is hot is counted first, over the key columns alone. Without one
     this is a plain window per key. Otherwise hot keys are cut into chunks that follow
     the order: a window over (key, chunk) is then right everywhere but at chunk edges,
-    and those come from one summary row per chunk.
+    and those come from one summary row per chunk. A caller with several passes over
+    one table counts once (``hot_keys_if_any``) and hands the outcome on as ``hot``.
     """
     sums = running_sum or {}
-    hot = hot_keys(df, keys, min_rows)
-    split = not hot.isEmpty()
+    if hot is _COUNT:
+        hot = hot_keys_if_any(df, keys)
+    split = hot is not None
     chunked = _with_chunk(df, keys, order[0], hot) if split else df
     part = Window.partitionBy(*keys, *(["_chunk"] if split else [])).orderBy(*order)
     upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -157,15 +169,14 @@ def salted_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """Equi-join of many rows per key with at most one row per key.
 
     A hot key's rows are spread over salts by a hash of ``spread_by`` and its single
     partner row is repeated once per salt, so no task holds the whole key.
     """
-    hot = hot_keys(many, keys, min_rows)
-    if hot.isEmpty():
+    hot = hot_keys_if_any(many, keys)
+    if hot is None:
         return many.join(one, list(keys), how)
     hot = F.broadcast(hot)
     salt = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(

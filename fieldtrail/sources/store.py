@@ -1,0 +1,142 @@
+"""Versioned Parquet tables with one commit point (O-S6, O-S7, O-E10, O-E14).
+
+A publish writes new table folders, then one small manifest dataset naming, per table,
+the folders that make it up. Readers follow the newest manifest, so several tables and
+the watermark change together or not at all, and appends never rewrite what is there.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fieldtrail.operators.diff import CHANGES_SCHEMA
+
+
+def _text_table(*columns: str) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+PAGES_SCHEMA = _text_table("page_id", "created_time", "last_edited_time", "url", "content_text")
+COMMENTS_SCHEMA = _text_table("comment_id", "page_id", "created_time", "last_edited_time", "text")
+SCHEMA_REGISTRY = _text_table(
+    "table_name", "property_id", "property_name", "column_name", "property_type", "first_seen", "last_seen"
+)
+OPTION_REGISTRY = _text_table(
+    "table_name", "property_id", "option_id", "option_name", "option_group", "first_seen", "last_seen"
+)
+BACKUP_REGISTRY = _text_table("table_name", "column_name", "backup_column", "type", "created_at")
+
+_EMPTY = {"_schema": SCHEMA_REGISTRY, "_options": OPTION_REGISTRY, "_backups": BACKUP_REGISTRY}
+_SUFFIXES = {"_pages": PAGES_SCHEMA, "_changes": CHANGES_SCHEMA, "_comments": COMMENTS_SCHEMA}
+#: Each publish of a table is one folder; its name is a partition value no reader sees.
+_SEGMENT = "_segment"
+_MANIFEST = "version long, kind string, name string, value string"
+
+
+class Store:
+    """Tables under one root folder; one writer at a time, any number of readers."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self._current: tuple[int, dict[str, list[str]], dict[str, str]] | None = None
+
+    # -- reading ---------------------------------------------------------------------
+
+    def refresh(self) -> None:
+        """Look for a newer version at the next read; a store keeps to the one it found."""
+        self._current = None
+
+    def _manifest(self) -> tuple[int, dict[str, list[str]], dict[str, str]]:
+        """Version, table folders and metadata: a handful of rows."""
+        if self._current is None:
+            rows = []
+            if self._has_manifest():
+                versions = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest/*")
+                rows = versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).collect()
+            tables: dict[str, list[str]] = {}
+            for row in sorted((r for r in rows if r.kind == "table"), key=lambda r: r.value):
+                tables.setdefault(row.name, []).append(row.value)
+            self._current = (
+                rows[0].version if rows else 0,
+                tables,
+                {r.name: r.value for r in rows if r.kind == "meta"},
+            )
+        return self._current
+
+    def _has_manifest(self) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+    def tables(self) -> list[str]:
+        return sorted(self._manifest()[1])
+
+    def exists(self, name: str) -> bool:
+        return name in self._manifest()[1]
+
+    def read(self, name: str) -> DataFrame:
+        """The current rows; a table never written is empty with its fixed columns."""
+        folders = self._manifest()[1].get(name)
+        if folders:
+            # Appended folders may be older than a column; their rows read as NULL there.
+            reader = self.spark.read.option("basePath", f"{self.root}/{name}")
+            reader = reader.option("mergeSchema", str(len(folders) > 1).lower())
+            return reader.parquet(*[f"{self.root}/{folder}" for folder in folders]).drop(_SEGMENT)
+        schema = _EMPTY.get(name) or next((s for suffix, s in _SUFFIXES.items() if name.endswith(suffix)), None)
+        if schema is None:
+            raise KeyError(f"table {name!r} does not exist")
+        return self.spark.createDataFrame([], schema)
+
+    def page_ids(self, table: str) -> DataFrame:
+        """O-S7: the known keys."""
+        return self.read(f"{table}_pages").select("page_id")
+
+    def pages_by_id(self, table: str, ids: DataFrame) -> DataFrame:
+        """O-S7: stored rows of the given ids, NULL columns for unseen ones."""
+        return ids.join(self.read(f"{table}_pages"), "page_id", "left")
+
+    def meta(self, key: str) -> str | None:
+        return self._manifest()[2].get(key)
+
+    def register_views(self) -> list[str]:
+        """O-S6, O-S8: every table as a temporary view of the version current now."""
+        names = self.tables()
+        for name in names:
+            self.read(name).createOrReplaceTempView(name)
+        return names
+
+    # -- publishing ------------------------------------------------------------------
+
+    def publish(
+        self,
+        replace: Mapping[str, DataFrame] | None = None,
+        append: Mapping[str, DataFrame] | None = None,
+        meta: Mapping[str, str] | None = None,
+        drop: Sequence[str] = (),
+        partition_by: Mapping[str, Sequence[str]] | None = None,
+    ) -> int:
+        """Writes every table, then commits them together; returns the new version."""
+        version, tables, values = self._manifest()
+        entries = {name: list(folders) for name, folders in tables.items() if name not in drop}
+        values = dict(values)
+        stamp = f"{version + 1:012d}-{uuid.uuid4().hex[:8]}"
+        for fresh, keep in ((replace or {}, False), (append or {}, True)):
+            for name, df in fresh.items():
+                folder = f"{name}/{_SEGMENT}={stamp}"
+                df.write.mode("errorifexists").parquet(
+                    f"{self.root}/{folder}", partitionBy=list((partition_by or {}).get(name, ())) or None
+                )
+                entries[name] = (entries.get(name, []) if keep else []) + [folder]
+        values.update(meta or {})
+        rows = [(version + 1, "table", n, p) for n, paths in entries.items() for p in paths]
+        rows += [(version + 1, "meta", k, v) for k, v in values.items()]
+        # The commit: one file, visible at once and only when complete.
+        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        manifest.write.mode("errorifexists").parquet(f"{self.root}/_manifest/{stamp}")
+        self._current = (version + 1, entries, values)
+        return version + 1
