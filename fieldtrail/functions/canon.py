@@ -29,24 +29,56 @@ def is_fractional(dtype: T.DataType) -> bool:
     return isinstance(dtype, _FRACTIONAL)
 
 
+def _shortest(x: Column, java: Column) -> Column:
+    """Digits of the shortest decimal that reads back as ``x``. Older Java runtimes print
+    a few doubles with digits too many; long texts are tried at 15 to 17 digits first."""
+    shorter = [F.format_string(f"%.{digits - 1}e", x) for digits in (15, 16, 17)]
+    fitting = [F.when(text.cast("double") == x, text) for text in shorter]
+    return F.when(F.length(java) < 17, java).otherwise(F.coalesce(*fitting, java))
+
+
+def _whole_text(x: Column) -> Column:
+    """Scientific text of a whole double between 1e16 and 9e18, from its exact digits: the
+    fewest leading digits (15 to 17) that read back as the same number."""
+    exact = F.abs(x).cast("bigint")
+    length = F.length(exact.cast("string"))
+
+    def rounded(digits: int) -> Column:
+        step = F.pow(F.lit(10.0), length - digits).cast("bigint")
+        lifted = exact + F.floor(step / 2)
+        return lifted - F.pmod(lifted, step)
+
+    kept = F.coalesce(*[F.when(rounded(d).cast("double") == F.abs(x), rounded(d)) for d in (15, 16, 17)], exact)
+    digits = kept.cast("string")
+    mantissa = F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 20))
+    return F.concat(
+        F.when(x < 0, F.lit("-")).otherwise(F.lit("")),
+        F.regexp_replace(mantissa, r"\.?0+$", ""),
+        F.format_string("e+%d", F.length(digits) - 1),
+    )
+
+
 def _double_text(x: Column) -> Column:
     """Shortest decimal text of a double: plain between 1e-4 and 1e16, scientific outside."""
     java = x.cast("string")
     size = F.abs(x)
+    text = F.lower(_shortest(x, java))
     # 16 integer digits and 22 fraction digits hold every double of the plain range.
-    plain = F.rtrim(x.cast("decimal(38,22)").cast("string"), F.lit("0"))
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(java, "E", -1).cast("int")
+    plain = F.rtrim(text.cast("decimal(38,22)").cast("string"), F.lit("0"))
+    mantissa = F.regexp_replace(F.substring_index(text, "e", 1), r"\.?0+$", "")
+    exponent = F.substring_index(text, "e", -1).cast("int")
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.format_string("%02d", F.abs(exponent)),
     )
+    common = (size == 0) | ((size >= 1e-3) & (size < 1e7))
     return (
         F.when(F.isnan(x), F.lit("nan"))
         .when(size == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), java)
-        .when((size >= 1e-4) & (size < 1e16), F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain))
+        .when(common & (F.length(java) < 17), java)
+        .when((size >= 1e-4) & (size < 1e16), F.regexp_replace(plain, r"\.$", ".0"))
+        .when((size >= 1e16) & (size < 9e18), _whole_text(x))
         .otherwise(scientific)
     )
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fieldtrail.functions.canon import canonical_text
+from fieldtrail.functions.names import excluded_fields, expand_split_dates
 from fieldtrail.operators import diff
 from fieldtrail.workload import query
 from fieldtrail.workload.tables import (
@@ -10,6 +15,7 @@ from fieldtrail.workload.tables import (
     TASK_CTES,
     changes_sql,
     status_events,
+    table,
     tasks_before,
     tasks_now,
 )
@@ -33,3 +39,40 @@ def field_changes(spark, sf_dir):
 def change_log_lag(spark, sf_dir):
     """O-C3."""
     return event_log(spark, sf_dir)
+
+
+@query(
+    "tracked_subset",
+    f"WITH {TASK_CTES}, c AS ({changes_sql()}) SELECT * FROM c WHERE field IN ('status', 'due_date_start', 'due_date_end')",
+)
+def tracked_subset(spark, sf_dir):
+    """O-F1, O-F3, O-U1: an allowlist with a split date, and exclusions that still apply."""
+    now = tasks_now(spark, sf_dir)
+    wanted = expand_split_dates(["status", "due_date", "priority"], now.columns)
+    unwanted = excluded_fields(["Priority"], ["status_id", "priority_id"])
+    return diff.detect_changes(now, tasks_before(spark, sf_dir), RUN_TS, wanted, unwanted)
+
+
+@query(
+    "canonical_text",
+    """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS quantity, CAST(l_extendedprice AS VARCHAR) AS price,
+  CAST(l_extendedprice * 1048576.0 AS VARCHAR) AS large, CAST(l_discount / 1024.0 AS VARCHAR) AS small,
+  CAST(l_quantity / 1048576.0 AS VARCHAR) AS tiny, CAST(l_quantity * 18014398509481984.0 AS VARCHAR) AS huge,
+  CASE WHEN l_returnflag = 'A' THEN '1' ELSE '0' END AS flag, CAST(l_linenumber AS VARCHAR) AS line
+FROM lineitem""",
+)
+def canonical_texts(spark, sf_dir):
+    """O-P9: numbers of every size, booleans, integers."""
+    double, text = T.DoubleType(), canonical_text
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        text(F.col("l_quantity"), double).alias("quantity"),
+        text(F.col("l_extendedprice"), double).alias("price"),
+        text(F.col("l_extendedprice") * 1048576.0, double).alias("large"),
+        text(F.col("l_discount") / 1024.0, double).alias("small"),
+        text(F.col("l_quantity") / 1048576.0, double).alias("tiny"),
+        text(F.col("l_quantity") * 18014398509481984.0, double).alias("huge"),
+        text(F.col("l_returnflag") == "A", T.BooleanType()).alias("flag"),
+        text(F.col("l_linenumber"), T.IntegerType()).alias("line"),
+    )
