@@ -58,8 +58,8 @@ def _whole_text(x: Column) -> Column:
     )
 
 
-def _double_text(x: Column) -> Column:
-    """Shortest decimal text of a double: plain between 1e-4 and 1e16, scientific outside."""
+def _uncommon_text(x: Column) -> Column:
+    """Text of a double that Java writes with an exponent or with digits to spare."""
     java = x.cast("string")
     size = F.abs(x)
     text = F.lower(_shortest(x, java))
@@ -72,17 +72,28 @@ def _double_text(x: Column) -> Column:
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
         F.format_string("%02d", F.abs(exponent)),
     )
-    common = (size == 0) | ((size >= 1e-3) & (size < 1e7))
     return (
         F.when(F.isnan(x), F.lit("nan"))
         .when(size == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(common & (F.length(java) < 17), java)
         .when((size >= 1e-4) & (size < 1e16), F.regexp_replace(plain, r"\.$", ".0"))
         .when((size >= 1e16) & (size < 9e18), _whole_text(x))
         .otherwise(scientific)
     )
 
 
+def _double_text(x: Column) -> Column:
+    """Shortest decimal text of a double: plain between 1e-4 and 1e16, scientific outside.
+
+    Only the common case is part of the generated code. The long rule for the others
+    sits in a lambda, which Spark evaluates without generating code, so that several
+    numbers in one stage stay below the method size the JVM compiles.
+    """
+    java = x.cast("string")
+    size = F.abs(x)
+    common = ((size == 0) | ((size >= 1e-3) & (size < 1e7))) & (F.length(java) < 17)
+    return F.when(common, java).otherwise(F.get(F.transform(F.array(x), _uncommon_text), F.lit(0)))
+
+
 def canonical_text(col: Column, dtype: T.DataType) -> Column:
     """O-P9: the text two values are compared and stored by; NULL stays NULL."""
     if isinstance(dtype, T.StringType):
