@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fieldtrail.functions.canon import canonical_text
 from fieldtrail.sources.store import Store
 
 log = logging.getLogger(__name__)
@@ -17,26 +19,33 @@ class QualityError(RuntimeError):
     """Raised before anything is published when a check fails."""
 
 
+def csv_line(df: DataFrame) -> Column:
+    """A row as one CSV line: canonical text per value, nothing for NULL, quotes only
+    where a value holds a comma, a quote or a line end."""
+
+    def cell(field: T.StructField) -> Column:
+        text = F.coalesce(canonical_text(F.col(field.name), field.dataType), F.lit(""))
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(text.rlike('[,"\r\n]'), quoted).otherwise(text)
+
+    return F.concat_ws(",", *[cell(f) for f in df.schema])
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
-    """O-K4: header, empty text for NULL, CRLF line ends, quotes doubled. False, and
-    nothing written, for an empty table. Parts are written in parallel unless one file
-    is asked for."""
+    """O-K4: UTF-8 with a header per file and CRLF line ends. False, and nothing written,
+    for an empty table. Files are written in parallel unless a single one is asked for.
+
+    Lines are built as text: the CSV writer would turn line ends inside values into its
+    own line separator.
+    """
     if df.isEmpty():
         return False
     out = df.coalesce(1) if single_file else df
-    (
-        out.write.mode("overwrite")
-        .option("header", True)
-        .option("lineSep", "\r\n")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    header = ",".join(f'"{c}"' if "," in c or '"' in c else c for c in df.columns)
+    first_of_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    line = csv_line(df)
+    lines = out.select(F.when(first_of_file, F.concat(F.lit(header + "\r\n"), line)).otherwise(line).alias("value"))
+    lines.write.mode("overwrite").option("lineSep", "\r\n").option("encoding", "UTF-8").text(path)
     return True
 
 

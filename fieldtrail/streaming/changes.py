@@ -22,7 +22,7 @@ def batch_writer(
     store: Store,
     table: str,
     run_ts: Callable[[DataFrame, int], str],
-    edited: str = "last_edited_time",
+    order: Sequence[str] = ("last_edited_time",),
     change_fields: Sequence[str] = (),
     exclude_change_fields: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
@@ -37,7 +37,7 @@ def batch_writer(
         done = store.meta(marker)
         if done is not None and int(done) >= number:
             return
-        latest = skew.latest_per_key(batch, ["page_id"], [edited]).persist()
+        latest = skew.latest_per_key(batch, ["page_id"], order).persist()
         try:
             if latest.isEmpty():
                 return
