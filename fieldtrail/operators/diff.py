@@ -91,6 +91,8 @@ def detect_changes(
     of the batch keys, so a large snapshot is not shuffled.
     """
     fields = tracked_fields(batch.columns, change_fields, exclude_change_fields)
+    if not fields:
+        return batch.sparkSession.createDataFrame([], CHANGES_SCHEMA)
     types = {f.name: f.dataType for f in batch.schema}
     stored_types = {f.name: f.dataType for f in prev.schema}
     shadows = [f"{f}_id" for f in fields if f"{f}_id" in stored_types and f"{f}_id" not in SYSTEM_COLUMNS]

@@ -38,6 +38,8 @@ def migration_impact(
     types = {f.name: f.dataType for f in pages.schema}
     spark_type = {"INTEGER": T.LongType(), "REAL": T.DoubleType(), "TEXT": T.StringType()}[new_type]
     aggs, present = [], [c for c in columns if c in types]
+    if not present:
+        return pages.sparkSession.createDataFrame([], "column_name string, changed_rows long, zeroed_rows long")
     for c in present:
         text = canon.canonical_text(F.col(c), types[c])
         new = canon.canonical_text(canon.migrated_value(F.col(c), types[c], new_type, value_map), spark_type)

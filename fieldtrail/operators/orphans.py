@@ -37,6 +37,8 @@ def orphan_impact(pages: DataFrame, changes: DataFrame, orphans: Sequence[str])
     One pass over the pages for all columns, one grouped pass over the history. This is
     also what a dry run of the drop reports."""
     orphans = sorted(orphans)
+    if not orphans:
+        return pages.sparkSession.createDataFrame([], "column_name string, non_null_rows long, change_rows long")
     counts = pages.agg(*[F.count(c).alias(c) for c in orphans])
     per_column = counts.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null_rows")) for c in orphans]))

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldtrail.session import scratch_dir
+
 HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 20_000
 #: Most chunks one key is cut into; a power of two.
@@ -36,13 +38,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) ->
     )
 
 
-def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFrame) -> DataFrame:
-    """Adds ``_chunk``: 0 for ordinary keys, the rank of the order range for hot ones."""
-    hot = F.broadcast(hot)
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: computed once, read as often as
+    needed, and still there when an executor is lost."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_keys_if_any(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
+    """The hot keys, or None when a count over the key columns finds none."""
+    hot = hot_keys(df, keys, min_rows)
+    return None if hot.isEmpty() else _written(hot, "hot-keys")
+
+
+def _cut_points(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFrame) -> DataFrame:
+    """(keys, _cuts): the ascending cut points of every hot key.
+
+    Quantile sketches depend on the order they are merged in, so the cuts are computed
+    once and written; every later use sees the same chunks.
+    """
     shares = ",".join(str(i / HOT_MAX_PARTS) for i in range(1, HOT_MAX_PARTS))
     quantiles = (
         df.select(*keys, ordinate)
-        .join(hot, list(keys))
+        .join(F.broadcast(hot), list(keys))
         .groupBy(*keys, "_parts")
         .agg(
             F.percentile_approx(
@@ -61,6 +80,11 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFram
             )
         ).alias("_cuts"),
     )
+    return _written(cuts, "cut-points")
+
+
+def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, cuts: DataFrame) -> DataFrame:
+    """Adds ``_chunk``: 0 for ordinary keys, the rank of the order range for hot ones."""
     # Binary search: how many cut points are not above the row's ordinate.
     steps = F.array(*[F.lit(HOT_MAX_PARTS >> s) for s in range(HOT_MAX_PARTS.bit_length())])
     rank = F.aggregate(
@@ -78,12 +102,6 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFram
     )
 
 
-def hot_keys_if_any(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
-    """The hot keys, or None when a count over the key columns finds none."""
-    hot = hot_keys(df, keys, min_rows)
-    return None if hot.isEmpty() else hot
-
-
 _COUNT = object()
 
 
@@ -106,14 +124,22 @@ def ordered_neighbours(
     Whether any key is hot is counted first, over the key columns alone. Without one
     this is a plain window per key. Otherwise hot keys are cut into chunks that follow
     the order: a window over (key, chunk) is then right everywhere but at chunk edges,
-    and those come from one summary row per chunk. A caller with several passes over
+    and those come from one summary row per chunk. The input is then written once to the
+    scratch folder and read from there. A caller with several passes over
     one table counts once (``hot_keys_if_any``) and hands the outcome on as ``hot``.
     """
     sums = running_sum or {}
     if hot is _COUNT:
         hot = hot_keys_if_any(df, keys)
     split = hot is not None
-    chunked = _with_chunk(df, keys, order[0], hot) if split else df
+    columns = df.columns
+    if split:
+        used = [*keys, *order, *previous, *following, *sums.values()]
+        df = _written(df, "ordered")
+        chunked = _with_chunk(df, keys, order[0], _cut_points(df, keys, order[0], hot))
+        slim = chunked.where("_hot").select(*dict.fromkeys(used), "_chunk")
+    else:
+        chunked = df
     part = Window.partitionBy(*keys, *(["_chunk"] if split else [])).orderBy(*order)
     upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -144,7 +170,7 @@ def ordered_neighbours(
     if following:
         carried.append(F.lead("_head").over(edge).alias("_carry_next"))
     carried += [F.sum(f"_total_{name}").over(before).alias(f"_before_{name}") for name in sums]
-    edges = chunked.where("_hot").groupBy(*keys, "_chunk").agg(*summaries).select(*keys, "_chunk", *carried)
+    edges = slim.groupBy(*keys, "_chunk").agg(*summaries).select(*keys, "_chunk", *carried)
 
     whole = {"_seq": F.col("_seq") + F.coalesce("_rows_before", F.lit(0))}
     if previous:
@@ -159,7 +185,7 @@ def ordered_neighbours(
     return (
         within.join(F.broadcast(edges), [*keys, "_chunk"], "left")
         .withColumns(whole)
-        .select(*df.columns, *windowed)
+        .select(*columns, *windowed)
     )
 
 

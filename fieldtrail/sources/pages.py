@@ -226,6 +226,8 @@ def rejected_values(
 ) -> DataFrame:
     """O-P8: (page_id, property, value) wherever a value is present but was not readable."""
     props = projected(schema, include, exclude)
+    if not props:
+        return pages.sparkSession.createDataFrame([], "page_id string, property string, value string")
     entries = []
     for prop in props:
         doc, at = _value(prop.name)
