@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Blocks concatenated at once; longer bodies are built from such pieces.
 PIECE_BLOCKS = 4096
@@ -13,51 +14,62 @@ PREFIXES = {"quote": "> ", "callout": "| "}
 TITLED = ("child_page", "child_database")
 LINKED = ("bookmark", "embed", "link_preview")
 BARE_MEDIA = ("video", "audio", "pdf")
+SILENT = ("table", "divider", "column_list", "column")
 PLAIN = (
     "paragraph", "heading_1", "heading_2", "heading_3", "toggle", "bulleted_list_item", "numbered_list_item",
 )
 
 
-def _texts(block: Column, path: str) -> Column:
-    parts = F.try_variant_get(block, path, "array<struct<plain_text string>>")
-    return F.coalesce(F.array_join(F.transform(parts, lambda p: p["plain_text"]), ""), F.lit(""))
+def _block_shape() -> T.StructType:
+    text = T.StringType()
+    rich = T.ArrayType(T.StructType([T.StructField("plain_text", text)]))
 
+    def of(**members: T.DataType) -> T.StructType:
+        return T.StructType([T.StructField(name, kind) for name, kind in members.items()])
 
-def block_text(block: Column, kind: Column) -> Column:
-    """One block (VARIANT) as plain text, by its type."""
+    shapes = {kind: of(rich_text=rich) for kind in (*PLAIN, *PREFIXES)}
+    shapes["to_do"] = of(rich_text=rich, checked=T.BooleanType())
+    shapes["code"] = of(rich_text=rich, language=text)
+    shapes["table_row"] = of(cells=T.ArrayType(rich))
+    shapes.update({kind: of(title=text) for kind in TITLED})
+    shapes.update({kind: of(url=text) for kind in LINKED})
+    shapes["image"] = of(caption=rich)
+    shapes["file"] = of(name=text)
+    return of(type=text, **shapes)
 
-    def tagged(tag: Column | str, body: Column) -> Column:
-        return F.concat(F.lit("["), F.lit(tag) if isinstance(tag, str) else tag, F.lit(": "), body, F.lit("]"))
 
-    rich = F.coalesce(
-        *[
-            F.when(kind == t, _texts(block, f"$.{t}.rich_text"))
-            for t in (*PLAIN, *PREFIXES, "to_do", "code")
-        ]
-    )
-    cells = F.try_variant_get(block, "$.table_row.cells", "array<array<struct<plain_text string>>>")
-    row = F.array_join(
-        F.transform(cells, lambda c: F.array_join(F.transform(c, lambda p: p["plain_text"]), "")), " | "
-    )
-    titles = F.coalesce(*[F.when(kind == t, F.try_variant_get(block, f"$.{t}.title", "string")) for t in TITLED])
-    links = F.coalesce(*[F.when(kind == t, F.try_variant_get(block, f"$.{t}.url", "string")) for t in LINKED])
-    caption = _texts(block, "$.image.caption")
-    done = F.try_variant_get(block, "$.to_do.checked", "boolean")
-    language = F.try_variant_get(block, "$.code.language", "string")
-    out = F.when(kind.isin(*PLAIN), rich)
+BLOCK_SHAPE = _block_shape()
+
+
+def block_text(block: Column) -> Column:
+    """One block as plain text, by its type. A block holds the member its type names and
+    no other, so the texts of several types can be read at once."""
+    kind = block["type"]
+
+    def rich(*types: str) -> Column:
+        return F.coalesce(*[F.array_join(block[t]["rich_text"]["plain_text"], "") for t in types], F.lit(""))
+
+    def tagged(body: Column) -> Column:
+        return F.concat(F.lit("["), kind, F.lit(": "), F.coalesce(body, F.lit("")), F.lit("]"))
+
+    caption = F.coalesce(F.array_join(block["image"]["caption"]["plain_text"], ""), F.lit(""))
+    cells = F.transform(block["table_row"]["cells"], lambda cell: F.array_join(cell["plain_text"], ""))
+    done = F.when(block["to_do"]["checked"], F.lit("[x] ")).otherwise(F.lit("[ ] "))
+    language = F.coalesce(block["code"]["language"], F.lit(""))
+    out = F.when(kind.isin(*PLAIN), rich(*PLAIN))
     for name, prefix in PREFIXES.items():
-        out = out.when(kind == name, F.concat(F.lit(prefix), rich))
+        out = out.when(kind == name, F.concat(F.lit(prefix), rich(name)))
     return (
-        out.when(kind == "to_do", F.concat(F.when(done, F.lit("[x] ")).otherwise(F.lit("[ ] ")), rich))
-        .when(kind == "code", F.concat(F.lit("[code:"), F.coalesce(language, F.lit("")), F.lit("] "), rich))
-        .when(kind == "table_row", row)
-        .when(kind.isin(*TITLED), tagged(kind, F.coalesce(titles, F.lit(""))))
-        .when(kind.isin(*LINKED), tagged(kind, F.coalesce(links, F.lit(""))))
-        .when(kind == "image", F.when(caption == "", F.lit("[image]")).otherwise(tagged("image", caption)))
+        out.when(kind == "to_do", F.concat(done, rich("to_do")))
+        .when(kind == "code", F.concat(F.lit("[code:"), language, F.lit("] "), rich("code")))
+        .when(kind == "table_row", F.array_join(cells, " | "))
+        .when(kind.isin(*TITLED), tagged(F.coalesce(*[block[t]["title"] for t in TITLED])))
+        .when(kind.isin(*LINKED), tagged(F.coalesce(*[block[t]["url"] for t in LINKED])))
+        .when(kind == "image", F.when(caption == "", F.lit("[image]")).otherwise(tagged(caption)))
         .when(kind.isin(*BARE_MEDIA), F.concat(F.lit("["), kind, F.lit("]")))
-        .when(kind == "file", tagged("file", F.coalesce(F.try_variant_get(block, "$.file.name", "string"), F.lit(""))))
-        # A table is written by its rows; a divider has no text.
-        .when(kind.isin("table", "divider", "column_list", "column"), F.lit(None))
+        .when(kind == "file", tagged(block["file"]["name"]))
+        # Containers are written by their children; a divider has no text.
+        .when(kind.isin(*SILENT), F.lit(None))
         .otherwise(F.lit("[unsupported]"))
     )
 
@@ -68,11 +80,9 @@ def content_text(blocks: DataFrame, page: str = "page_id", position: str = "posi
     A long body is joined in pieces of neighbouring blocks first, so the blocks of one
     page are spread over tasks and only finished pieces meet in one place.
     """
-    block = F.try_parse_json(F.col(raw))
     rendered = (
-        blocks.select(page, position, block.alias("_block"))
-        .select(page, position, "_block", F.try_variant_get("_block", "$.type", "string").alias("_kind"))
-        .select(page, position, block_text(F.col("_block"), F.col("_kind")).alias("_text"))
+        blocks.select(page, position, F.from_json(F.col(raw), BLOCK_SHAPE).alias("_block"))
+        .select(page, position, block_text(F.col("_block")).alias("_text"))
         .where(F.col("_text").isNotNull())
     )
 
@@ -89,19 +99,17 @@ def content_text(blocks: DataFrame, page: str = "page_id", position: str = "posi
 def comment_rows(documents: DataFrame, raw: str = "raw") -> DataFrame:
     """O-S5: landed ``{page_id, results: [comment]}`` documents to one row per comment."""
     shape = (
-        "array<struct<id string,created_time string,last_edited_time string,rich_text array<struct<plain_text string>>>>"
+        "page_id string, results array<struct<id string,created_time string,last_edited_time string,"
+        "rich_text array<struct<plain_text string>>>>"
     )
     return (
-        documents.select(F.try_parse_json(F.col(raw)).alias("_doc"))
-        .select(
-            F.try_variant_get("_doc", "$.page_id", "string").alias("page_id"),
-            F.explode(F.try_variant_get("_doc", "$.results", shape)).alias("_c"),
-        )
+        documents.select(F.from_json(F.col(raw), shape).alias("_doc"))
+        .select(F.col("_doc.page_id").alias("page_id"), F.explode("_doc.results").alias("_c"))
         .select(
             F.col("_c.id").alias("comment_id"),
             "page_id",
             F.col("_c.created_time").alias("created_time"),
             F.col("_c.last_edited_time").alias("last_edited_time"),
-            F.array_join(F.transform("_c.rich_text", lambda p: p["plain_text"]), "").alias("text"),
+            F.array_join("_c.rich_text.plain_text", "").alias("text"),
         )
     )

@@ -8,13 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldtrail.functions.canon import declared_type
 from fieldtrail.functions.names import SKIPPED_TYPES, column_name
 
-_OPTION_ARRAY = "array<struct<id string,name string>>"
-_TEXT_ARRAY = "array<struct<plain_text string>>"
-
 
 @dataclass(frozen=True)
 class Property:
@@ -90,94 +88,104 @@ def projected(
     ]
 
 
-def _value(name: str) -> tuple[Column, str]:
-    """Variant and path prefix of one property; names a path cannot quote go through a map."""
-    if '"' in name or "?" in name:
-        return F.element_at(F.col("_property_map"), F.lit(name)), "$"
-    return F.col("_page"), f'$.properties["{name}"]'
+# What is read of a value, by property type; anything else is read as text.
+_TEXT = T.StringType()
 
 
-def _joined(array: Column, field: str, separator: str) -> Column:
-    return F.array_join(F.transform(array, lambda o: o[field]), separator)
+def _list_of(*members: str) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(m, _TEXT) for m in members]))
 
 
-def _scalar(doc: Column, path: str) -> Column:
-    """A computed value: its text, number or date start, or 1/0."""
-    flag = F.try_variant_get(doc, f"{path}.boolean", "boolean").cast("int").cast("string")
-    return F.coalesce(
-        F.try_variant_get(doc, f"{path}.string", "string"),
-        F.try_variant_get(doc, f"{path}.number", "string"),
-        flag,
-        F.try_variant_get(doc, f"{path}.date.start", "string"),
-        F.size(F.try_variant_get(doc, f"{path}.array", "array<variant>")).cast("string"),
-    )
+_OPTION = T.StructType([T.StructField("id", _TEXT), T.StructField("name", _TEXT)])
+_SPAN = T.StructType([T.StructField("start", _TEXT), T.StructField("end", _TEXT)])
+_COMPUTED = T.StructType(
+    [
+        T.StructField("string", _TEXT),
+        T.StructField("number", _TEXT),
+        T.StructField("boolean", T.BooleanType()),
+        T.StructField("date", _SPAN),
+        T.StructField("array", T.ArrayType(_TEXT)),
+    ]
+)
+VALUE_SHAPES: dict[str, T.DataType] = {
+    "title": _list_of("plain_text"),
+    "rich_text": _list_of("plain_text"),
+    "number": T.DoubleType(),
+    "checkbox": T.BooleanType(),
+    "date": _SPAN,
+    "select": _OPTION,
+    "status": _OPTION,
+    "multi_select": _list_of("id", "name"),
+    "relation": _list_of("id"),
+    "people": _list_of("name"),
+    "files": _list_of("name"),
+    "formula": _COMPUTED,
+    "rollup": _COMPUTED,
+}
+
+
+def page_shape(props: Sequence[Property]) -> T.StructType:
+    """The part of a page document the listed properties need. Names that differ only in
+    case share a stored column, which the last of them gets."""
+    wanted = {p.name.lower(): p for p in props}
+    values = [
+        T.StructField(p.name, T.StructType([T.StructField(p.type, VALUE_SHAPES.get(p.type, _TEXT))]))
+        for p in wanted.values()
+    ]
+    system = [T.StructField(c, _TEXT) for c in ("id", "created_time", "last_edited_time", "url")]
+    return T.StructType([*system, *([T.StructField("properties", T.StructType(values))] if values else [])])
 
 
 def _property_columns(prop: Property, files_handling: str) -> list[Column]:
     """The stored columns of one property, NULL where the value is unset or malformed."""
-    doc, at = _value(prop.name)
-    own = f'{at}["{prop.type}"]'
+    value = F.col("_page").getField("properties").getField(prop.name).getField(prop.type)
 
-    def text(path: str) -> Column:
-        return F.try_variant_get(doc, path, "string")
+    def joined(member: str, separator: str = ", ") -> Column:
+        return F.when(F.size(value) > 0, F.array_join(value.getField(member), separator))
 
     if prop.type == "date":
-        return [text(f"{own}.start"), text(f"{own}.end")]
+        return [value["start"], value["end"]]
     if prop.type in ("select", "status"):
         # A value lacking either member is malformed as a whole.
-        has_both = (
-            F.try_variant_get(doc, f"{own}.id", "variant").isNotNull()
-            & F.try_variant_get(doc, f"{own}.name", "variant").isNotNull()
-        )
-        return [F.when(has_both, text(f"{own}.name")), F.when(has_both, text(f"{own}.id"))]
+        whole = value["id"].isNotNull() & value["name"].isNotNull()
+        return [F.when(whole, value[member]) for member in ("name", "id")]
     if prop.type == "multi_select":
-        options = F.try_variant_get(doc, own, _OPTION_ARRAY)
-        usable = (F.size(options) > 0) & ~F.exists(options, lambda o: o["id"].isNull() | o["name"].isNull())
-        return [F.when(usable, _joined(options, member, ", ")) for member in ("name", "id")]
+        whole = ~F.exists(value, lambda o: o["id"].isNull() | o["name"].isNull())
+        return [F.when(whole, joined(member)) for member in ("name", "id")]
     if prop.type in ("title", "rich_text"):
-        return [_joined(F.try_variant_get(doc, own, _TEXT_ARRAY), "plain_text", "")]
-    if prop.type == "number":
-        return [F.try_variant_get(doc, own, "double")]
+        return [F.array_join(value.getField("plain_text"), "")]
     if prop.type == "checkbox":
-        return [F.try_variant_get(doc, own, "boolean").cast("int")]
+        return [value.cast("int")]
     if prop.type in ("formula", "rollup"):
-        return [_scalar(doc, own)]
+        # Its text, number, 1/0, date start, or the number of its elements.
+        return [
+            F.coalesce(
+                value["string"],
+                value["number"],
+                value["boolean"].cast("int").cast("string"),
+                value["date"]["start"],
+                F.size(value["array"]).cast("string"),
+            )
+        ]
     if prop.type == "relation":
-        related = F.try_variant_get(doc, own, "array<struct<id string>>")
-        return [F.when(F.size(related) > 0, _joined(related, "id", ", "))]
-    if prop.type == "people":
-        people = F.try_variant_get(doc, own, "array<struct<name string>>")
-        return [F.when(F.size(people) > 0, _joined(people, "name", ", "))]
+        return [joined("id")]
+    if prop.type == "people" or (prop.type == "files" and files_handling != "bool"):
+        return [joined("name")]
     if prop.type == "files":
-        files = F.try_variant_get(doc, own, "array<struct<name string>>")
-        if files_handling == "bool":
-            return [F.when(files.isNotNull(), (F.size(files) > 0).cast("int"))]
-        return [F.when(F.size(files) > 0, _joined(files, "name", ", "))]
-    return [text(own)]
-
-
-def _parsed(pages: DataFrame, props: Sequence[Property], raw: str) -> DataFrame:
-    parsed = pages.withColumn("_page", F.try_parse_json(F.col(raw)))
-    if any('"' in p.name or "?" in p.name for p in props):
-        as_map = F.try_variant_get("_page", "$.properties", "map<string,variant>")
-        parsed = parsed.withColumn("_property_map", as_map)
-    return parsed
+        return [(F.size(value) > 0).cast("int")]
+    return [value]
 
 
 def planned_columns(props: Sequence[Property], files_handling: str = "bool") -> dict[str, Column]:
     """Stored column -> expression in schema order. When names collide the later property
     takes the column, at the place of the first."""
-    system = {
-        "page_id": F.try_variant_get("_page", "$.id", "string"),
-        "created_time": F.try_variant_get("_page", "$.created_time", "string"),
-        "last_edited_time": F.try_variant_get("_page", "$.last_edited_time", "string"),
-        "url": F.try_variant_get("_page", "$.url", "string"),
-    }
-    for prop in props:
+    columns = {"page_id": F.col("_page.id")}
+    columns.update({c: F.col(f"_page.{c}") for c in ("created_time", "last_edited_time", "url")})
+    for prop in {p.name.lower(): p for p in props}.values():
         kind = declared_type(prop.type, files_handling)
         for name, expr in zip(prop.columns, _property_columns(prop, files_handling)):
-            system[name] = expr.cast(kind)
-    return system
+            columns[name] = expr.cast(kind)
+    return columns
 
 
 def name_collisions(props: Iterable[Property]) -> dict[str, list[str]]:
@@ -199,21 +207,23 @@ def flatten_pages(
 ) -> DataFrame:
     """O-P2: one row per page, one or two columns per property, in schema order.
 
-    The document is parsed once per row and only the listed properties are extracted.
-    Rows that are no JSON or have no id are not pages; ``unreadable_pages`` returns them.
+    Only what the listed properties need is read from a document; a value of the wrong
+    shape is NULL and leaves the others alone. Rows that are no JSON or have no id are not
+    pages; ``unreadable_pages`` returns them.
     """
     props = projected(schema, include, exclude)
     columns = planned_columns(props, files_handling)
     return (
-        _parsed(pages, props, raw)
+        # A generator keeps the filter above the one place the document is parsed at.
+        pages.select(F.explode(F.array(F.from_json(F.col(raw), page_shape(props)))).alias("_page"))
+        .where(F.col("_page.id").isNotNull())
         .select(*[expr.alias(name) for name, expr in columns.items()])
-        .where(F.col("page_id").isNotNull())
     )
 
 
 def unreadable_pages(pages: DataFrame, raw: str = "raw") -> DataFrame:
     """Landed rows that hold no page."""
-    return pages.where(F.try_variant_get(F.try_parse_json(F.col(raw)), "$.id", "string").isNull())
+    return pages.where(F.from_json(F.col(raw), page_shape(())).getField("id").isNull())
 
 
 def rejected_values(
@@ -228,23 +238,24 @@ def rejected_values(
     props = projected(schema, include, exclude)
     if not props:
         return pages.sparkSession.createDataFrame([], "page_id string, property string, value string")
+    given = F.from_json(F.col(raw), "properties map<string, map<string, string>>").getField("properties")
     entries = []
     for prop in props:
-        doc, at = _value(prop.name)
-        value = F.try_variant_get(doc, f'{at}["{prop.type}"]', "variant")
-        raw_text = F.to_json(value)
-        empty = raw_text.isin("null", "[]", "{}")
-        outputs = _property_columns(prop, files_handling)
-        unread = outputs[0].isNull()
-        if prop.type in ("formula", "rollup"):
-            empty = empty | ~raw_text.rlike(r'"(string|number|boolean|date|array)":[^n]')
+        value = F.col("_given")[F.lit(prop.name)][F.lit(prop.type)]
+        empty = value.isin("", "[]", "{}")
         if prop.type == "date":
-            empty = empty | raw_text.rlike(r'"start":null')
+            empty = empty | value.rlike(r'"start":\s*null')
+        if prop.type in ("formula", "rollup"):
+            empty = empty | ~value.rlike(r'"(string|number|boolean|date|array)":\s*[^n\s]')
+        unread = _property_columns(prop, files_handling)[0].isNull()
         entries.append(
-            F.when(value.isNotNull() & ~empty & unread, F.struct(F.lit(prop.name).alias("property"), raw_text.alias("value")))
+            F.when(
+                value.isNotNull() & ~empty & unread,
+                F.struct(F.lit(prop.name).alias("property"), value.alias("value")),
+            )
         )
     return (
-        _parsed(pages, props, raw)
-        .select(F.try_variant_get("_page", "$.id", "string").alias("page_id"), F.inline(F.array(*entries)))
+        pages.select(F.from_json(F.col(raw), page_shape(props)).alias("_page"), given.alias("_given"))
+        .select(F.col("_page.id").alias("page_id"), F.inline(F.array(*entries)))
         .where(F.col("property").isNotNull())
     )
