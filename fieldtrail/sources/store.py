@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ BACKUP_REGISTRY = _text_table("table_name", "column_name", "backup_column", "typ
 
 _EMPTY = {"_schema": SCHEMA_REGISTRY, "_options": OPTION_REGISTRY, "_backups": BACKUP_REGISTRY}
 _SUFFIXES = {"_pages": PAGES_SCHEMA, "_changes": CHANGES_SCHEMA, "_comments": COMMENTS_SCHEMA}
+#: Tables of one publish written at the same time.
+WRITERS = 4
 #: Each publish of a table is one folder; its name is a partition value no reader sees.
 _SEGMENT = "_segment"
 _MANIFEST = "version long, kind string, name string, value string"
@@ -125,13 +128,20 @@ class Store:
         entries = {name: list(folders) for name, folders in tables.items() if name not in drop}
         values = dict(values)
         stamp = f"{version + 1:012d}-{uuid.uuid4().hex[:8]}"
-        for fresh, keep in ((replace or {}, False), (append or {}, True)):
-            for name, df in fresh.items():
-                folder = f"{name}/{_SEGMENT}={stamp}"
-                df.write.mode("errorifexists").parquet(
-                    f"{self.root}/{folder}", partitionBy=list((partition_by or {}).get(name, ())) or None
-                )
-                entries[name] = (entries.get(name, []) if keep else []) + [folder]
+        fresh = {**(replace or {}), **(append or {})}
+
+        def write(name: str) -> None:
+            columns = list((partition_by or {}).get(name, ())) or None
+            fresh[name].write.mode("errorifexists").parquet(
+                f"{self.root}/{name}/{_SEGMENT}={stamp}", partitionBy=columns
+            )
+
+        # The tables do not depend on each other, so small ones fill the gaps of large ones.
+        with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+            list(pool.map(write, fresh))
+        for name in fresh:
+            kept = entries.get(name, []) if name in (append or {}) else []
+            entries[name] = [*kept, f"{name}/{_SEGMENT}={stamp}"]
         values.update(meta or {})
         rows = [(version + 1, "table", n, p) for n, paths in entries.items() for p in paths]
         rows += [(version + 1, "meta", k, v) for k, v in values.items()]
