@@ -174,7 +174,6 @@ class Evolution:
     backups: dict[tuple[str, str], str] = field(default_factory=dict)  # (column, type) -> backup column
     messages: list[str] = field(default_factory=list)
     changed_pages: bool = False
-    changed_history: bool = False
 
 
 def evolve(
@@ -198,7 +197,7 @@ def evolve(
             before = out.pages
             out.pages, out.changes = rename_family(out.pages, out.changes, old, new)
             if out.pages is not before:
-                out.changed_pages = out.changed_history = True
+                out.changed_pages = True
             out.backups = {
                 (_moved(c, old, new), t): b for (c, t), b in out.backups.items()
             }

@@ -6,6 +6,7 @@ import logging
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.functions.names import column_name, excluded_fields, expand_split_dates, shadow_id_columns
 from fieldtrail.operators import diff, evolve, history, skew, upsert
 from fieldtrail.sources import content, pages as page_source
-from fieldtrail.sources.store import BACKUP_REGISTRY, Store
+from fieldtrail.sources.store import BACKUP_REGISTRY, Store, in_buckets, in_segments
 
 log = logging.getLogger(__name__)
 
@@ -63,12 +64,17 @@ class SyncResult:
 class SyncPlan:
     """The lazy outcome of a run; publishing it is the only side effect there is."""
 
+    batch: DataFrame
     pages: DataFrame
+    #: Key buckets ``pages`` covers; None when it is the whole table.
+    buckets: list[int] | None
     new_changes: DataFrame | None
+    #: The rewritten rows of the history segments a rename or refresh touches, and those
+    #: segments; the others stay as they are.
     rewritten_changes: DataFrame | None
+    rewritten_segments: list[str]
     comments: DataFrame | None
     registries: dict[str, DataFrame]
-    batch: DataFrame
     messages: list[str]
     backfilled: int = 0
 
@@ -95,14 +101,16 @@ def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, fu
 def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncPlan:
     """Evolve, read, flatten, compare and upsert one database; nothing is written."""
     spark, name = store.spark, cfg.name
-    pages, changes = store.read(f"{name}_pages"), history.with_option_ids(store.read(f"{name}_changes"))
+    pages = store.read(f"{name}_pages")
+    # The name a record had is kept beside it, to see which segments a rename reaches.
+    changes = history.with_option_ids(store.read(f"{name}_changes", layout=True)).withColumn("_field", F.col("field"))
     messages: list[str] = []
-    rewrite = False
+    reshaped = False
 
     for old, new in cfg.column_renames.items():
         pages, changes, moved = evolve.apply_declared_rename(pages, changes, column_name(old), column_name(new))
         if moved:
-            rewrite = True
+            reshaped = True
             messages.append(f"applied declared rename '{old}' to '{new}'")
 
     # Schema: a handful of rows per database, so the differences are planned on the driver.
@@ -115,7 +123,7 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
     differences = [r.asDict() for r in evolve.schema_diff(current, stored).collect()]
     evolved = evolve.evolve(pages, changes, differences, backups, run_ts)
     pages, changes = evolved.pages, evolved.changes
-    rewrite = rewrite or evolved.changed_history
+    reshaped = reshaped or evolved.changed_pages
     messages += evolved.messages
 
     keys = {"_schema": ["table_name", "property_id"], "_options": ["table_name", "property_id", "option_id"]}
@@ -133,14 +141,31 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
     batch = flatten_batch(landed, cfg, store.meta(f"last_sync:{name}"), full).persist()
     small = skew.fits_broadcast(batch.select("page_id"))
 
-    backfilled = 0
-    new_changes = None
-    if cfg.track_changes:
+    # A run that reshapes no column reads and rewrites only the buckets of its pages.
+    buckets = None if reshaped else store.touched_buckets(f"{name}_pages", batch, "page_id")
+    if buckets is not None:
+        pages = store.read_buckets(f"{name}_pages", buckets)
+
+    backfilled, new_changes, rewritten, segments = 0, None, None, []
+    if store.exists(f"{name}_changes"):
         options = registries["_options"].where(F.col("table_name") == name)
-        refreshed = history.backfill_option_names(changes, options)
-        backfilled = history.backfill_count(refreshed).first().updated_values
-        if backfilled:
-            changes, rewrite = refreshed.drop("old_updated", "new_updated"), True
+        if cfg.track_changes:
+            changes = history.backfill_option_names(changes, options)
+        else:
+            changes = changes.withColumns({"old_updated": F.lit(False), "new_updated": F.lit(False)})
+        refreshed = F.col("old_updated").cast("long") + F.col("new_updated").cast("long")
+        moved = F.col("field") != F.col("_field")
+        reached = (
+            changes.groupBy("_segment")
+            .agg(F.sum(refreshed).alias("refreshed"), F.count_if(moved).alias("moved"))
+            .where("refreshed > 0 OR moved > 0")
+            .collect()  # at most one row per earlier run
+        )
+        segments, backfilled = [r["_segment"] for r in reached], sum(r["refreshed"] for r in reached)
+        if segments:
+            helpers = ("_segment", "_field", "old_updated", "new_updated", "detected_date")
+            rewritten = changes.where(F.col("_segment").isin(segments)).drop(*helpers)
+    if cfg.track_changes:
         props = page_source.projected(
             page_source.parse_schema(landed.schema_doc), cfg.include_columns, cfg.exclude_columns
         )
@@ -157,12 +182,14 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
             rows = rows.join(batch.select("page_id"), "page_id", "left_semi")
         comments = rows
     return SyncPlan(
+        batch=batch,
         pages=upsert.upsert(pages, batch, mode=cfg.upsert_mode, batch_is_small=small),
+        buckets=buckets,
         new_changes=new_changes,
-        rewritten_changes=changes if rewrite else None,
+        rewritten_changes=rewritten,
+        rewritten_segments=segments,
         comments=comments,
         registries=registries,
-        batch=batch,
         messages=messages,
         backfilled=backfilled,
     )
@@ -182,22 +209,31 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
         return df.observe(seen[what], F.count(F.lit(1)).alias("n"))
 
     try:
-        replace = {f"{name}_pages": plan.pages, **plan.registries}
-        append = {}
-        partitions = {f"{name}_changes": ["detected_date"]}
+        replace, append, retire = dict(plan.registries), {}, {}
+        if plan.buckets is None:
+            replace[f"{name}_pages"] = plan.pages
+        else:
+            append[f"{name}_pages"] = plan.pages
+            retire[f"{name}_pages"] = in_buckets(plan.buckets)
+        records = []
         if plan.new_changes is not None:
-            fresh = observed("changes", plan.new_changes)
-            if plan.rewritten_changes is not None:
-                older = plan.rewritten_changes.drop("detected_date")
-                replace[f"{name}_changes"] = _dated(older.unionByName(fresh))
-            else:
-                append[f"{name}_changes"] = _dated(fresh)
-        elif plan.rewritten_changes is not None:
-            replace[f"{name}_changes"] = _dated(plan.rewritten_changes.drop("detected_date"))
+            records.append(observed("changes", plan.new_changes))
+        if plan.rewritten_changes is not None:
+            records.append(plan.rewritten_changes)
+            retire[f"{name}_changes"] = in_segments(plan.rewritten_segments)
+        if records:
+            append[f"{name}_changes"] = _dated(reduce(DataFrame.unionByName, records))
         if plan.comments is not None:
             fresh = observed("comments", plan.comments)
             replace[f"{name}_comments"] = upsert.upsert_comments(store.read(f"{name}_comments"), fresh)
-        result.version = store.publish(replace, append, {f"last_sync:{name}": run_ts}, partition_by=partitions)
+        result.version = store.publish(
+            replace,
+            append,
+            {f"last_sync:{name}": run_ts},
+            partition_by={f"{name}_changes": ["detected_date"]},
+            bucket_by={f"{name}_pages": "page_id"},
+            retire=retire,
+        )
         result.pages = plan.batch.count()
         result.changes = seen["changes"].get["n"] if "changes" in seen else 0
         result.comments = seen["comments"].get["n"] if "comments" in seen else 0

@@ -3,15 +3,18 @@
 A publish writes new table folders, then one small manifest dataset naming, per table,
 the folders that make it up. Readers follow the newest manifest, so several tables and
 the watermark change together or not at all, and appends never rewrite what is there.
+
+Large keyed tables are laid out in buckets of their key. A run that touches few keys
+reads and rewrites only their buckets; the folders of the others stay in the manifest.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +39,12 @@ _EMPTY = {"_schema": SCHEMA_REGISTRY, "_options": OPTION_REGISTRY, "_backups": B
 _SUFFIXES = {"_pages": PAGES_SCHEMA, "_changes": CHANGES_SCHEMA, "_comments": COMMENTS_SCHEMA}
 #: Tables of one publish written at the same time.
 WRITERS = 4
-#: Each publish of a table is one folder; its name is a partition value no reader sees.
-_SEGMENT = "_segment"
+#: Rows a bucket of a keyed table should hold; smaller tables have a single bucket.
+BUCKET_ROWS = 2_000_000
+MAX_BUCKETS = 8192
+#: Partition values no reader sees: the publish a folder belongs to, and the key bucket.
+_SEGMENT, _BUCKET = "_segment", "_bucket"
+LAYOUT = (_SEGMENT, _BUCKET)
 _MANIFEST = "version long, kind string, name string, value string"
 
 
@@ -82,18 +89,40 @@ class Store:
     def exists(self, name: str) -> bool:
         return name in self._manifest()[1]
 
-    def read(self, name: str) -> DataFrame:
-        """The current rows; a table never written is empty with its fixed columns."""
+    def read(self, name: str, layout: bool = False) -> DataFrame:
+        """The current rows; a table never written is empty with its fixed columns. With
+        ``layout`` the partition values of the folders stay as columns."""
         folders = self._manifest()[1].get(name)
         if folders:
-            # Appended folders may be older than a column; their rows read as NULL there.
+            # Folders may be older than a column; their rows read as NULL there.
             reader = self.spark.read.option("basePath", f"{self.root}/{name}")
             reader = reader.option("mergeSchema", str(len(folders) > 1).lower())
-            return reader.parquet(*[f"{self.root}/{folder}" for folder in folders]).drop(_SEGMENT)
+            df = reader.parquet(*[f"{self.root}/{folder}" for folder in folders])
+            return df if layout else df.drop(*LAYOUT)
         schema = _EMPTY.get(name) or next((s for suffix, s in _SUFFIXES.items() if name.endswith(suffix)), None)
         if schema is None:
             raise KeyError(f"table {name!r} does not exist")
-        return self.spark.createDataFrame([], schema)
+        empty = self.spark.createDataFrame([], schema)
+        return empty.withColumn(_SEGMENT, F.lit(None).cast("string")) if layout else empty
+
+    def buckets(self, name: str) -> int:
+        """How many key buckets a table is laid out in."""
+        return int(self.meta(f"buckets:{name}") or 1)
+
+    def bucket(self, name: str, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets(name))).cast("int")
+
+    def touched_buckets(self, name: str, keys: DataFrame, key: str) -> list[int] | None:
+        """The buckets of the given keys, at most ``MAX_BUCKETS``; None if there is one."""
+        if self.buckets(name) == 1:
+            return None
+        return [r[0] for r in keys.select(self.bucket(name, key)).distinct().collect()]
+
+    def read_buckets(self, name: str, buckets: list[int] | None) -> DataFrame:
+        """The rows of some buckets; the folders of the others are not read."""
+        if buckets is None:
+            return self.read(name)
+        return self.read(name, layout=True).where(F.col(_BUCKET).isin(buckets)).drop(*LAYOUT)
 
     def page_ids(self, table: str) -> DataFrame:
         """O-S7: the known keys."""
@@ -122,27 +151,45 @@ class Store:
         meta: Mapping[str, str] | None = None,
         drop: Sequence[str] = (),
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        bucket_by: Mapping[str, str] | None = None,
+        retire: Mapping[str, Callable[[str], bool]] | None = None,
     ) -> int:
-        """Writes every table, then commits them together; returns the new version."""
+        """Writes every table, then commits them together; returns the new version.
+
+        ``append`` adds folders to a table; ``retire`` tells which of its older folders
+        the added rows supersede. ``bucket_by`` names the key of a table laid out in
+        buckets: a replaced one gets as many as its rows need, an appended one keeps them.
+        """
         version, tables, values = self._manifest()
         entries = {name: list(folders) for name, folders in tables.items() if name not in drop}
-        values = dict(values)
+        values = {**values, **(meta or {})}
         stamp = f"{version + 1:012d}-{uuid.uuid4().hex[:8]}"
         fresh = {**(replace or {}), **(append or {})}
 
-        def write(name: str) -> None:
-            columns = list((partition_by or {}).get(name, ())) or None
-            fresh[name].write.mode("errorifexists").parquet(
-                f"{self.root}/{name}/{_SEGMENT}={stamp}", partitionBy=columns
-            )
+        def write(name: str) -> list[str]:
+            folder = f"{name}/{_SEGMENT}={stamp}"
+            df, columns = fresh[name], list((partition_by or {}).get(name, ()))
+            count = 1
+            if name in (bucket_by or {}):
+                key = bucket_by[name]
+                count = self.buckets(name) if name in (append or {}) else self._buckets_for(name)
+                values[f"buckets:{name}"] = str(count)
+                if count > 1:
+                    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
+                    df, columns = df.withColumn(_BUCKET, bucket).repartition(_BUCKET), [_BUCKET]
+            df.write.mode("errorifexists").parquet(f"{self.root}/{folder}", partitionBy=columns or None)
+            if count == 1:
+                return [folder]
+            written = self.spark.read.parquet(f"{self.root}/{folder}").select(_BUCKET).distinct().collect()
+            return [f"{folder}/{_BUCKET}={r[0]}" for r in written]
 
         # The tables do not depend on each other, so small ones fill the gaps of large ones.
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-            list(pool.map(write, fresh))
-        for name in fresh:
-            kept = entries.get(name, []) if name in (append or {}) else []
-            entries[name] = [*kept, f"{name}/{_SEGMENT}={stamp}"]
-        values.update(meta or {})
+            folders = dict(zip(fresh, pool.map(write, fresh)))
+        for name, added in folders.items():
+            old = entries.get(name, []) if name in (append or {}) else []
+            superseded = (retire or {}).get(name, lambda folder: False)
+            entries[name] = [f for f in old if not superseded(f)] + added
         rows = [(version + 1, "table", n, p) for n, paths in entries.items() for p in paths]
         rows += [(version + 1, "meta", k, v) for k, v in values.items()]
         # The commit: one file, visible at once and only when complete.
@@ -150,3 +197,21 @@ class Store:
         manifest.write.mode("errorifexists").parquet(f"{self.root}/_manifest/{stamp}")
         self._current = (version + 1, entries, values)
         return version + 1
+
+    def _buckets_for(self, name: str) -> int:
+        """Sized by the rows stored so far, a count Parquet footers answer."""
+        rows = self.read(name).count() if self.exists(name) else 0
+        wanted = max(1, min(MAX_BUCKETS, -(-rows // BUCKET_ROWS)))
+        return max(wanted, self.buckets(name))
+
+
+def in_segments(segments: Sequence[str]) -> Callable[[str], bool]:
+    """Folders written by the given publishes."""
+    names = {f"{_SEGMENT}={s}" for s in segments}
+    return lambda folder: folder.split("/")[1] in names
+
+
+def in_buckets(buckets: Sequence[int]) -> Callable[[str], bool]:
+    """Folders of the given key buckets."""
+    names = {f"{_BUCKET}={b}" for b in buckets}
+    return lambda folder: folder.split("/")[-1] in names

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldtrail.operators import diff, skew, upsert
-from fieldtrail.sources.store import Store
+from fieldtrail.sources.store import Store, in_buckets
 
 
 def without_redeliveries(stream: DataFrame, key: str = "page_id", edited: str = "last_edited_time") -> DataFrame:
@@ -43,13 +43,18 @@ def batch_writer(
                 return
             small = skew.fits_broadcast(latest.select("page_id"))
             now = run_ts(latest, number)
-            stored = store.read(f"{table}_pages")
+            buckets = store.touched_buckets(f"{table}_pages", latest, "page_id")
+            stored = store.read_buckets(f"{table}_pages", buckets)
             changes = diff.detect_changes(latest, stored, now, change_fields, exclude_change_fields, small)
+            pages = {f"{table}_pages": upsert.upsert(stored, latest, batch_is_small=small)}
+            records = {f"{table}_changes": changes.withColumn("detected_date", F.substring("detected_at", 1, 10))}
             store.publish(
-                replace={f"{table}_pages": upsert.upsert(stored, latest, batch_is_small=small)},
-                append={f"{table}_changes": changes.withColumn("detected_date", F.substring("detected_at", 1, 10))},
+                replace=pages if buckets is None else {},
+                append=records if buckets is None else {**records, **pages},
                 meta={marker: str(number)},
                 partition_by={f"{table}_changes": ["detected_date"]},
+                bucket_by={f"{table}_pages": "page_id"},
+                retire={} if buckets is None else {f"{table}_pages": in_buckets(buckets)},
             )
         finally:
             latest.unpersist()

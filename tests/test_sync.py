@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fieldtrail.operators import quality
 from fieldtrail.plans import staging, sync
 from fieldtrail.sources import sinks
+from fieldtrail.sources import store as store_module
 from fieldtrail.sources.store import Store
 from fieldtrail.streaming import changes as stream
 from tests.conftest import rows
@@ -164,3 +165,25 @@ def test_a_replayed_stream_batch_is_taken_once(spark, tmp_path):
     assert store.read("t_changes").count() == count == 2
     write(batch.replace("y", "z"), 1)
     assert [tuple(r) for r in store.read("t_changes").where("detected_at = 'run-1'").select("old_value", "new_value").collect()] == [("y", "z")]
+
+
+def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "BUCKET_ROWS", 10)
+    store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
+    schema = doc(Status="select")
+    everything = [page(f"p{i}", RUNS[0], Status=select("Open")) for i in range(60)]
+    sync.sync_database(store, cfg, landed(spark, schema, *everything), RUNS[0])
+    sync.sync_database(store, cfg, landed(spark, schema, *everything), RUNS[1], full=True)
+    assert store.buckets("t_pages") == 6
+    before = set(store._manifest()[1]["t_pages"])
+    out = sync.sync_database(store, cfg, landed(spark, schema, page("p7", RUNS[2], Status=select("Done"), Extra={})), RUNS[2])
+    after = set(store._manifest()[1]["t_pages"])
+    assert out.changes == 1 and len(before - after) == 1 and len(after - before) == 1
+    got = {r.page_id: r.status for r in store.read("t_pages").collect()}
+    assert len(got) == 60 and got["p7"] == "Done" and got["p8"] == "Open"
+    # A new column reaches the touched bucket only; a rename reshapes the whole table.
+    wider = json.dumps({"properties": {"State": {"id": "id_Status", "type": "select"}, "Size": {"id": "s", "type": "number"}}})
+    sync.sync_database(store, cfg, landed(spark, wider, page("p9", RUNS[3], State=select("Done"), Size={"number": 2})), RUNS[3])
+    got = {r.page_id: (r.state, r["size"]) for r in store.read("t_pages").collect()}
+    assert got["p9"] == ("Done", 2.0) and got["p7"] == ("Done", None) and len(got) == 60
+    assert store.read("t_changes").where("field = 'status'").count() == 0
