@@ -26,15 +26,16 @@ def option_names(options: DataFrame) -> DataFrame:
 
 
 def backfill_option_names(
-    changes: DataFrame, options: DataFrame, max_rows: int = skew.BROADCAST_ROWS
+    changes: DataFrame, options: DataFrame, max_rows: int | None = None
 ) -> DataFrame:
     """O-J2, O-C4: values that carry an option id take the option's present name. NULL
     values and ids that are not registered stay. Adds ``old_updated`` and ``new_updated``."""
     names = option_names(options)
+    small = skew.fits_broadcast(names, max_rows)
     out = changes
     for side in ("old", "new"):
         lookup = names.select(F.col("option_id").alias(f"{side}_value_id"), F.col("option_name").alias("_name"))
-        out = skew.lookup_join(out, lookup, [f"{side}_value_id"], ["id"], "left", max_rows)
+        out = skew.lookup_join(out, lookup, [f"{side}_value_id"], ["id"], small=small)
         stale = F.coalesce(F.col("_name") != F.col(f"{side}_value"), F.lit(False))
         out = (
             out.withColumn(f"{side}_updated", stale)

@@ -217,9 +217,10 @@ def salted_join(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Counts no further than the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    bound = BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
 def lookup_join(
@@ -228,10 +229,14 @@ def lookup_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Broadcast ``one`` if it is counted small, else join with salts."""
-    if fits_broadcast(one, max_rows):
+    """Broadcast ``one`` if it is counted small, else join with salts. A caller joining
+    the same table twice counts once and hands the outcome on as ``small``."""
+    if small is None:
+        small = fits_broadcast(one, max_rows)
+    if small:
         return many.join(F.broadcast(one), list(keys), how)
     return salted_join(many, one, keys, spread_by, how)
 
