@@ -93,7 +93,8 @@ def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, fu
     rows = recent.withColumnRenamed("last_edited_time", "_edited").withColumnRenamed("_edited_text", "last_edited_time")
     batch = skew.latest_per_key(rows, ["page_id"], ["_edited"]).drop("_edited")
     if cfg.include_content and landed.blocks is not None:
-        wanted = landed.blocks.join(batch.select("page_id"), "page_id", "left_semi")
+        # The ids alone are read for this, without picking the newest deliveries again.
+        wanted = landed.blocks.join(rows.select("page_id"), "page_id", "left_semi")
         batch = batch.join(content.content_text(wanted), "page_id", "left")
     return batch
 
@@ -225,13 +226,19 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
             append[f"{name}_changes"] = _dated(reduce(DataFrame.unionByName, records))
         if plan.comments is not None:
             fresh = observed("comments", plan.comments)
-            replace[f"{name}_comments"] = upsert.upsert_comments(store.read(f"{name}_comments"), fresh)
+            touched = store.touched_buckets(f"{name}_comments", plan.comments, "comment_id")
+            comments = upsert.upsert_comments(store.read_buckets(f"{name}_comments", touched), fresh)
+            if touched is None:
+                replace[f"{name}_comments"] = comments
+            else:
+                append[f"{name}_comments"] = comments
+                retire[f"{name}_comments"] = in_buckets(touched)
         result.version = store.publish(
             replace,
             append,
             {f"last_sync:{name}": run_ts},
             partition_by={f"{name}_changes": ["detected_date"]},
-            bucket_by={f"{name}_pages": "page_id"},
+            bucket_by={f"{name}_pages": "page_id", f"{name}_comments": "comment_id"},
             retire=retire,
         )
         result.pages = plan.batch.count()

@@ -172,11 +172,21 @@ def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypat
     store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
     schema = doc(Status="select")
     everything = [page(f"p{i}", RUNS[0], Status=select("Open")) for i in range(60)]
-    sync.sync_database(store, cfg, landed(spark, schema, *everything), RUNS[0])
-    sync.sync_database(store, cfg, landed(spark, schema, *everything), RUNS[1], full=True)
-    assert store.buckets("t_pages") == 6
+
+    def comments(ids, text):
+        docs = [json.dumps({"page_id": i, "results": [{"id": f"c-{i}", "last_edited_time": text, "rich_text": [{"plain_text": text}]}]}) for i in ids]
+        return spark.createDataFrame([(d,) for d in docs], "raw string")
+
+    said = comments([f"p{i}" for i in range(60)], "1")
+    sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[0])
+    sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[1], full=True)
+    assert store.buckets("t_pages") == store.buckets("t_comments") == 6
     before = set(store._manifest()[1]["t_pages"])
-    out = sync.sync_database(store, cfg, landed(spark, schema, page("p7", RUNS[2], Status=select("Done"), Extra={})), RUNS[2])
+    out = sync.sync_database(
+        store, cfg, landed(spark, schema, page("p7", RUNS[2], Status=select("Done"), Extra={}), comments=comments(["p7", "p8"], "2")), RUNS[2]
+    )
+    texts = {r.comment_id: r.text for r in store.read("t_comments").collect()}
+    assert len(texts) == 60 and texts["c-p7"] == "2" and texts["c-p8"] == "1" and out.comments == 1
     after = set(store._manifest()[1]["t_pages"])
     assert out.changes == 1 and len(before - after) == 1 and len(after - before) == 1
     got = {r.page_id: r.status for r in store.read("t_pages").collect()}
