@@ -85,7 +85,7 @@ class Classifier:
 
 def identify(
     docs: DataFrame, train: DataFrame, keep: dict[str, Column], sample_docs: int = 300,
-    dictionary_bytes: int = 110_000, level: int = 3, min_margin: float = 0.01, scale: float = 0.05,
+    dictionary_bytes: int = 110_000, level: int = 9, min_margin: float = 0.01, scale: float = 0.05,
 ) -> DataFrame:
     """The ``keep`` columns of ``docs`` with lang_pred, score and rejected."""
     workers_can_import(docs.sparkSession)
