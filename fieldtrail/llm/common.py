@@ -16,8 +16,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch; texts can be long.
+BATCH_ROWS = 1000
+
+
 def workers_can_import(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it."""
+    """Python workers look for this package where the driver found it, and get small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
@@ -37,6 +42,11 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.hash(text, F.length(text)).alias("k2")]
 
 
+def kinds(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema text."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def text_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
     """Slices (first row, end row, texts as UTF-8) of a batch, each of about ``max_bytes``.
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldtrail.llm.common import workers_can_import
+from fieldtrail.llm.common import kinds, workers_can_import
 
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -92,7 +92,6 @@ def identify(
     contents = dictionaries(train, sample_docs, dictionary_bytes)
     kept = docs.select(F.col("text").alias("_text"), *(c.alias(name) for name, c in keep.items()))
     names = list(keep)
-    fields = [f for f in kept.schema.fields if f.name != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(contents, level, min_margin, scale)
@@ -106,5 +105,4 @@ def identify(
                 names=[*names, "lang_pred", "score", "rejected"],
             )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return kept.mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    return kept.mapInArrow(run, f"{kinds(kept.drop('_text'))}, lang_pred string, score double, rejected boolean")

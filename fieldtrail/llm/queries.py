@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import language_id, line_dedup, packing, url_filters
+from fieldtrail.llm import decontaminate, language_id, line_dedup, packing, toxicity, url_filters
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -127,3 +127,29 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain's categories, mild to severe: low quality, toxic, both."""
+    labels = read_table(spark, sf_dir, "labels")
+    low = (1 - F.col("quality")).alias("low_quality")
+    return labels.select("doc_id", low, "toxic", ((1 - F.col("quality")) * F.col("toxic")).alias("severe"))
+
+
+TOXICITY_CATEGORIES = ["low_quality", "toxic", "severe"]
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probabilities along the chain, and whether it is toxic."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, toxicity_labels(spark, sf_dir), TOXICITY_CATEGORIES)
+    return toxicity.score(docs, chain, "toxic").drop("text")
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) that align, with their score and the words they span."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("contamination").alias("hit")).select("doc_id", "hit.*")

@@ -1,7 +1,7 @@
 """Token ids of whole texts by a tokenizer file, with a cache of ids per distinct word.
 
 Where the file splits texts into runs of letters, single digits and runs of other characters
-before its merges (``_RUNS``), a text's ids are those of its runs, one after the other. Each worker
+before its merges (``_SPLIT``), a text's ids are those of its runs, one after the other. Each worker
 keeps the ids of runs it has seen (up to ``CACHE_RUNS``; later ones are computed each time). Texts
 with anything the byte classes below do not decide alike (apostrophes, other scripts or white
 space, special-token strings) and files of another kind go through the tokenizer whole.
@@ -15,16 +15,13 @@ import re
 
 import numpy as np
 
-from fieldtrail.llm.words import ALONE, WORD, Words
+from fieldtrail.llm.words import RUNS, Words
 
 CACHE_RUNS = 500_000
 #: The split rule of the files that runs are valid for.
-_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Anything but ASCII without the apostrophe, and the letters from U+00C0 to U+024F.
 _ODD = re.compile("[^\t\n\r\x20-&(-~À-ÖØ-öø-ɏ]|<\\|")
-_KINDS = WORD * 2
-_KINDS[list(b"abcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = 1
-_KINDS[list(b"0123456789")] = ALONE
 
 
 def splits_into_runs(path: str) -> bool:
@@ -33,7 +30,7 @@ def splits_into_runs(path: str) -> bool:
     split = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
     return (
-        (split[0].get("pattern") or {}).get("Regex") == _RUNS
+        (split[0].get("pattern") or {}).get("Regex") == _SPLIT
         and steps == ["NFC", "Replace", "Lowercase"]
         and [s.get("type") for s in split[1:]] == ["ByteLevel"]
         and spec.get("post_processor") is None
@@ -68,7 +65,7 @@ class Encoder:
         """Ids of each text."""
         strings = [t.decode("utf-8", "replace") for t in texts]
         plain = [self.runs and not _ODD.search(s) for s in strings]
-        words = Words([t if p else b"" for t, p in zip(texts, plain)], _KINDS)
+        words = Words([t if p else b"" for t, p in zip(texts, plain)], RUNS)
         ids, ends = self._of_runs(words)
         return [ids[a:b] if p else self.whole(s) for s, p, a, b in zip(strings, plain, ends[:-1], ends[1:])]
 

@@ -16,6 +16,13 @@ _LOWER[65:91] += 32
 WORD = np.ones(256, np.uint8)
 WORD[[32, 9, 10, 11, 12, 13]] = 0
 ALONE = 3
+#: Letters and digits only.
+PLAIN = np.zeros(256, np.uint8)
+PLAIN[list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(128, 256))] = 1
+#: Runs of letters, runs of other signs, single digits.
+RUNS = WORD * 2
+RUNS[list(b"abcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = 1
+RUNS[list(b"0123456789")] = ALONE
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,23 +63,39 @@ class Words:
     ``start``/``end`` are byte offsets into ``buf``, ``base`` where each text begins in it.
     """
 
-    def __init__(self, texts: list[bytes], kinds: np.ndarray = WORD):
+    def __init__(self, texts: list[bytes], kinds: np.ndarray = WORD, latin: bool = False):
         """``kinds`` gives each byte's class: 0 between words, ``ALONE`` a word by itself;
-        neighbouring bytes of two classes also belong to two words."""
+        neighbouring bytes of two classes also belong to two words. ``latin`` also lower-cases
+        U+00C0 to U+00DE."""
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         self.base = np.concatenate([[0], np.cumsum(sizes + 1)])
         self.buf = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)] if texts else np.zeros(0, np.uint8)
+        if latin and len(self.buf):
+            capital = (self.buf[:-1] == 0xC3) & (self.buf[1:] >= 0x80) & (self.buf[1:] <= 0x9E) & (self.buf[1:] != 0x97)
+            self.buf[1:][capital] += 32
         kind = kinds[self.buf]
         before = np.concatenate([[0], kind[:-1]]).astype(np.uint8) if texts else kind
         begins = (kind != 0) & ((kind != before) | (kind == ALONE))
         edge = np.flatnonzero(begins | ((kind == 0) & (before != 0)))
         opens = np.flatnonzero(begins[edge])
         self.start, self.end = edge[opens], edge[opens + 1]
-        total = prefix_hash(self.buf)
-        _, inverse = powers(len(self.buf))
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64))
+        self._total = prefix_hash(self.buf)
+        self.hash = self._span_hash(self.start, self.end)
         self.first = np.searchsorted(self.start, self.base)
 
+    def _span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        _, inverse = powers(len(self.buf))
+        return mix((self._total[end] - self._total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+    def text_of(self) -> np.ndarray:
+        """Index of each word's text."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(indices of words longer than ``n`` bytes, hashes of their first ``n`` bytes)."""
+        long = np.flatnonzero(self.end - self.start > n)
+        return long, self._span_hash(self.start[long], self.start[long] + n) + np.uint64(n)
+
     def shingles(self, n: int) -> np.ndarray:
         """Hash of the n words from each word on; only those within one text are meaningful."""
         h, size = self.hash, len(self.hash)
