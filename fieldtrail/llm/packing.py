@@ -30,7 +30,7 @@ from fieldtrail.llm.common import stored, text_batches, workers_can_import
 from fieldtrail.llm.tokens import encoder
 
 #: Partitions whose leftovers meet in one task.
-MERGE = 32
+MERGE = 8
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, part int"
 _ARROW = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),

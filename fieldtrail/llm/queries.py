@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import decontaminate, language_id, line_dedup, packing, toxicity, url_filters
+from fieldtrail.llm import decontaminate, language_id, line_dedup, neighbours, packing, toxicity, url_filters
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -153,3 +153,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("contamination").alias("hit")).select("doc_id", "hit.*")
+
+
+@query("op5_neighbours")
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("id") % 50 == 0, 5)
