@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import decontaminate, language_id, line_dedup, neighbours, packing, toxicity, url_filters
+from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, toxicity, url_filters
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -160,3 +160,10 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of every vector whose id is divisible by 50."""
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors, F.col("id") % 50 == 0, 5)
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of 90 % of three-word shingles."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.link_documents(docs, n=3, percent=90).drop("text_key")
