@@ -18,10 +18,11 @@ table gives no rows; other columns stay, and the result's ``kept_text``, ``n_lin
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.llm.common import stored
+from fieldtrail.llm.spans import merged_spans
 
 _TRIM = r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$"
 
@@ -51,9 +52,9 @@ def _windows(size: int) -> Column:
 
 
 def _kept(text: Column, spans: Column) -> Column:
-    """``text`` without the lines of ``spans``, sorted and disjoint (first, last) pairs."""
+    """``text`` without the lines of ``spans``, sorted and disjoint half-open ranges."""
     lines = F.split(text, "\n", -1)
-    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["b"] + 1))
+    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["b"]))
     ends = F.concat(F.transform(spans, lambda s: s["a"]), F.array(F.size(lines)))
     pieces = F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, b - a))
     return F.array_join(F.flatten(pieces), "\n")
@@ -76,15 +77,8 @@ def covered_spans(docs: DataFrame, size: int) -> DataFrame:
         .filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"),
         "windows",
     )
-    covered = windows.join(repeated, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("k1", "k2", "a", "b")
-    document = Window.partitionBy("k1", "k2").orderBy("a", "b")
-    reach = F.max("b").over(document.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("a") <= F.col("reach") + 1, 0).otherwise(1)).over(document)
-    return (
-        covered.withColumn("reach", reach).withColumn("island", island)
-        .groupBy("k1", "k2", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-        .groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
-    )
+    covered = windows.join(repeated, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("k1", "k2", "a", F.expr("b + 1").alias("b"))
+    return merged_spans(covered, ["k1", "k2"])
 
 
 def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -100,5 +94,5 @@ def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
         F.when(cut.isNull(), text).otherwise(_kept(text, cut)).alias("kept_text"),
         F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias("n_lines"),
         F.when(cut.isNull(), 0)
-        .otherwise(F.aggregate(cut, F.lit(0), lambda n, s: n + s["b"] - s["a"] + 1)).cast("long").alias("n_removed"),
+        .otherwise(F.aggregate(cut, F.lit(0), lambda n, s: n + s["b"] - s["a"])).cast("long").alias("n_removed"),
     )

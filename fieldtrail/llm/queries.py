@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, toxicity, url_filters
+from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, suffix_dedup, toxicity, url_filters
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -167,3 +167,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component under links of 90 % of three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.link_documents(docs, n=3, percent=90).drop("text_key")
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without the bytes under 200-byte strings that also start elsewhere."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.dedup(docs, length=200, keep="none")
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
