@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, suffix_dedup, toxicity, url_filters
+from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, suffix_dedup, surrogates, toxicity, url_filters
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -179,3 +179,15 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+#: The key that binds entities to replacements; whoever runs this on real data brings their own.
+SURROGATE_KEY = b"fieldtrail test key"
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with its personal data replaced."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = surrogates.replace_entities(docs, SURROGATE_KEY)
+    return found.select("doc_id", "clean_text", F.size("entities").alias("n_entities"), "entities")
