@@ -90,13 +90,13 @@ def identify(
     """The ``keep`` columns of ``docs`` with lang_pred, score and rejected."""
     workers_can_import(docs.sparkSession)
     contents = dictionaries(train, sample_docs, dictionary_bytes)
-    kept = docs.select(F.col("text").alias("_text"), *(c.alias(name) for name, c in keep.items()))
+    kept = docs.select(F.col("text").alias("__text"), *(c.alias(name) for name, c in keep.items()))
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(contents, level, min_margin, scale)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column("__text").to_pylist()
             out = [judge(t) for t in texts]
             lang, score, rejected = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -105,4 +105,4 @@ def identify(
                 names=[*names, "lang_pred", "score", "rejected"],
             )
 
-    return kept.mapInArrow(run, f"{kinds(kept.drop('_text'))}, lang_pred string, score double, rejected boolean")
+    return kept.mapInArrow(run, f"{kinds(kept.drop('__text'))}, lang_pred string, score double, rejected boolean")

@@ -84,11 +84,11 @@ def covered_spans(docs: DataFrame, size: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     """``docs`` with kept_text, n_lines (of the input) and n_removed."""
     docs = docs.drop("kept_text", "n_lines", "n_removed")
-    spans = covered_spans(docs.select("doc_id", "text"), size).withColumnRenamed("spans", "_spans")
-    keys = [F.col("_k1") == spans["k1"], F.col("_k2") == spans["k2"]]
+    spans = covered_spans(docs.select("doc_id", "text"), size).toDF("__s1", "__s2", "__spans")
+    keys = [F.col("__k1") == F.col("__s1"), F.col("__k2") == F.col("__s2")]
     k1, k2 = _key()
-    joined = docs.withColumns({"_k1": k1, "_k2": k2}).join(spans, keys, "left")
-    text, cut = F.col("text"), F.col("_spans")
+    joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(spans, keys, "left")
+    text, cut = F.col("text"), F.col("__spans")
     return joined.select(
         *docs.columns,
         F.when(cut.isNull(), text).otherwise(_kept(text, cut)).alias("kept_text"),

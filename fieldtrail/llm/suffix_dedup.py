@@ -356,14 +356,14 @@ def dedup(docs: DataFrame, length: int = 200, keep: str = "first", hot: int = HO
         raise ValueError(f"keep {keep!r}")
     workers_can_import(docs.sparkSession)
     docs = docs.drop("n_bytes", "removed", "kept")
-    spans = merged_spans(repeat_spans(docs.select("doc_id", "text"), length, keep, hot), _KEY)
+    spans = merged_spans(repeat_spans(docs.select("doc_id", "text"), length, keep, hot), _KEY).toDF("__s1", "__s2", "__spans")
     text = F.coalesce("text", F.lit(""))
     joined = docs.withColumns({
-        "_k1": F.xxhash64(F.col("doc_id").cast("long"), text), "_k2": F.hash(text, F.length(text)),
-    }).join(spans, [F.col("_k1") == spans["k1"], F.col("_k2") == spans["k2"]], "left")
+        "__k1": F.xxhash64(F.col("doc_id").cast("long"), text), "__k2": F.hash(text, F.length(text)),
+    }).join(spans, [F.col("__k1") == F.col("__s1"), F.col("__k2") == F.col("__s2")], "left")
     none = F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)")
     cut = joined.select(
         *docs.columns, F.octet_length(text).cast("long").alias("n_bytes"),
-        F.coalesce("spans", none).alias("removed"), text.cast("binary").alias("kept"),
+        F.coalesce("__spans", none).alias("removed"), text.cast("binary").alias("kept"),
     )
     return cut.mapInArrow(_remove, kinds(cut))

@@ -249,7 +249,7 @@ def _apply(key: bytes) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             clean, entities = [], []
-            for text, again in zip(batch.column("clean_text").to_pylist(), batch.column("_again").to_pylist()):
+            for text, again in zip(batch.column("clean_text").to_pylist(), batch.column("__again").to_pylist()):
                 attempts = {(a["kind"], a["entity"]): a["attempt"] for a in again or ()}
                 parts, at, found = [], 0, []
                 for start, end, kind, entity in mentions(text) if text else ():
@@ -259,7 +259,7 @@ def _apply(key: bytes) -> Callable:
                     found.append({"kind": kind, "start": start, "end": end, "replacement": new})
                 clean.append("".join([*parts, text[at:]]) if found else text)
                 entities.append(found)
-            names = [n for n in batch.schema.names if n not in ("clean_text", "_again")]
+            names = [n for n in batch.schema.names if n not in ("clean_text", "__again")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(clean, pa.string()), pa.array(entities, kind_type)],
                 names=[*names, "clean_text", "entities"],
@@ -294,11 +294,12 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
         keys = [F.xxhash64("text").alias("t1"), F.hash("text", F.length("text")).alias("t2")]
         lists = (
             _mentioned(docs.select("text", *keys)).join(again, ["kind", "entity"])
-            .groupBy("t1", "t2").agg(F.collect_list(F.struct("kind", "entity", "attempt")).alias("_again"))
+            .groupBy(F.col("t1").alias("__a1"), F.col("t2").alias("__a2"))
+            .agg(F.collect_list(F.struct("kind", "entity", "attempt")).alias("__again"))
         )
-        out = out.withColumns({"_t1": F.xxhash64("text"), "_t2": F.hash("text", F.length("text"))}).join(
-            lists, [F.col("_t1") == lists["t1"], F.col("_t2") == lists["t2"]], "left"
-        ).select(*out.columns, "_again")
+        out = out.withColumns({"__t1": F.xxhash64("text"), "__t2": F.hash("text", F.length("text"))}).join(
+            lists, [F.col("__t1") == F.col("__a1"), F.col("__t2") == F.col("__a2")], "left"
+        ).select(*out.columns, "__again")
     else:
-        out = out.withColumn("_again", F.expr("cast(null as array<struct<kind:string,entity:string,attempt:int>>)"))
+        out = out.withColumn("__again", F.expr("cast(null as array<struct<kind:string,entity:string,attempt:int>>)"))
     return out.mapInArrow(_apply(key), f"{kinds(docs)}, clean_text string, entities {_ENTITY}")

@@ -101,7 +101,7 @@ def _by_map(urls: DataFrame, filed: dict[str, list[Rule]]) -> DataFrame:
     place = F.concat("host", "path")
     found = F.flatten(F.transform(F.filter(_tokens(), lambda t: F.map_contains_key(index, t)), lambda t: index[t]))
     fits = F.filter(found, lambda r: F.call_function("regexp_like", place, r["pattern"]))
-    return urls.withColumn("_best", F.array_max(fits))
+    return urls.withColumn("__best", F.array_max(fits))
 
 
 def _by_join(urls: DataFrame, filed: dict[str, list[Rule]]) -> DataFrame:
@@ -115,7 +115,7 @@ def _by_join(urls: DataFrame, filed: dict[str, list[Rule]]) -> DataFrame:
     best = (
         places.withColumn("token", F.explode(_tokens())).join(table, "token")
         .filter(F.call_function("regexp_like", F.concat("host", "path"), F.col("pattern")))
-        .groupBy("host", "path").agg(F.max(F.struct("rank", "name", "verdict", "pattern", "listed")).alias("_best"))
+        .groupBy("host", "path").agg(F.max(F.struct("rank", "name", "verdict", "pattern", "listed")).alias("__best"))
     )
     return urls.join(best, ["host", "path"], "left")
 
@@ -128,8 +128,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", map
     urls = pages.drop(*(c for c in _RESULT if c != "url")).withColumns({"host": host, "path": path})
     filed = _file_rules(urls.select("host", "path"), rules)
     judged = (_by_map if len(rules) <= map_rules else _by_join)(urls, filed)
-    best = F.col("_best")
+    best = F.col("__best")
     return judged.withColumns({
         "rule": F.when(best["listed"], best["name"]),
         "verdict": F.coalesce(best["verdict"], F.lit(default)),
-    }).drop("_best")
+    }).drop("__best")
