@@ -16,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == []
 
