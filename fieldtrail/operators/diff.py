@@ -160,16 +160,20 @@ def change_log(
     key: str,
     order: Sequence[str],
     values: dict[str, str],
+    hot=skew.COUNT,
 ) -> DataFrame:
     """O-C3: the records repeated runs of O-C2 would emit, from all versions at once.
 
     ``values`` maps field name to column. Returns (page_id, field, old_value, new_value,
-    is_initial) plus the order columns. One shuffle by key; hot keys are split.
+    is_initial) plus the order columns. One shuffle by key; hot keys are split. ``hot`` is
+    the outcome of ``hot_keys_if_any`` over ``page_id`` when the caller has it.
     """
     types = {f.name: f.dataType for f in versions.schema}
     cols = list(dict.fromkeys(values.values()))
-    slim = versions.select(key, *[c for c in order if c != key], *[c for c in cols if c not in order and c != key])
-    paired = skew.ordered_neighbours(slim, [key], order, previous=cols)
+    # Cast before the window: what is keyed by page_id afterwards needs no second shuffle.
+    rest = [c for c in (*order, *cols) if c != "page_id"]
+    slim = versions.select(F.col(key).cast("string").alias("page_id"), *dict.fromkeys(rest))
+    paired = skew.ordered_neighbours(slim, ["page_id"], order, previous=cols, hot=hot)
     first = F.col("_prev").isNull()
     entries = [
         _entry(
@@ -181,7 +185,7 @@ def change_log(
     ]
     return (
         paired.select(
-            F.col(key).cast("string").alias("page_id"),
+            "page_id",
             *order,
             first.alias("is_initial"),
             F.inline(F.array(*entries)),

@@ -106,17 +106,38 @@ def options_of(schema_rows: DataFrame) -> DataFrame:
 # -- column operations -----------------------------------------------------------------
 
 
-def rename_family(pages: DataFrame, changes: DataFrame, old: str, new: str) -> tuple[DataFrame, DataFrame]:
-    """O-E3: the property was renamed, so all columns it owns and their history move. A
-    target that exists already is filled where it is NULL."""
-    moves = {o: n for o, n in zip(column_family(old), column_family(new)) if o in pages.columns and o != n}
-    clash = {o: n for o, n in moves.items() if n in pages.columns}
+def rename_families(
+    pages: DataFrame, changes: DataFrame, renames: Sequence[tuple[str, str]]
+) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """O-E3: the properties were renamed, so all columns they own and their history move, all
+    at once: a swap or a chain of names mixes nothing. A target that exists and does not move
+    away itself is filled where it is NULL. Returns the moves of stored columns too."""
+    family = {o: n for old, new in renames for o, n in zip(column_family(old), column_family(new)) if o != n}
+    moves = {o: n for o, n in family.items() if o in pages.columns}
+    if not moves:
+        return pages, changes, {}
+    types = {f.name: f.dataType for f in pages.schema}
+    sources: dict[str, list[str]] = {}
+    for o, n in moves.items():
+        sources.setdefault(n, []).append(o)
+    stays = [c for c in pages.columns if c not in moves]
+    clash = [n for n in sources if n in stays]
     if clash:
         log.warning("rename target exists, filling its NULLs: %s", clash)
-        pages = pages.withColumns({n: F.coalesce(F.col(n), F.col(o).cast(pages.schema[n].dataType)) for o, n in clash.items()})
-        pages = pages.drop(*clash)
-    pages = pages.withColumnsRenamed({o: n for o, n in moves.items() if o not in clash})
-    return pages, history.rename_fields(changes, moves)
+    columns = []
+    for c in pages.columns:
+        name = moves.get(c, c)
+        kind = types[name] if name in stays else types[sources[name][0]] if name in sources else types[c]
+        parts = ([F.col(name)] if name in stays else []) + [F.col(o).cast(kind) for o in sources.get(name, [])]
+        if c in stays or (name not in stays and sources[name][0] == c):
+            columns.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).alias(name))
+    return pages.select(*columns), history.rename_fields(changes, moves), moves
+
+
+def rename_family(pages: DataFrame, changes: DataFrame, old: str, new: str) -> tuple[DataFrame, DataFrame]:
+    """O-E3 for a single property."""
+    pages, changes, _ = rename_families(pages, changes, [(old, new)])
+    return pages, changes
 
 
 def apply_declared_rename(
@@ -174,6 +195,7 @@ class Evolution:
     backups: dict[tuple[str, str], str] = field(default_factory=dict)  # (column, type) -> backup column
     messages: list[str] = field(default_factory=list)
     changed_pages: bool = False
+    moved_fields: bool = False
 
 
 def evolve(
@@ -189,28 +211,26 @@ def evolve(
     (O-E13) is a call whose result is not published.
     """
     out = Evolution(pages, changes, dict(backups))
-    for row in sorted(diff, key=lambda r: (r["new_column"] or r["old_column"], r["property_id"])):
+    rows = sorted(diff, key=lambda r: (r["new_column"] or r["old_column"], r["property_id"]))
+    renamed = []
+    for row in rows:
         status, old, new = row["status"], row["old_column"], row["new_column"]
         if status == "disappeared":
             out.messages.append(f"column '{old}' ('{row['old_name']}') is no longer in the schema; its data is kept")
         if "renamed" in status and old != new:
-            before = out.pages
-            out.pages, out.changes = rename_family(out.pages, out.changes, old, new)
-            if out.pages is not before:
-                out.changed_pages = True
-            out.backups = {
-                (_moved(c, old, new), t): b for (c, t), b in out.backups.items()
-            }
+            renamed.append((old, new))
             out.messages.append(f"renamed '{row['old_name']}' to '{row['new_name']}' (column '{old}' to '{new}')")
-        if "type_changed" in status:
-            _retype(out, row, new, now)
+    if renamed:
+        out.pages, out.changes, moves = rename_families(out.pages, out.changes, renamed)
+        out.changed_pages = out.moved_fields = bool(moves)
+        family = {o: n for old, new in renamed for o, n in zip(column_family(old), column_family(new))}
+        out.backups = {(family.get(c, c), t): b for (c, t), b in out.backups.items()}
+    for row in rows:
+        if "type_changed" in row["status"]:
+            _retype(out, row, row["new_column"], now)
     return out
 
 
-def _moved(column: str, old: str, new: str) -> str:
-    return dict(zip(column_family(old), column_family(new))).get(column, column)
-
-
 def _retype(out: Evolution, row: Mapping, column: str, now: str) -> None:
     old_type, new_type = row["old_type"], row["new_type"]
     kept = {c: b for (c, t), b in out.backups.items() if t == new_type and c in column_family(column, new_type)}

@@ -25,6 +25,13 @@ def option_names(options: DataFrame) -> DataFrame:
     return options.groupBy("option_id").agg(F.min_by("option_name", "property_id").alias("option_name"))
 
 
+def names_differ(known: DataFrame, current: DataFrame) -> bool:
+    """Whether an option has another name than was known, or was not known at all."""
+    old = option_names(known).withColumnRenamed("option_name", "_known")
+    moved = option_names(current).join(old, "option_id", "left").where(~F.col("option_name").eqNullSafe(F.col("_known")))
+    return not moved.isEmpty()
+
+
 def backfill_option_names(
     changes: DataFrame, options: DataFrame, max_rows: int | None = None
 ) -> DataFrame:

@@ -62,6 +62,34 @@ def split_date_columns(pages: DataFrame, columns: Sequence[str]) -> DataFrame:
     return pages.withColumns(halves).drop(*present) if present else pages
 
 
+def split_impact(pages: DataFrame, changes: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    """O-E13 of O-P17 and O-C5: per table and column what a split would do: values set in the
+    start and in the end column of the pages, rows added to and removed from the history.
+    Columns the pages do not have are not listed; nor are fields without records."""
+    present = [c for c in columns if c in pages.columns]
+    shape = "table_name string, column_name string, values_set long, rows_added long, rows_removed long"
+    spark = pages.sparkSession
+    nothing = F.lit(0).cast("long")
+    out = spark.createDataFrame([], shape)
+    if present:
+        per_column = [
+            F.struct(
+                F.lit("pages").alias("table_name"), F.lit(c).alias("column_name"),
+                (F.count(range_start(F.col(c))) + F.count(range_end(F.col(c)))).alias("values_set"),
+                nothing.alias("rows_added"), nothing.alias("rows_removed"),
+            )
+            for c in present
+        ]
+        out = pages.agg(F.array(*per_column).alias("_impact")).select(F.inline("_impact"))
+    if changes is None:
+        return out
+    counted = changes.where(F.col("field").isin(*columns)).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+    return out.unionByName(counted.select(
+        F.lit("changes").alias("table_name"), F.col("field").alias("column_name"), nothing.alias("values_set"),
+        (F.col("n") * 2).alias("rows_added"), F.col("n").alias("rows_removed"),
+    ))
+
+
 def date_candidates(pages: DataFrame) -> list[str]:
     """Text columns that are neither system columns nor halves of a split date."""
     return [

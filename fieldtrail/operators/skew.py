@@ -12,6 +12,7 @@ matter how large the data is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ HOT_MAX_KEYS = 20_000
 HOT_MAX_PARTS = 4096
 #: Largest row count that is broadcast, and the bound every size check uses.
 BROADCAST_ROWS = 100_000
+#: Largest text size of chunk edges that is broadcast.
+EDGE_BYTES = 64 << 20
+#: Salts for rows whose key is NULL: they join with nothing and may go anywhere.
+NULL_SALTS = 4096
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
@@ -38,6 +43,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) ->
     )
 
 
+def _same_keys_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Joins by keys where NULL equals NULL, as in a group; keeps the left side's keys."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(F.broadcast(renamed), same, how).drop(*(f"_r_{k}" for k in keys))
+
+
 def _written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, read as often as
     needed, and still there when an executor is lost."""
@@ -61,7 +73,7 @@ def _cut_points(df: DataFrame, keys: Sequence[str], ordinate: str, hot: DataFram
     shares = ",".join(str(i / HOT_MAX_PARTS) for i in range(1, HOT_MAX_PARTS))
     quantiles = (
         df.select(*keys, ordinate)
-        .join(F.broadcast(hot), list(keys))
+        .transform(lambda d: _same_keys_join(d, hot, keys, "inner"))
         .groupBy(*keys, "_parts")
         .agg(
             F.percentile_approx(
@@ -95,14 +107,15 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], ordinate: str, cuts: DataFra
         ).otherwise(pos),
     )
     return (
-        df.join(F.broadcast(cuts), list(keys), "left")
+        _same_keys_join(df, cuts, keys, "left")
         .withColumn("_hot", F.col("_cuts").isNotNull())
         .withColumn("_chunk", F.when(F.col("_hot"), rank).otherwise(F.lit(0)))
         .drop("_cuts")
     )
 
 
-_COUNT = object()
+#: Stands for "count the hot keys first".
+COUNT = object()
 
 
 def ordered_neighbours(
@@ -112,7 +125,7 @@ def ordered_neighbours(
     previous: Sequence[str] = (),
     following: Sequence[str] = (),
     running_sum: dict[str, str] | None = None,
-    hot=_COUNT,
+    hot=COUNT,
 ) -> DataFrame:
     """``lag``, ``lead`` and running sums per key, exact also when one key is huge.
 
@@ -129,7 +142,7 @@ def ordered_neighbours(
     one table counts once (``hot_keys_if_any``) and hands the outcome on as ``hot``.
     """
     sums = running_sum or {}
-    if hot is _COUNT:
+    if hot is COUNT:
         hot = hot_keys_if_any(df, keys)
     split = hot is not None
     columns = df.columns
@@ -183,30 +196,50 @@ def ordered_neighbours(
             F.coalesce(F.col(name), F.lit(0)) + F.col(f"_before_{name}")
         )
     return (
-        within.join(F.broadcast(edges), [*keys, "_chunk"], "left")
+        _edges_join(within, edges, keys)
         .withColumns(whole)
         .select(*columns, *windowed)
     )
 
 
+def _edges_join(within: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Chunk rows with what their chunk takes over. The edges hold values of the caller, so
+    they are broadcast only when counted small in bytes; else both sides are spread by chunk."""
+    edges = _written(edges, "edges")
+    size = edges.agg(F.sum(F.length(F.to_json(F.struct(*edges.columns)))).alias("n")).first()["n"] or 0
+    if size <= EDGE_BYTES:
+        return _same_keys_join(within, edges, [*keys, "_chunk"], "left")
+    renamed = edges.withColumnsRenamed({k: f"_r_{k}" for k in (*keys, "_chunk")})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in (*keys, "_chunk")]
+    return within.join(renamed, same, "left").drop(*(f"_r_{k}" for k in (*keys, "_chunk")))
+
+
 def salted_join(
     many: DataFrame,
     one: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
+    hot=COUNT,
 ) -> DataFrame:
     """Equi-join of many rows per key with at most one row per key.
 
     A hot key's rows are spread over salts by a hash of ``spread_by`` and its single
-    partner row is repeated once per salt, so no task holds the whole key.
+    partner row is repeated once per salt, so no task holds the whole key. Rows with a NULL
+    in their key have no partner and are spread over salts of their own.
     """
-    hot = hot_keys_if_any(many, keys)
+    missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    spread = F.xxhash64(*spread_by)
+    if hot is COUNT:
+        hot = hot_keys_if_any(many.where(~missing), keys)
     if hot is None:
-        return many.join(one, list(keys), how)
+        salt = F.when(missing, F.pmod(spread, F.lit(NULL_SALTS)).cast("int") + 1).otherwise(0)
+        # Always 0, but no literal: one would be folded, and the salt with it.
+        left, right = many.withColumn("_salt", salt), one.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
+        return left.join(right, [*keys, "_salt"], how).drop("_salt")
     hot = F.broadcast(hot)
-    salt = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*spread_by), F.col("_parts").cast("long")).cast("int")
+    salt = F.when(missing, F.pmod(spread, F.lit(NULL_SALTS)).cast("int") + 1).when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+        F.pmod(spread, F.col("_parts").cast("long")).cast("int")
     )
     left = many.join(hot, list(keys), "left").withColumn("_salt", salt).drop("_parts")
     right = (

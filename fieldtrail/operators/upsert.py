@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +31,28 @@ def aligned_types(prev: DataFrame, batch: DataFrame) -> DataFrame:
     return prev.select(*[fitted(f) for f in prev.schema])
 
 
+def not_older(
+    batch: DataFrame, prev: DataFrame, key: str, order: Sequence[Callable[[Column], Column]], columns: Sequence[str], batch_is_small: bool = False
+) -> DataFrame:
+    """The batch without rows older than the stored version of their key, so that a late or
+    repeated delivery never wins. ``order`` reads a rank from each of ``columns``; a row whose
+    first rank is NULL on either side stays."""
+    have = [c for c in columns if c in prev.columns]
+    if len(have) < len(columns):
+        return batch
+
+    def rank(of: str) -> Column:
+        return F.struct(*[read(F.col(f"{of}{c}")).alias(c) for read, c in zip(order, columns)])
+
+    stored = prev.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_stored_{c}") for c in columns])
+    if batch_is_small:
+        stored = stored.join(F.broadcast(batch.select(F.col(key).alias("_key"))), "_key", "left_semi")
+    first = columns[0]
+    unknown = order[0](F.col(f"_stored_{first}")).isNull() | order[0](F.col(first)).isNull()
+    joined = batch.join(stored, F.col(key) == F.col("_key"), "left")
+    return joined.where(F.col("_key").isNull() | unknown | (rank("") >= rank("_stored_"))).select(*batch.columns)
+
+
 def upsert(
     prev: DataFrame,
     batch: DataFrame,

@@ -1,5 +1,8 @@
 """Interval tables, facts and dimensions built from pages and their history (O-M1 to O-M9, O-M12).
 
+``hot`` is the outcome of ``skew.hot_keys_if_any`` over ``page_id`` of the base table: a key that is
+not hot there is in nothing derived from it, so one count serves all marts of a table.
+
 Histories are staged first: ``valid_from`` and ``detected_at`` are timestamps here, since
 text spellings of one moment differ and would sort wrongly.
 """
@@ -17,11 +20,13 @@ from fieldtrail.operators import skew
 CHANGE_ORDER = ("valid_from", "detected_at", "id")
 
 
-def status_history(changes: DataFrame, field: str = "status", order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
+def status_history(
+    changes: DataFrame, field: str = "status", order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT
+) -> DataFrame:
     """O-M1: one row per page and value, valid in [valid_from, valid_to); the last interval
     of a page is open (NULL)."""
     values = changes.where(F.col("field") == field).select("page_id", F.col("new_value").alias("status"), *order)
-    paired = skew.ordered_neighbours(values, ["page_id"], order, following=[order[0]])
+    paired = skew.ordered_neighbours(values, ["page_id"], order, following=[order[0]], hot=hot)
     return paired.select(
         "page_id",
         "status",
@@ -44,10 +49,11 @@ def option_buckets(options: DataFrame) -> DataFrame:
 
 
 def active_days(history: DataFrame, bucket: Column, as_of: Column) -> DataFrame:
-    """O-M2: calendar days per page and status bucket; open intervals count up to ``as_of``.
-    Day counts are differences of dates, so no day is ever a row."""
-    days = F.datediff(F.coalesce("valid_to", as_of), F.col("valid_from"))
-    return history.groupBy("page_id", bucket.alias("bucket")).agg(F.sum(days).alias("active_days"))
+    """O-M2: calendar days per page and status bucket up to ``as_of``: intervals that end later
+    or are open count up to it, those that start later not at all. Day counts are differences
+    of dates, so no day is ever a row."""
+    days = F.datediff(F.least(F.coalesce("valid_to", as_of), as_of), F.col("valid_from"))
+    return history.where(F.col("valid_from") <= as_of).groupBy("page_id", bucket.alias("bucket")).agg(F.sum(days).alias("active_days"))
 
 
 def active_days_by_group(history: DataFrame, buckets: DataFrame, as_of: Column) -> DataFrame:
@@ -72,16 +78,24 @@ def recurring_completions(
     )
 
 
-def recurring_adherence(completions: DataFrame, definitions: DataFrame, expected: str) -> DataFrame:
-    """O-M3: completed over expected per definition and period. Completions are already
-    counted per definition, so a popular one is a few rows by now."""
+def recurring_adherence(
+    completions: DataFrame, definitions: DataFrame, expected: str, period: str = "month"
+) -> DataFrame:
+    """O-M3: completed over expected, per definition and every period from its first to its
+    last completion; a period without one counts 0. NULL where nothing is expected.
+    Completions are already counted per definition, so a popular one is a few rows by now."""
     d = definitions.select(F.col("page_id").alias("definition_id"), F.col(expected).alias("expected"))
-    return completions.join(d, "definition_id").select(
-        "definition_id", "period", "completions", "expected", (F.col("completions") / F.col("expected")).alias("adherence")
+    step = F.expr({"month": "interval 1 month", "year": "interval 1 year", "quarter": "interval 3 month", "week": "interval 7 day"}[period])
+    active = completions.groupBy("definition_id").agg(F.min("period").alias("_first"), F.max("period").alias("_last"))
+    axis = active.select("definition_id", F.explode(F.sequence("_first", "_last", step)).alias("period"))
+    done = F.coalesce("completions", F.lit(0))
+    return axis.join(completions, ["definition_id", "period"], "left").join(d, "definition_id").select(
+        "definition_id", "period", done.alias("completions"), "expected",
+        F.try_divide(done, F.col("expected")).alias("adherence"),
     )
 
 
-def status_at(history: DataFrame, moments: DataFrame, moment: str) -> DataFrame:
+def status_at(history: DataFrame, moments: DataFrame, moment: str, hot=skew.COUNT) -> DataFrame:
     """As-of lookup: the status of each page just before ``moment`` (one row per page in
     ``moments``); pages without a status by then are missing."""
     at = F.col(moment)
@@ -94,16 +108,19 @@ def status_at(history: DataFrame, moments: DataFrame, moment: str) -> DataFrame:
         ["page_id"],
         ["valid_from"],
         "inner",
+        hot,
     )
     return joined.where(inside).select("page_id", "status")
 
 
-def tasks_closed(tasks: DataFrame, history: DataFrame, dimensions: Sequence[str] = ()) -> DataFrame:
+def tasks_closed(
+    tasks: DataFrame, history: DataFrame, dimensions: Sequence[str] = (), hot=skew.COUNT
+) -> DataFrame:
     """O-M4: one row per closed task with the status it had at the end of the closing day."""
     closed = tasks.where(F.col("closed_date_start").isNotNull())
     history_kind = dict(history.dtypes)["valid_from"]
     moments = closed.select("page_id", F.date_add("closed_date_start", 1).cast(history_kind).alias("_after"))
-    at_close = status_at(history, moments, "_after").withColumnRenamed("status", "status_at_close")
+    at_close = status_at(history, moments, "_after", hot).withColumnRenamed("status", "status_at_close")
     return closed.join(at_close, "page_id", "left").select(
         "page_id",
         F.col("created_time").alias("created_at"),
@@ -113,21 +130,21 @@ def tasks_closed(tasks: DataFrame, history: DataFrame, dimensions: Sequence[str]
     )
 
 
-def _running_by_day(deltas: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Daily deltas to a running total on every day of the axis. After the daily sums there
-    is one row per calendar day, so the only unpartitioned window is over days."""
+def _running_by_day(deltas: DataFrame, last: Column | None = None) -> DataFrame:
+    """Daily deltas to a running total on every day from the first to ``last`` (or the last
+    with a delta). After the daily sums there is one row per calendar day, so the only
+    unpartitioned window is over days; days without a delta repeat the total before them."""
     daily = deltas.groupBy("day").agg(F.sum("delta").alias("delta"))
-    axis = daily.agg(first.alias("_first"), last.alias("_last")).select(
-        F.explode(F.sequence("_first", "_last")).alias("day")
-    )
-    running = F.sum(F.coalesce("delta", F.lit(0))).over(
-        Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return axis.join(daily, "day", "left").select("day", running.alias("open_tasks"))
+    days = Window.orderBy("day")
+    running = F.sum("delta").over(days.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = daily.select("day", running.alias("open_tasks"), F.date_sub(F.lead("day").over(days), 1).alias("_until"))
+    if last is not None:
+        totals = totals.where(F.col("day") <= last).withColumn("_until", F.least(F.coalesce("_until", last), last))
+    return totals.select(F.explode(F.sequence("day", F.coalesce("_until", "day"))).alias("day"), "open_tasks")
 
 
 def open_volume_daily(
-    changes: DataFrame, open_statuses: Sequence[str], field: str = "status", order: Sequence[str] = CHANGE_ORDER
+    changes: DataFrame, open_statuses: Sequence[str], field: str = "status", order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT
 ) -> DataFrame:
     """O-M5: tasks open at the end of each day. Every record moves the count by the
     difference to the record before; days sum the moves, and a running sum the days."""
@@ -135,15 +152,17 @@ def open_volume_daily(
     flags = changes.where(F.col("field") == field).select(
         "page_id", *order, F.coalesce(is_open, F.lit(0)).alias("is_open")
     )
-    paired = skew.ordered_neighbours(flags, ["page_id"], order, previous=["is_open"])
+    paired = skew.ordered_neighbours(flags, ["page_id"], order, previous=["is_open"], hot=hot)
     deltas = paired.select(
         F.to_date(order[0]).alias("day"),
         (F.col("is_open") - F.coalesce("_prev.is_open", F.lit(0))).cast("long").alias("delta"),
     )
-    return _running_by_day(deltas, F.min("day"), F.max("day"))
+    return _running_by_day(deltas)
 
 
-def open_volume_touched(history: DataFrame, open_statuses: Sequence[str], as_of_day: Column) -> DataFrame:
+def open_volume_touched(
+    history: DataFrame, open_statuses: Sequence[str], as_of_day: Column, hot=skew.COUNT
+) -> DataFrame:
     """O-M5, other reading: tasks open at any time of each day up to ``as_of_day``.
 
     The open intervals of a page follow each other, so each adds the days from its start,
@@ -162,7 +181,7 @@ def open_volume_touched(history: DataFrame, open_statuses: Sequence[str], as_of_
             F.coalesce(F.to_date(F.col("valid_to") - microsecond), as_of_day).alias("last_day"),
         )
     )
-    paired = skew.ordered_neighbours(spans, ["page_id"], ["valid_from", "interval_no"], previous=["last_day"])
+    paired = skew.ordered_neighbours(spans, ["page_id"], ["valid_from", "interval_no"], previous=["last_day"], hot=hot)
     start = F.greatest("first_day", F.date_add("_prev.last_day", 1))
     moves = paired.withColumn("start", start).where(F.col("start") <= F.col("last_day")).select(
         F.inline(
@@ -172,7 +191,7 @@ def open_volume_touched(history: DataFrame, open_statuses: Sequence[str], as_of_
             )
         )
     )
-    return _running_by_day(moves, F.min("day"), as_of_day).where(F.col("day") <= as_of_day)
+    return _running_by_day(moves, as_of_day)
 
 
 def mttr(closed: DataFrame, dimensions: Sequence[str], resolution_days: Column) -> DataFrame:
@@ -188,7 +207,7 @@ def mttr(closed: DataFrame, dimensions: Sequence[str], resolution_days: Column)
 
 
 def due_date_drift(
-    changes: DataFrame, field: str = "due_date_start", order: Sequence[str] = CHANGE_ORDER
+    changes: DataFrame, field: str = "due_date_start", order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT
 ) -> DataFrame:
     """O-M7: one row per later change of the due date, with its shift in days, its number
     and the total shift of the page so far. First sightings are no change."""
@@ -197,7 +216,7 @@ def due_date_drift(
     moved = later.select(
         "page_id", *order, old.alias("old_due"), new.alias("new_due"), F.datediff(new, old).cast("long").alias("shift_days")
     )
-    counted = skew.ordered_neighbours(moved, ["page_id"], order, running_sum={"total_shift_days": "shift_days"})
+    counted = skew.ordered_neighbours(moved, ["page_id"], order, running_sum={"total_shift_days": "shift_days"}, hot=hot)
     return counted.select(
         "page_id",
         F.col(order[0]).alias("changed_at"),

@@ -62,8 +62,11 @@ class SyncResult:
 
 @dataclass
 class SyncPlan:
-    """The lazy outcome of a run; publishing it is the only side effect there is."""
+    """The lazy outcome of a run; publishing it is the only side effect there is. The flat
+    rows it was made from are kept until ``close``, also by a dry run."""
 
+    delivered: DataFrame
+    #: The delivered rows that are not older than the stored ones.
     batch: DataFrame
     pages: DataFrame
     #: Key buckets ``pages`` covers; None when it is the whole table.
@@ -77,6 +80,16 @@ class SyncPlan:
     registries: dict[str, DataFrame]
     messages: list[str]
     backfilled: int = 0
+    renamed_options: bool = False
+
+    def close(self) -> None:
+        self.delivered.unpersist()
+
+    def __enter__(self) -> SyncPlan:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, full: bool) -> DataFrame:
@@ -106,12 +119,12 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
     # The name a record had is kept beside it, to see which segments a rename reaches.
     changes = history.with_option_ids(store.read(f"{name}_changes", layout=True)).withColumn("_field", F.col("field"))
     messages: list[str] = []
-    reshaped = False
+    reshaped = fields_moved = False
 
     for old, new in cfg.column_renames.items():
         pages, changes, moved = evolve.apply_declared_rename(pages, changes, column_name(old), column_name(new))
         if moved:
-            reshaped = True
+            reshaped = fields_moved = True
             messages.append(f"applied declared rename '{old}' to '{new}'")
 
     # Schema: a handful of rows per database, so the differences are planned on the driver.
@@ -120,11 +133,14 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
     current = evolve.property_registry(schema_rows)
     stored = store.read("_schema").where(F.col("table_name") == name)
     all_backups = store.read("_backups")
-    backups = {(r.column_name, r.type): r.backup_column for r in all_backups.where(F.col("table_name") == name).collect()}
+    known_backups = all_backups.where(F.col("table_name") == name).collect()  # at most one per column and type
+    backups = {(r.column_name, r.type): r.backup_column for r in known_backups}
+    made = {r.backup_column: r.created_at for r in known_backups}
     differences = [r.asDict() for r in evolve.schema_diff(current, stored).collect()]
     evolved = evolve.evolve(pages, changes, differences, backups, run_ts)
     pages, changes = evolved.pages, evolved.changes
     reshaped = reshaped or evolved.changed_pages
+    fields_moved = fields_moved or evolved.moved_fields
     messages += evolved.messages
 
     keys = {"_schema": ["table_name", "property_id"], "_options": ["table_name", "property_id", "option_id"]}
@@ -135,22 +151,48 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
         ),
     }
     if evolved.backups != backups:
-        rows = [(name, c, b, t, run_ts) for (c, t), b in evolved.backups.items()]
+        # A backup keeps the time it was made, also when its column was renamed since.
+        rows = [(name, c, b, t, made.get(b, run_ts)) for (c, t), b in evolved.backups.items()]
         own = spark.createDataFrame(rows, BACKUP_REGISTRY)
         registries["_backups"] = all_backups.where(F.col("table_name") != name).unionByName(own)
 
-    batch = flatten_batch(landed, cfg, store.meta(f"last_sync:{name}"), full).persist()
-    small = skew.fits_broadcast(batch.select("page_id"))
-
-    # A run that reshapes no column reads and rewrites only the buckets of its pages.
-    buckets = None if reshaped else store.touched_buckets(f"{name}_pages", batch, "page_id")
+    delivered = flatten_batch(landed, cfg, store.meta(f"last_sync:{name}"), full).persist()
+    try:
+        return _compared(store, cfg, landed, run_ts, full, delivered, pages, changes, registries, messages, reshaped, fields_moved)
+    except Exception:
+        delivered.unpersist()
+        raise
+
+
+def _compared(
+    store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool, delivered: DataFrame, pages: DataFrame,
+    changes: DataFrame, registries: dict[str, DataFrame], messages: list[str], reshaped: bool,
+    fields_moved: bool,
+) -> SyncPlan:
+    """The part of a plan that reads pages."""
+    name = cfg.name
+    small = skew.fits_broadcast(delivered.select("page_id"))
+    unreadable = delivered.where(to_timestamp(F.col("last_edited_time")).isNull()).limit(1000).count()
+    if unreadable:
+        messages.append(f"{unreadable if unreadable < 1000 else 'at least 1000'} pages without a readable last_edited_time were taken in")
+
+    # A run that reshapes no column reads and rewrites only the buckets of its pages. A column
+    # of another type than the stored one reshapes all of them.
+    types = {f.name: f.dataType for f in pages.schema}
+    reshaped = reshaped or any(types.get(f.name, f.dataType) != f.dataType for f in delivered.schema)
+    buckets = None if reshaped else store.touched_buckets(f"{name}_pages", delivered, "page_id")
     if buckets is not None:
         pages = store.read_buckets(f"{name}_pages", buckets)
+    batch = upsert.not_older(delivered, pages, "page_id", [lambda c: to_timestamp(c)], ["last_edited_time"], small)
 
     backfilled, new_changes, rewritten, segments = 0, None, None, []
-    if store.exists(f"{name}_changes"):
-        options = registries["_options"].where(F.col("table_name") == name)
-        if cfg.track_changes:
+    options = registries["_options"].where(F.col("table_name") == name)
+    known = store.read("_options").where(F.col("table_name") == name)
+    renamed_options = cfg.track_changes and history.names_differ(known, options)
+    # Records made in a run still hold the names before it, so the run after a rename looks again.
+    refresh = renamed_options or store.meta(f"options_renamed:{name}") == "yes"
+    if store.exists(f"{name}_changes") and (refresh or fields_moved):
+        if refresh:
             changes = history.backfill_option_names(changes, options)
         else:
             changes = changes.withColumns({"old_updated": F.lit(False), "new_updated": F.lit(False)})
@@ -183,7 +225,9 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
             rows = rows.join(batch.select("page_id"), "page_id", "left_semi")
         comments = rows
     return SyncPlan(
+        delivered=delivered,
         batch=batch,
+        renamed_options=renamed_options,
         pages=upsert.upsert(pages, batch, mode=cfg.upsert_mode, batch_is_small=small),
         buckets=buckets,
         new_changes=new_changes,
@@ -236,7 +280,7 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
         result.version = store.publish(
             replace,
             append,
-            {f"last_sync:{name}": run_ts},
+            {f"last_sync:{name}": run_ts, f"options_renamed:{name}": "yes" if plan.renamed_options else "no"},
             partition_by={f"{name}_changes": ["detected_date"]},
             bucket_by={f"{name}_pages": "page_id", f"{name}_comments": "comment_id"},
             retire=retire,
@@ -245,7 +289,7 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
         result.changes = seen["changes"].get["n"] if "changes" in seen else 0
         result.comments = seen["comments"].get["n"] if "comments" in seen else 0
     finally:
-        plan.batch.unpersist()
+        plan.close()
     result.seconds = time.monotonic() - start
     log.info("[%s] %d pages, %d changes, %d comments in %.1f s", name, result.pages, result.changes, result.comments, result.seconds)
     return result

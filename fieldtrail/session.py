@@ -16,11 +16,23 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+#: Set only where the session leaves them open. Many small shuffle partitions, which the adaptive
+#: planner joins up to the advisory size, serve small and large inputs alike; a local session
+#: has no use for them.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+        for key, value in CLUSTER_CONF.items():
+            if key not in given and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+                spark.conf.set(key, value)
     return spark
 
 

@@ -43,13 +43,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def edited_since(pages: DataFrame, last_sync: str | None, overlap_seconds: int = 60, full: bool = False) -> DataFrame:
     """O-S2: pages edited since the last run, with an overlap for late edits. Without an
-    earlier run, or for a full one, every page. The column must be a timestamp, so the
-    comparison is by time and reaches the Parquet scan."""
+    earlier run, or for a full one, every page. A page without a readable time is taken in:
+    whether it changed is for the comparison to tell. The column must be a timestamp, so
+    the comparison is by time and reaches the Parquet scan."""
     if full or last_sync is None:
         return pages
     kind = dict(pages.dtypes)["last_edited_time"]
     cutoff = F.lit(last_sync).cast("timestamp").cast(kind) - F.expr(f"interval {overlap_seconds} seconds")
-    return pages.where(F.col("last_edited_time") >= cutoff)
+    edited = F.col("last_edited_time")
+    return pages.where(edited.isNull() | (edited >= cutoff))
 
 
 def parse_schema(document: str | dict) -> list[Property]:

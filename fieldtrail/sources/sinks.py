@@ -13,6 +13,8 @@ from fieldtrail.functions.canon import canonical_text
 from fieldtrail.sources.store import Store
 
 log = logging.getLogger(__name__)
+#: The kind of table that a publish of marts owns.
+MART = "mart"
 
 
 class QualityError(RuntimeError):
@@ -61,6 +63,14 @@ def mart_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
+def export_mart_schema(spark: SparkSession, database: str, out_dir: str) -> dict[str, bool]:
+    """O-S9, O-K5: every table of a mart schema; a schema without any is an error."""
+    names = mart_tables(spark, database)
+    if not names:
+        raise QualityError(f"no mart in {database!r}")
+    return export_parquet({n: spark.table(f"`{database}`.`{n}`") for n in names}, out_dir)
+
+
 def export_parquet(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, bool]:
     """O-K5: every mart to ``{out_dir}/{name}.parquet``; one failing table is logged and
     leaves the others running."""
@@ -79,9 +89,13 @@ def publish_marts(
     store: Store, marts: Mapping[str, DataFrame], checks: Iterable[DataFrame] = ()
 ) -> int:
     """O-K6, O-K7: run the checks, then replace the whole mart set in one commit. Marts
-    that are no longer built vanish with the version that still held them."""
+    that are no longer built vanish with the version that still held them; other tables of
+    the store are left alone."""
     failed = [row for check in checks for row in check.where(F.col("failures") > 0).collect()]
     if failed:
         raise QualityError("; ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed))
-    stale = [name for name in store.tables() if name not in marts]
-    return store.publish(replace=marts, drop=stale)
+    taken = [name for name in marts if store.exists(name) and name not in store.tables(MART)]
+    if taken:
+        raise ValueError(f"{taken} are no marts")
+    stale = [name for name in store.tables(MART) if name not in marts]
+    return store.publish(replace=marts, drop=stale, kind=MART)

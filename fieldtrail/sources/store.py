@@ -1,18 +1,26 @@
 """Versioned Parquet tables with one commit point (O-S6, O-S7, O-E10, O-E14).
 
-A publish writes new table folders, then one small manifest dataset naming, per table,
-the folders that make it up. Readers follow the newest manifest, so several tables and
-the watermark change together or not at all, and appends never rewrite what is there.
+A publish writes new table folders, then one small manifest file naming, per table, its
+schema and the folders that make it up. Readers follow the newest manifest alone, so several
+tables and the watermark change together or not at all, and appends never rewrite what is
+there. Manifests are named by version and never replaced: of two writers that start from one
+version, the second fails and has published nothing.
 
 Large keyed tables are laid out in buckets of their key. A run that touches few keys
-reads and rewrites only their buckets; the folders of the others stay in the manifest.
+reads and rewrites only their buckets; the folders of the others stay in the manifest. A
+table whose buckets have outgrown their size is laid out anew by the next run. Appended
+folders are merged ``FAN`` at a time into one of the next level, so a table never has many and
+a row is rewritten once per level.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,22 +47,132 @@ _EMPTY = {"_schema": SCHEMA_REGISTRY, "_options": OPTION_REGISTRY, "_backups": B
 _SUFFIXES = {"_pages": PAGES_SCHEMA, "_changes": CHANGES_SCHEMA, "_comments": COMMENTS_SCHEMA}
 #: Tables of one publish written at the same time.
 WRITERS = 4
-#: Rows a bucket of a keyed table should hold; smaller tables have a single bucket.
+#: Rows a bucket of a keyed table should hold; a run lays a table out anew once its buckets
+#: hold twice as many.
 BUCKET_ROWS = 2_000_000
-MAX_BUCKETS = 8192
+#: Appended folders of one level that are merged into one of the next.
+FAN = 32
 #: Partition values no reader sees: the publish a folder belongs to, and the key bucket.
 _SEGMENT, _BUCKET = "_segment", "_bucket"
 LAYOUT = (_SEGMENT, _BUCKET)
-_MANIFEST = "version long, kind string, name string, value string"
+
+
+class ConflictError(RuntimeError):
+    """Another writer has published since this store looked; nothing was published."""
+
+
+@dataclass
+class Folder:
+    """A part of a table; ``rows`` is counted for tables laid out by key only."""
+
+    path: str
+    level: int = 0
+    rows: int = 0
+
+
+@dataclass
+class TableEntry:
+    """What the manifest knows of a table. ``schema`` has the columns readers see."""
+
+    schema: str
+    folders: list[Folder] = field(default_factory=list)
+    partition_by: list[str] = field(default_factory=list)
+    bucket_key: str | None = None
+    buckets: int = 1
+    kind: str = "table"
+
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+    def layout(self) -> T.StructType:
+        """With the partition values of the folders."""
+        out = self.struct().add(_SEGMENT, T.StringType())
+        return out.add(_BUCKET, T.IntegerType()) if self.buckets > 1 else out
+
+
+@dataclass
+class Manifest:
+    version: int = 0
+    tables: dict[str, TableEntry] = field(default_factory=dict)
+    meta: dict[str, str] = field(default_factory=dict)
+
+    def text(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def parse(text: str) -> Manifest:
+        doc = json.loads(text)
+        tables = {n: TableEntry(**{**t, "folders": [Folder(**f) for f in t["folders"]]}) for n, t in doc["tables"].items()}
+        return Manifest(doc["version"], tables, doc["meta"])
+
+
+def merged_schema(name: str, old: T.StructType, new: T.StructType) -> T.StructType:
+    """All columns of both. A column cannot change its type in an append: the folders that
+    stay could no longer be read with it."""
+    types = {f.name: f.dataType for f in old}
+    clash = [f.name for f in new if types.get(f.name, f.dataType) != f.dataType]
+    if clash:
+        raise ValueError(f"table {name!r} has other types for {clash}; replace it instead of appending")
+    return T.StructType([*_nullable(old), *[f for f in _nullable(new) if f.name not in types]])
+
+
+def _nullable(schema: T.StructType) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType) for f in schema]
+
+
+class Files:
+    """The few file-system calls a commit needs, on whatever the root's scheme names."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm = spark._jvm
+        self.conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self.gateway = spark.sparkContext._gateway
+
+    def _at(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.conf)
+
+    def names(self, path: str) -> list[str]:
+        p, fs = self._at(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def read(self, path: str) -> str:
+        p, fs = self._at(path)
+        stream = fs.open(p)
+        try:
+            return self.jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> bool:
+        """The whole file at once under a name that was free, else False. The rename takes
+        no existing target, which decides between writers."""
+        p, fs = self._at(path)
+        draft = self.jvm.org.apache.hadoop.fs.Path(f"{p.getParent()}/.{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.conf)
+        options = self.gateway.new_array(getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+        except Exception:
+            taken = fs.exists(p)
+            fs.delete(draft, False)
+            if taken:
+                return False
+            raise
+        return True
 
 
 class Store:
-    """Tables under one root folder; one writer at a time, any number of readers."""
+    """Tables under one root folder; any number of readers, writers take turns."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._current: tuple[int, dict[str, list[str]], dict[str, str]] | None = None
+        self._files = Files(spark)
+        self._current: Manifest | None = None
 
     # -- reading ---------------------------------------------------------------------
 
@@ -62,59 +180,58 @@ class Store:
         """Look for a newer version at the next read; a store keeps to the one it found."""
         self._current = None
 
-    def _manifest(self) -> tuple[int, dict[str, list[str]], dict[str, str]]:
-        """Version, table folders and metadata: a handful of rows."""
+    def _manifest(self) -> Manifest:
         if self._current is None:
-            rows = []
-            if self._has_manifest():
-                versions = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest/*")
-                rows = versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).collect()
-            tables: dict[str, list[str]] = {}
-            for row in sorted((r for r in rows if r.kind == "table"), key=lambda r: r.value):
-                tables.setdefault(row.name, []).append(row.value)
-            self._current = (
-                rows[0].version if rows else 0,
-                tables,
-                {r.name: r.value for r in rows if r.kind == "meta"},
-            )
+            names = [n for n in self._files.names(f"{self.root}/_manifest") if n.endswith(".json") and n[0] != "."]
+            self._current = Manifest.parse(self._files.read(f"{self.root}/_manifest/{names[-1]}")) if names else Manifest()
         return self._current
 
-    def _has_manifest(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-
-    def tables(self) -> list[str]:
-        return sorted(self._manifest()[1])
+    def tables(self, kind: str | None = None) -> list[str]:
+        return sorted(n for n, t in self._manifest().tables.items() if kind in (None, t.kind))
 
     def exists(self, name: str) -> bool:
-        return name in self._manifest()[1]
+        return name in self._manifest().tables
 
-    def read(self, name: str, layout: bool = False) -> DataFrame:
-        """The current rows; a table never written is empty with its fixed columns. With
-        ``layout`` the partition values of the folders stay as columns."""
-        folders = self._manifest()[1].get(name)
-        if folders:
-            # Folders may be older than a column; their rows read as NULL there.
-            reader = self.spark.read.option("basePath", f"{self.root}/{name}")
-            reader = reader.option("mergeSchema", str(len(folders) > 1).lower())
-            df = reader.parquet(*[f"{self.root}/{folder}" for folder in folders])
-            return df if layout else df.drop(*LAYOUT)
+    def schema(self, name: str) -> T.StructType:
+        """The stored columns, or the fixed ones of a table never written."""
+        entry = self._manifest().tables.get(name)
+        if entry is not None:
+            return entry.struct()
         schema = _EMPTY.get(name) or next((s for suffix, s in _SUFFIXES.items() if name.endswith(suffix)), None)
         if schema is None:
             raise KeyError(f"table {name!r} does not exist")
-        empty = self.spark.createDataFrame([], schema)
-        return empty.withColumn(_SEGMENT, F.lit(None).cast("string")) if layout else empty
+        return schema
+
+    def read(self, name: str, layout: bool = False) -> DataFrame:
+        """The current rows; a table without rows is empty with its columns. With
+        ``layout`` the partition values of the folders stay as columns."""
+        entry = self._manifest().tables.get(name)
+        if entry is None or not entry.folders:
+            schema = self.schema(name)
+            wanted = T.StructType([*schema.fields, T.StructField(_SEGMENT, T.StringType())]) if layout else schema
+            return self.spark.createDataFrame([], wanted)
+        # Folders may be older than a column; their rows read as NULL there.
+        reader = self.spark.read.schema(entry.layout()).option("basePath", f"{self.root}/{name}")
+        df = reader.parquet(*[f"{self.root}/{f.path}" for f in entry.folders])
+        return df.select(*entry.struct().names, *(c for c in LAYOUT if layout and c in df.columns))
 
     def buckets(self, name: str) -> int:
         """How many key buckets a table is laid out in."""
-        return int(self.meta(f"buckets:{name}") or 1)
+        entry = self._manifest().tables.get(name)
+        return entry.buckets if entry else 1
+
+    def outgrown(self, name: str) -> bool:
+        """Whether a table's buckets hold so much that it should be laid out anew."""
+        entry = self._manifest().tables.get(name)
+        return entry is not None and sum(f.rows for f in entry.folders) > 2 * BUCKET_ROWS * entry.buckets
 
     def bucket(self, name: str, key: str) -> Column:
         return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets(name))).cast("int")
 
     def touched_buckets(self, name: str, keys: DataFrame, key: str) -> list[int] | None:
-        """The buckets of the given keys, at most ``MAX_BUCKETS``; None if there is one."""
-        if self.buckets(name) == 1:
+        """The buckets of the given keys; None if the whole table is to be written: it has
+        one bucket, or has outgrown those it has."""
+        if self.buckets(name) == 1 or self.outgrown(name):
             return None
         return [r[0] for r in keys.select(self.bucket(name, key)).distinct().collect()]
 
@@ -133,7 +250,7 @@ class Store:
         return ids.join(self.read(f"{table}_pages"), "page_id", "left")
 
     def meta(self, key: str) -> str | None:
-        return self._manifest()[2].get(key)
+        return self._manifest().meta.get(key)
 
     def register_views(self) -> list[str]:
         """O-S6, O-S8: every table as a temporary view of the version current now."""
@@ -153,6 +270,7 @@ class Store:
         partition_by: Mapping[str, Sequence[str]] | None = None,
         bucket_by: Mapping[str, str] | None = None,
         retire: Mapping[str, Callable[[str], bool]] | None = None,
+        kind: str = "table",
     ) -> int:
         """Writes every table, then commits them together; returns the new version.
 
@@ -160,49 +278,75 @@ class Store:
         the added rows supersede. ``bucket_by`` names the key of a table laid out in
         buckets: a replaced one gets as many as its rows need, an appended one keeps them.
         """
-        version, tables, values = self._manifest()
-        entries = {name: list(folders) for name, folders in tables.items() if name not in drop}
-        values = {**values, **(meta or {})}
-        stamp = f"{version + 1:012d}-{uuid.uuid4().hex[:8]}"
+        before = self._manifest()
+        tables = {n: t for n, t in before.tables.items() if n not in drop}
+        stamp = f"{before.version + 1:012d}-{uuid.uuid4().hex[:8]}"
         fresh = {**(replace or {}), **(append or {})}
 
-        def write(name: str) -> list[str]:
-            folder = f"{name}/{_SEGMENT}={stamp}"
-            df, columns = fresh[name], list((partition_by or {}).get(name, ()))
-            count = 1
-            if name in (bucket_by or {}):
-                key = bucket_by[name]
-                count = self.buckets(name) if name in (append or {}) else self._buckets_for(name)
-                values[f"buckets:{name}"] = str(count)
-                if count > 1:
-                    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
-                    df, columns = df.withColumn(_BUCKET, bucket).repartition(_BUCKET), [_BUCKET]
-            df.write.mode("errorifexists").parquet(f"{self.root}/{folder}", partitionBy=columns or None)
-            if count == 1:
-                return [folder]
-            written = self.spark.read.parquet(f"{self.root}/{folder}").select(_BUCKET).distinct().collect()
-            return [f"{folder}/{_BUCKET}={r[0]}" for r in written]
+        def write(name: str) -> TableEntry:
+            old = before.tables.get(name) if name in (append or {}) else None
+            keys = list((partition_by or {}).get(name, ()) or (old.partition_by if old else ()))
+            key = (bucket_by or {}).get(name) or (old.bucket_key if old else None)
+            known = before.tables.get(name)
+            buckets = old.buckets if old else self._buckets_for(known) if key else 1
+            schema = T.StructType(_nullable(fresh[name].schema))
+            if old:
+                schema = merged_schema(name, old.struct(), schema)
+            entry = TableEntry(schema.json(), [], keys, key, buckets, known.kind if old else kind)
+            superseded = (retire or {}).get(name, lambda path: False)
+            entry.folders = [f for f in (old.folders if old else []) if not superseded(f.path)]
+            entry.folders += self._write(name, fresh[name], entry, stamp, 0)
+            self._merge_folders(name, entry, before.version + 1)
+            return entry
 
         # The tables do not depend on each other, so small ones fill the gaps of large ones.
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-            folders = dict(zip(fresh, pool.map(write, fresh)))
-        for name, added in folders.items():
-            old = entries.get(name, []) if name in (append or {}) else []
-            superseded = (retire or {}).get(name, lambda folder: False)
-            entries[name] = [f for f in old if not superseded(f)] + added
-        rows = [(version + 1, "table", n, p) for n, paths in entries.items() for p in paths]
-        rows += [(version + 1, "meta", k, v) for k, v in values.items()]
-        # The commit: one file, visible at once and only when complete.
-        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-        manifest.write.mode("errorifexists").parquet(f"{self.root}/_manifest/{stamp}")
-        self._current = (version + 1, entries, values)
-        return version + 1
-
-    def _buckets_for(self, name: str) -> int:
-        """Sized by the rows stored so far, a count Parquet footers answer."""
-        rows = self.read(name).count() if self.exists(name) else 0
-        wanted = max(1, min(MAX_BUCKETS, -(-rows // BUCKET_ROWS)))
-        return max(wanted, self.buckets(name))
+            tables |= dict(zip(fresh, pool.map(write, fresh)))
+        after = Manifest(before.version + 1, tables, {**before.meta, **(meta or {})})
+        if not self._files.create(f"{self.root}/_manifest/{after.version:012d}.json", after.text()):
+            raise ConflictError(f"version {after.version} of {self.root} was published by another writer")
+        self._current = after
+        return after.version
+
+    def _write(self, name: str, df: DataFrame, entry: TableEntry, segment: str, level: int) -> list[Folder]:
+        """The folders that got rows; an empty table has none, its schema is in the manifest."""
+        path, columns = f"{name}/{_SEGMENT}={segment}", list(entry.partition_by)
+        if entry.buckets > 1:
+            bucket = F.pmod(F.xxhash64(F.col(entry.bucket_key)), F.lit(entry.buckets)).cast("int")
+            df = df.withColumn(_BUCKET, bucket).repartition(entry.buckets, _BUCKET)
+            columns = [_BUCKET]
+        df.write.mode("errorifexists").parquet(f"{self.root}/{path}", partitionBy=columns or None)
+        if not any(n[0] not in "_." or "=" in n for n in self._files.names(f"{self.root}/{path}")):
+            return []
+        if entry.bucket_key is None:
+            return [Folder(path, level)]
+        written = self.spark.read.schema(entry.layout()).option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{path}")
+        if entry.buckets == 1:
+            return [Folder(path, level, written.count())]
+        counts = written.groupBy(_BUCKET).count().collect()  # one row per bucket
+        return [Folder(f"{path}/{_BUCKET}={r[_BUCKET]}", level, r["count"]) for r in counts]
+
+    def _merge_folders(self, name: str, entry: TableEntry, version: int) -> None:
+        """Rewrites ``FAN`` appended folders of a level as one of the next."""
+        if entry.bucket_key is not None:
+            return  # its folders are superseded bucket by bucket
+        while True:
+            levels = [f.level for f in entry.folders]
+            full = next((n for n in sorted(set(levels)) if levels.count(n) >= FAN), None)
+            if full is None:
+                return
+            merged = [f for f in entry.folders if f.level == full]
+            reader = self.spark.read.schema(entry.layout()).option("basePath", f"{self.root}/{name}")
+            df = reader.parquet(*[f"{self.root}/{f.path}" for f in merged]).select(*entry.struct().names)
+            segment = f"{version:012d}-{uuid.uuid4().hex[:8]}"
+            entry.folders = [f for f in entry.folders if f.level != full] + self._write(name, df, entry, segment, full + 1)
+
+    @staticmethod
+    def _buckets_for(known: TableEntry | None) -> int:
+        """Sized by the rows stored so far, never fewer than there were."""
+        if known is None:
+            return 1
+        return max(known.buckets, math.ceil(sum(f.rows for f in known.folders) / BUCKET_ROWS))
 
 
 def in_segments(segments: Sequence[str]) -> Callable[[str], bool]:

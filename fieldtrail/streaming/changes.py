@@ -27,7 +27,8 @@ def batch_writer(
     exclude_change_fields: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: newest version per page, compared with the stored
-    pages, both published in one commit with the batch number. A batch that is replayed
+    pages, both published in one commit with the batch number. A version older than the stored
+    one of its page is passed over. A batch that is replayed
     after a failure finds its number published and does nothing, so the history gets
     every record once."""
 
@@ -37,7 +38,7 @@ def batch_writer(
         done = store.meta(marker)
         if done is not None and int(done) >= number:
             return
-        latest = skew.latest_per_key(batch, ["page_id"], order).persist()
+        newest = latest = skew.latest_per_key(batch, ["page_id"], order).persist()
         try:
             if latest.isEmpty():
                 return
@@ -45,6 +46,7 @@ def batch_writer(
             now = run_ts(latest, number)
             buckets = store.touched_buckets(f"{table}_pages", latest, "page_id")
             stored = store.read_buckets(f"{table}_pages", buckets)
+            latest = upsert.not_older(latest, stored, "page_id", [lambda c: c] * len(order), list(order), small)
             changes = diff.detect_changes(latest, stored, now, change_fields, exclude_change_fields, small)
             pages = {f"{table}_pages": upsert.upsert(stored, latest, batch_is_small=small)}
             records = {f"{table}_changes": changes.withColumn("detected_date", F.substring("detected_at", 1, 10))}
@@ -57,7 +59,7 @@ def batch_writer(
                 retire={} if buckets is None else {f"{table}_pages": in_buckets(buckets)},
             )
         finally:
-            latest.unpersist()
+            newest.unpersist()
 
     return write
 

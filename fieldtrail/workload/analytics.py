@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.operators import diff, quality, skew
 from fieldtrail.plans import marts, staging
 from fieldtrail.workload import query
-from fieldtrail.workload.changes import event_log, task_changes
+from fieldtrail.workload.changes import event_log, hot_users, task_changes
 from fieldtrail.workload.tables import (
     EVENT_LOG_CTE,
     OPEN_STATUSES,
@@ -166,6 +169,57 @@ def dq_checks(spark, sf_dir):
     return lines.unionByName(tasks).unionByName(changes)
 
 
+@query(
+    "dq_staging",
+    f"""WITH {TASK_CTES}, c AS ({changes_sql()}),
+j AS (SELECT o_custkey AS page_id FROM orders), p AS (SELECT CAST(c_custkey AS VARCHAR) AS page_id FROM customer)
+SELECT 'stg_tasks' AS model, 'page_id' AS "column", 'not_null' AS test, count(*) FILTER (WHERE page_id IS NULL) AS failures FROM now_t
+UNION ALL SELECT 'stg_tasks', 'page_id', 'unique', count(*) FROM (SELECT page_id FROM now_t GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'stg_tasks', 'created_time', 'not_null', count(*) FILTER (WHERE created_time IS NULL) FROM now_t
+UNION ALL SELECT 'stg_tasks', 'last_edited_time', 'not_null', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
+UNION ALL SELECT 'stg_task_changes', 'id', 'not_null', count(*) FILTER (WHERE id IS NULL) FROM c
+UNION ALL SELECT 'stg_task_changes', 'id', 'unique', count(*) FROM (SELECT id FROM c GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'stg_task_changes', 'page_id', 'not_null', count(*) FILTER (WHERE page_id IS NULL) FROM c
+UNION ALL SELECT 'stg_task_changes', 'field', 'not_null', count(*) FILTER (WHERE field IS NULL) FROM c
+UNION ALL SELECT 'stg_task_changes', 'detected_at', 'not_null', count(*) FILTER (WHERE detected_at IS NULL) FROM c
+UNION ALL SELECT 'stg_job_applications', 'page_id', 'not_null', count(*) FILTER (WHERE page_id IS NULL) FROM j
+UNION ALL SELECT 'stg_job_applications', 'page_id', 'unique', count(*) FROM (SELECT page_id FROM j GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'stg_job_application_changes', 'id', 'not_null', 0
+UNION ALL SELECT 'stg_job_application_changes', 'id', 'unique', count(*) FROM (SELECT event_type FROM events GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'stg_job_application_changes', 'page_id', 'not_null', count(*) FILTER (WHERE user_id % 10 = 0) FROM events
+UNION ALL SELECT 'stg_job_application_changes', 'detected_at', 'not_null', count(*) FILTER (WHERE event_type = 'error') FROM events
+UNION ALL SELECT 'stg_pursuits', 'page_id', 'not_null', count(*) FILTER (WHERE page_id IS NULL) FROM p
+UNION ALL SELECT 'stg_pursuits', 'page_id', 'unique', count(*) FROM (SELECT page_id FROM p GROUP BY 1 HAVING count(*) > 1)""",
+)
+def dq_staging(spark, sf_dir):
+    """O-Q1: every declared check of the five staging models on its staged view. Some inputs
+    are wrong on purpose: unreadable times, customers as application ids, a missing page."""
+    edited = F.when(F.col("o_orderstatus") == "F", "never").otherwise(iso(F.col("o_orderdate")))
+    nothing = F.lit(None).cast("string")
+    due = {f"{c}_{half}": nothing for c in ("due_date", "closed_date") for half in ("start", "end")}
+    applied = {c: nothing for c in ("applied_date_start", "applied_date_end", "follow_up_date_start", "follow_up_date_end", "last_follow_up")}
+    flags = {c: F.lit(1) for c in ("resume", "cover_letter")}
+    tasks = _raw_orders(spark, sf_dir, edited=edited, **due).withColumn("last_edited_time", F.col("edited"))
+    applications = _raw_orders(spark, sf_dir, customer=F.col("o_custkey"), **applied, **flags).withColumn("page_id", F.col("customer"))
+    application_changes = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("id"), F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("page_id"),
+        iso(F.col("ts")).alias("valid_from"), F.when(F.col("event_type") == "error", "?").otherwise(iso(F.col("ts"))).alias("detected_at"),
+    )
+    day = F.lit("2024-01-01T00:00:00Z")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("page_id"), day.alias("created_time"), day.alias("last_edited_time")
+    )
+    models = {
+        "stg_tasks": staging.stg_tasks(tasks),
+        "stg_task_changes": staging.stg_changes(task_changes(spark, sf_dir)),
+        "stg_job_applications": staging.stg_job_applications(applications),
+        "stg_job_application_changes": staging.stg_changes(application_changes),
+        "stg_pursuits": staging.stg_pursuits(customers),
+    }
+    checked = [quality.check_model(name, df, quality.STAGING_CHECKS[name]) for name, df in models.items()]
+    return reduce(DataFrame.unionByName, checked)
+
+
 @query(
     "table_counts",
     " UNION ALL ".join(
@@ -188,17 +242,19 @@ def distinct_fields(spark, sf_dir):
 ORDER = ("valid_from", "id")
 
 
-def status_changes(spark, sf_dir):
+def status_changes(spark, sf_dir, hot=skew.COUNT):
     """The event log as staged change records; a first state is valid from before it was seen."""
-    return event_log(spark, sf_dir).select(
+    return event_log(spark, sf_dir, hot).select(
         "page_id", "field", "old_value", "new_value", F.col("ts").alias("valid_from"),
         F.when(F.col("is_initial"), F.col("ts") + F.expr("interval 1 second")).otherwise(F.col("ts")).alias("detected_at"),
         F.col("event_id").alias("id"),
     )
 
 
-def intervals(spark, sf_dir):
-    return marts.status_history(status_changes(spark, sf_dir), order=ORDER)
+def intervals(spark, sf_dir, hot=skew.COUNT):
+    if hot is skew.COUNT:
+        hot = hot_users(spark, sf_dir)
+    return marts.status_history(status_changes(spark, sf_dir, hot), order=ORDER, hot=hot)
 
 
 _HISTORY_CTE = f"""{EVENT_LOG_CTE}, h AS (
@@ -215,6 +271,11 @@ def status_history(spark, sf_dir):
     return intervals(spark, sf_dir)
 
 
+def _active_days_sql(as_of):
+    until = f"least(coalesce(valid_to, TIMESTAMP '{as_of}'), TIMESTAMP '{as_of}')"
+    return f"CAST(sum(date_diff('day', CAST(valid_from AS DATE), CAST({until} AS DATE))) AS BIGINT) AS active_days"
+
+
 _BUCKETS = {"click": "open", "view": "open", "signup": "in-progress", "error": "blocked"}
 
 
@@ -223,8 +284,8 @@ _BUCKETS = {"click": "open", "view": "open", "signup": "in-progress", "error": "
     f"""WITH {_HISTORY_CTE}
 SELECT page_id, CASE status WHEN 'click' THEN 'open' WHEN 'view' THEN 'open' WHEN 'signup' THEN 'in-progress'
     WHEN 'error' THEN 'blocked' ELSE 'done' END AS bucket,
-  CAST(sum(date_diff('day', CAST(valid_from AS DATE), CAST(coalesce(valid_to, TIMESTAMP '2024-02-01') AS DATE))) AS BIGINT) AS active_days
-FROM h GROUP BY 1, 2""",
+  {_active_days_sql("2024-02-01")}
+FROM h WHERE valid_from <= TIMESTAMP '2024-02-01' GROUP BY 1, 2""",
 )
 def active_days(spark, sf_dir):
     """O-M2."""
@@ -232,13 +293,26 @@ def active_days(spark, sf_dir):
     return marts.active_days(intervals(spark, sf_dir), marts.bucket_of(F.col("status"), _BUCKETS, "done"), as_of)
 
 
+@query(
+    "active_days_as_of",
+    f"""WITH {_HISTORY_CTE}
+SELECT page_id, CASE status WHEN 'click' THEN 'open' WHEN 'view' THEN 'open' WHEN 'signup' THEN 'in-progress'
+    WHEN 'error' THEN 'blocked' ELSE 'done' END AS bucket, {_active_days_sql("2024-01-12 06:00:00")}
+FROM h WHERE valid_from <= TIMESTAMP '2024-01-12 06:00:00' GROUP BY 1, 2""",
+)
+def active_days_as_of(spark, sf_dir):
+    """O-M2 as it was earlier: later intervals do not count, running ones end then."""
+    as_of = F.lit("2024-01-12 06:00:00").cast("timestamp_ntz")
+    return marts.active_days(intervals(spark, sf_dir), marts.bucket_of(F.col("status"), _BUCKETS, "done"), as_of)
+
+
 @query(
     "active_days_by_group",
     f"""WITH {_HISTORY_CTE}, b AS (SELECT event_type AS status, CASE WHEN max(value) > 50 THEN left(event_type, 1) END AS bucket
   FROM events WHERE event_type <> 'error' GROUP BY 1)
 SELECT page_id, coalesce(b.bucket, 'other') AS bucket,
-  CAST(sum(date_diff('day', CAST(valid_from AS DATE), CAST(coalesce(valid_to, TIMESTAMP '2024-02-01') AS DATE))) AS BIGINT) AS active_days
-FROM h LEFT JOIN b USING (status) GROUP BY 1, 2""",
+  {_active_days_sql("2024-02-01")}
+FROM h LEFT JOIN b USING (status) WHERE valid_from <= TIMESTAMP '2024-02-01' GROUP BY 1, 2""",
 )
 def active_days_by_group(spark, sf_dir):
     """O-M2 with the groups of an option registry."""
@@ -265,7 +339,8 @@ SELECT day, count(*) FILTER (WHERE status IN {_OPEN}) AS open_tasks FROM days LE
 )
 def open_volume_daily(spark, sf_dir):
     """O-M5: open at the end of the day, against the last event of every user and day."""
-    return marts.open_volume_daily(status_changes(spark, sf_dir), OPEN_STATUSES, order=ORDER)
+    hot = hot_users(spark, sf_dir)
+    return marts.open_volume_daily(status_changes(spark, sf_dir, hot), OPEN_STATUSES, order=ORDER, hot=hot)
 
 
 @query(
@@ -279,7 +354,8 @@ GROUP BY day""",
 )
 def open_volume_touched(spark, sf_dir):
     """O-M5, other reading: open at any time of the day."""
-    return marts.open_volume_touched(intervals(spark, sf_dir), OPEN_STATUSES, F.lit("2024-01-31").cast("date"))
+    hot = hot_users(spark, sf_dir)
+    return marts.open_volume_touched(intervals(spark, sf_dir, hot), OPEN_STATUSES, F.lit("2024-01-31").cast("date"), hot)
 
 
 # --- marts -------------------------------------------------------------------------------
@@ -307,7 +383,8 @@ SELECT t.*, (SELECT arg_max(event_type, (ts, event_id)) FROM events e
 )
 def tasks_closed(spark, sf_dir):
     """O-M4, against the last event before the end of the closing day."""
-    return marts.tasks_closed(_user_tasks(spark, sf_dir), intervals(spark, sf_dir), ["area", "pursuit"])
+    hot = hot_users(spark, sf_dir)
+    return marts.tasks_closed(_user_tasks(spark, sf_dir), intervals(spark, sf_dir, hot), ["area", "pursuit"], hot)
 
 
 @query(
@@ -352,13 +429,14 @@ def due_date_drift(spark, sf_dir):
     """O-M7: due dates from the event values, none while in error."""
     due = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.floor("value").cast("int")), "yyyy-MM-dd")
     events = table(spark, sf_dir, "events").withColumn("due", F.when(F.col("event_type") != "error", due))
-    log = diff.change_log(events, "user_id", ["ts", "event_id"], {"due_date_start": "due"})
+    hot = hot_users(spark, sf_dir)
+    log = diff.change_log(events, "user_id", ["ts", "event_id"], {"due_date_start": "due"}, hot)
     changes = log.select(
         "page_id", "field", "old_value", "new_value", F.col("ts").alias("valid_from"),
         F.when(F.col("is_initial"), F.col("ts") + F.expr("interval 1 second")).otherwise(F.col("ts")).alias("detected_at"),
         F.col("event_id").alias("id"),
     )
-    return marts.due_date_drift(changes, order=ORDER)
+    return marts.due_date_drift(changes, order=ORDER, hot=hot)
 
 
 _STAGES = ("view", "click", "signup", "purchase")
@@ -409,20 +487,24 @@ def dim_scd2(spark, sf_dir):
     """
 WITH t AS (SELECT unnest(['p' || l_partkey, 's' || l_suppkey]) AS definition_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS period
   FROM lineitem WHERE l_returnflag <> 'R'),
+n AS (SELECT definition_id, period, count(*) AS c FROM t WHERE period IS NOT NULL GROUP BY ALL),
+x AS (SELECT definition_id, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM n GROUP BY 1),
 d AS (SELECT 'p' || p_partkey AS definition_id, p_size AS expected FROM part
-  UNION ALL SELECT 's' || s_suppkey, s_nationkey + 1 FROM supplier)
-SELECT definition_id, period, count(*) AS completions, expected, count(*) / expected AS adherence
-FROM t JOIN d USING (definition_id) GROUP BY definition_id, period, expected""",
+  UNION ALL SELECT 's' || s_suppkey, s_nationkey FROM supplier)
+SELECT definition_id, period, coalesce(c, 0) AS completions, expected,
+  CASE WHEN expected <> 0 THEN coalesce(c, 0) / expected END AS adherence
+FROM x LEFT JOIN n USING (definition_id, period) JOIN d USING (definition_id)""",
 )
 def recurring_adherence(spark, sf_dir):
-    """O-M3: lines as tasks related to a part and a supplier; returned ones are not done."""
+    """O-M3: lines as tasks related to a part and a supplier; returned ones are not done. Months
+    without a completion count, and some suppliers are expected to do nothing."""
     tasks = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("p"), "l_partkey", F.lit(", s"), "l_suppkey").alias("series"),
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("closed"),
     )
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
     definitions = part.select(F.concat(F.lit("p"), "p_partkey").alias("page_id"), F.col("p_size").alias("per_month")).unionByName(
-        supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("page_id"), (F.col("s_nationkey") + 1).alias("per_month"))
+        supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("page_id"), F.col("s_nationkey").alias("per_month"))
     )
     return marts.recurring_adherence(marts.recurring_completions(tasks, "series", "closed"), definitions, "per_month")
 

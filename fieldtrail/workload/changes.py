@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from fieldtrail.functions.canon import canonical_text
 from fieldtrail.functions.names import excluded_fields, expand_split_dates
-from fieldtrail.operators import diff
+from fieldtrail.operators import diff, skew
 from fieldtrail.workload import query
 from fieldtrail.workload.tables import (
     EVENT_LOG_CTE,
@@ -25,8 +25,13 @@ def task_changes(spark, sf_dir):
     return diff.detect_changes(tasks_now(spark, sf_dir), tasks_before(spark, sf_dir), RUN_TS)
 
 
-def event_log(spark, sf_dir):
-    return diff.change_log(status_events(spark, sf_dir), "user_id", ["ts", "event_id"], {"status": "event_type"})
+def hot_users(spark, sf_dir):
+    """The hot keys of the events, counted once per query for all that is derived from them."""
+    return skew.hot_keys_if_any(status_events(spark, sf_dir).select(F.col("user_id").cast("string").alias("page_id")), ["page_id"])
+
+
+def event_log(spark, sf_dir, hot=skew.COUNT):
+    return diff.change_log(status_events(spark, sf_dir), "user_id", ["ts", "event_id"], {"status": "event_type"}, hot)
 
 
 @query("field_changes", f"WITH {TASK_CTES}\n{changes_sql()}")

@@ -73,7 +73,7 @@ _OPTIONS_SQL = """
 def option_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     prio = F.col("o_orderpriority")
-    names = F.when(prio.startswith("4"), "UNSET").otherwise(F.substring(prio, 3, 40))
+    names = F.when(prio.startswith("4"), "UNSET").otherwise(F.substr(prio, F.lit(3)))
     first = F.substring(prio, 1, 1).alias("option_id")
     return (
         orders.select(F.lit("p3").alias("property_id"), first, names.alias("option_name")).distinct()
@@ -138,7 +138,7 @@ def rename_only(spark, sf_dir):
     prio, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string").alias("page_id")
     unset = prio.startswith("4")
     pending = F.col("o_orderstatus") == "P"
-    name, first = F.substring(prio, 3, 40), F.substring(prio, 1, 1)
+    name, first = F.substr(prio, F.lit(3)), F.substring(prio, 1, 1)
     prev = orders.select(key, name.alias("priority"), first.alias("priority_id"))
     now = orders.select(
         key,
@@ -193,6 +193,69 @@ def history_rename(spark, sf_dir):
     return renamed.select("id", "page_id", "field", "old_value", "new_value")
 
 
+_RENAMES = {
+    "swap": [("status", "priority"), ("priority", "status")],
+    "chain": [("priority", "status"), ("status", "stage")],
+    "auto": [("due_date", "deadline"), ("priority", "status")],
+}
+
+
+def _renamed(spark, sf_dir, kind):
+    """One run's renames, as the schema comparison lists them."""
+    rows = [
+        dict(status="renamed", property_id=f"p{i}", old_name=o, new_name=n, old_column=o, new_column=n, old_type="select", new_type="select")
+        for i, (o, n) in enumerate(_RENAMES[kind])
+    ]
+    return ev.evolve(tasks_now(spark, sf_dir), task_changes(spark, sf_dir), rows, {}, "2024-02-01T00:00:00Z")
+
+
+def _renamed_history_sql(cases):
+    return f"WITH {TASK_CTES}, c AS ({changes_sql()}) SELECT * REPLACE (CASE field {cases} ELSE field END AS field) FROM c"
+
+
+@query(
+    "rename_swap",
+    f"""WITH {TASK_CTES}
+SELECT * EXCLUDE (status, status_id, priority, priority_id), status AS priority, status_id AS priority_id,
+  priority AS status, priority_id AS status_id FROM now_t""",
+)
+def rename_swap(spark, sf_dir):
+    """O-E3: two properties take each other's names."""
+    return _renamed(spark, sf_dir, "swap").pages
+
+
+@query("rename_swap_history", _renamed_history_sql("WHEN 'status' THEN 'priority' WHEN 'priority' THEN 'status'"))
+def rename_swap_history(spark, sf_dir):
+    """O-E3, O-C7: their histories follow."""
+    return _renamed(spark, sf_dir, "swap").changes
+
+
+@query(
+    "rename_chain",
+    f"""WITH {TASK_CTES}
+SELECT * EXCLUDE (status, status_id, priority, priority_id), status AS stage, status_id AS stage_id,
+  priority AS status, priority_id AS status_id FROM now_t""",
+)
+def rename_chain(spark, sf_dir):
+    """O-E3: a property takes the name that another one leaves."""
+    return _renamed(spark, sf_dir, "chain").pages
+
+
+@query("rename_chain_history", _renamed_history_sql("WHEN 'priority' THEN 'status' WHEN 'status' THEN 'stage'"))
+def rename_chain_history(spark, sf_dir):
+    """O-E3, O-C7."""
+    return _renamed(spark, sf_dir, "chain").changes
+
+
+@query(
+    "rename_auto_history",
+    _renamed_history_sql("WHEN 'due_date_start' THEN 'deadline_start' WHEN 'due_date_end' THEN 'deadline_end' WHEN 'priority' THEN 'status'"),
+)
+def rename_auto_history(spark, sf_dir):
+    """O-E3, O-C7: the history of ``rename_auto``."""
+    return _renamed(spark, sf_dir, "auto").changes
+
+
 def _diff_row(old_type, new_type):
     return dict(
         status="type_changed", property_id="p3", old_name="Priority", new_name="Priority",
@@ -314,6 +377,19 @@ def date_range_split(spark, sf_dir):
     return migrate.split_date_columns(_ranged(spark, sf_dir), ["due_date", "not_there"])
 
 
+@query(
+    "split_impact",
+    f"""
+SELECT 'pages' AS table_name, 'due_date' AS column_name,
+  count(*) FILTER (WHERE o_orderstatus <> 'F') + count(*) FILTER (WHERE o_orderstatus = 'P') AS values_set,
+  CAST(0 AS BIGINT) AS rows_added, CAST(0 AS BIGINT) AS rows_removed FROM orders
+UNION ALL SELECT 'changes', 'due_date', 0, 2 * count(*), count(*) FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def split_impact(spark, sf_dir):
+    """O-E13: what ``date_range_split`` and ``history_split`` would do."""
+    return migrate.split_impact(_ranged(spark, sf_dir), _split_changes(spark, sf_dir), ["due_date", "not_there"])
+
+
 @query(
     "history_split",
     f"""
@@ -325,16 +401,19 @@ UNION ALL SELECT page_id, 'due_date_end', NULL, CASE WHEN s = 'P' THEN later END
 )
 def history_split(spark, sf_dir):
     """O-C5."""
+    return history.split_date_fields(_split_changes(spark, sf_dir), ["due_date"]).drop("id")
+
+
+def _split_changes(spark, sf_dir):
     status, day = F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy-MM-dd")
     span = F.concat(day, F.lit("/"), F.date_format(F.col("o_orderdate") + F.expr("interval 2 days"), "yyyy-MM-dd"))
-    changes = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderkey").cast("string").alias("page_id"),
         F.when(status == "F", "status").otherwise("due_date").alias("field"),
         F.when(status != "O", day).alias("old_value"),
         F.when(status == "O", day).otherwise(span).alias("new_value"),
     )
-    return history.split_date_fields(changes, ["due_date"]).drop("id")
 
 
 _SAMPLED = {"due_date": f"CASE o_orderstatus WHEN 'P' THEN {_RANGE} WHEN 'O' THEN {_DAY} END", "name": "o_orderpriority"}
@@ -379,7 +458,7 @@ def find_orphans(spark, sf_dir):
     """O-J4, O-L3: one table per brand, its columns named after the parts."""
     part = table(spark, sf_dir, "part")
     brand = F.col("p_brand").alias("table_name")
-    base = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.substring("p_brand", 7, 9))
+    base = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.substr("p_brand", F.lit(7)))
     kind = F.col("p_type")
     suffix = F.when(kind == "SMALL", "_id").when(kind == "MEDIUM", "_start").when(kind == "PROMO", "_bak_20240101").otherwise("")
     columns = part.select(brand, F.concat(base, suffix).alias("column_name")).unionByName(

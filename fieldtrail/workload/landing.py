@@ -58,7 +58,7 @@ def order_pages(spark, sf_dir):
         F.struct(F.struct(F.concat(F.lit("opt_"), F.lower(status)).alias("id"), status.alias("name")).alias("status")).alias("Order Status"),
         F.struct(F.col("o_totalprice").alias("number")).alias("Total Price"),
         F.struct(F.struct(day.alias("start"), end.alias("end")).alias("date")).alias("Due Date"),
-        F.struct(F.struct(F.substring(prio, 1, 1).alias("id"), F.substring(prio, 3, 40).alias("name")).alias("select")).alias("Priority"),
+        F.struct(F.struct(F.substring(prio, 1, 1).alias("id"), F.substr(prio, F.lit(3)).alias("name")).alias("select")).alias("Priority"),
         F.struct((prio == "1-URGENT").alias("checkbox")).alias("Is Urgent"),
         F.struct(F.array(F.struct(F.col("o_custkey").cast("string").alias("id")), F.struct(F.concat(F.lit("s"), status).alias("id"))).alias("relation")).alias("Customer"),
         F.struct(F.array(F.struct(F.lit("Ada").alias("name")), F.struct(prio.alias("name"))).alias("people")).alias("Owners"),
@@ -351,7 +351,7 @@ def conversation_blocks(spark, sf_dir):
         .when(F.col("turn") >= 5, "to_do").when(F.length("text") > 400, "code").otherwise("quote")
     )
     rich = F.to_json(F.struct(_texts(text).alias("rich_text")))
-    body = F.substring(rich, 2, 1 << 30)
+    body = F.substr(rich, F.lit(2))
     extra = F.when(kind == "to_do", F.format_string('"checked":%s,', F.when(F.col("turn") > 6, "true").otherwise("false"))).when(
         kind == "code", F.lit('"language":"python",')
     ).otherwise(F.lit(""))
@@ -512,6 +512,30 @@ def sync_incremental(spark, sf_dir):
     return _synced(spark, sf_dir, full=False).read("tasks_pages")
 
 
+@query("sync_empty", f"WITH {TASK_CTES}, none_t AS (SELECT * FROM before_t WHERE false)\n{changes_sql(before='none_t')}")
+def sync_empty(spark, sf_dir):
+    """O-C9, O-E14: a first run without pages, then the records of one with all of them."""
+    store, cfg = Store(spark, scratch_dir(spark, "sync-empty")), sync.DatabaseConfig("tasks")
+    documents = task_documents(tasks_now(spark, sf_dir))
+    sync.sync_database(store, cfg, sync.Landed(TASK_DOC, documents.where("false")), "2000-01-01T00:00:00+00:00")
+    sync.sync_database(store, cfg, sync.Landed(TASK_DOC, documents), RUN_TS, full=True)
+    return store.read("tasks_changes").drop("detected_date")
+
+
+@query(
+    "sync_late",
+    f"""WITH {TASK_CTES}
+SELECT * REPLACE (CAST(is_urgent AS INTEGER) AS is_urgent), CAST(NULL AS VARCHAR) AS content_text FROM now_t""",
+)
+def sync_late(spark, sf_dir):
+    """O-C9, O-K1: a full run that delivers older versions again changes no page."""
+    store, cfg = Store(spark, scratch_dir(spark, "sync-late")), sync.DatabaseConfig("tasks")
+    older = tasks_before(spark, sf_dir).withColumn("last_edited_time", F.col("created_time"))
+    sync.sync_database(store, cfg, sync.Landed(TASK_DOC, task_documents(tasks_now(spark, sf_dir))), "2000-01-01T00:00:00+00:00")
+    sync.sync_database(store, cfg, sync.Landed(TASK_DOC, task_documents(older)), RUN_TS, full=True)
+    return store.read("tasks_pages")
+
+
 @query(
     "latest_delivery",
     """

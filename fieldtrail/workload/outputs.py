@@ -65,9 +65,11 @@ def parquet_publish(spark, sf_dir):
 
 @query("gated_publish", _HISTORY_SQL)
 def gated_publish(spark, sf_dir):
-    """O-K6, O-K7, O-S9: failing checks keep the old version; a good publish drops stale marts."""
+    """O-K6, O-K7: failing checks keep the old version; a good publish drops stale marts
+    and no other table."""
     store = Store(spark, scratch_dir(spark, "gated"))
-    store.publish(replace={"fct_stale": table(spark, sf_dir, "nation")})
+    store.publish(replace={"fct_stale": table(spark, sf_dir, "nation")}, kind=sinks.MART)
+    store.publish(replace={"raw_pages": table(spark, sf_dir, "region")})
     built = _marts(spark, sf_dir)
     history = built["int_status_history"]
     bad = quality.check_model("int_status_history", history, {"page_id": ("unique",)})
@@ -75,12 +77,12 @@ def gated_publish(spark, sf_dir):
         sinks.publish_marts(store, built, [bad])
         raise AssertionError("the failing check did not stop the publish")
     except sinks.QualityError:
-        if store.tables() != ["fct_stale"]:
+        if store.tables(sinks.MART) != ["fct_stale"]:
             raise
     good = quality.check_model("int_status_history", history, {"page_id": ("not_null",), "valid_from": ("not_null",)})
     sinks.publish_marts(store, built, [good])
-    if store.tables() != sorted(built):
-        raise AssertionError(f"unexpected marts {store.tables()}")
+    if store.tables(sinks.MART) != sorted(built) or not store.exists("raw_pages"):
+        raise AssertionError(f"unexpected tables {store.tables()}")
     return store.read("int_status_history")
 
 
@@ -103,7 +105,8 @@ def adhoc_sql(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------------
 
-_SLICES = ("2024-01-01", "2024-01-11", "2024-01-21", "2025-01-01")
+#: Bounds between three deliveries; the first and the last are open-ended.
+_SLICES = (None, "2024-01-11", "2024-01-21", None)
 
 
 @query(
@@ -136,7 +139,9 @@ def stream_changes(spark, sf_dir):
     )
     for run, (start, end) in enumerate(zip(_SLICES, _SLICES[1:]), 1):
         day = lambda text: F.lit(text).cast("timestamp_ntz")
-        delivery = rows.where((F.col("ts") >= day(start)) & (F.col("ts") < day(end))).drop("ts")
+        after = F.lit(True) if start is None else F.col("ts") >= day(start)
+        before = F.lit(True) if end is None else F.col("ts") < day(end)
+        delivery = rows.where(after & before).drop("ts")
         delivery.write.mode("append").parquet(landing)
         source = spark.readStream.schema(delivery.schema).parquet(landing)
         writer = stream.batch_writer(
@@ -146,6 +151,27 @@ def stream_changes(spark, sf_dir):
     return store.read("users_changes").select("page_id", "field", "old_value", "new_value", "detected_at")
 
 
+@query(
+    "stream_late",
+    """SELECT CAST(user_id AS VARCHAR) AS page_id, arg_max(event_id, (ts, event_id)) AS event_id,
+  arg_max(event_type, (ts, event_id)) AS status FROM events GROUP BY user_id""",
+)
+def stream_late(spark, sf_dir):
+    """O-T1, O-T2: the later half of the edits is delivered first; older versions do not win."""
+    landing, checkpoint = scratch_dir(spark, "late"), scratch_dir(spark, "late-checkpoint")
+    store = Store(spark, scratch_dir(spark, "late-store"))
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("page_id"), F.col("ts").cast("timestamp").alias("last_edited_time"),
+        "event_id", F.col("event_type").alias("status"),
+    )
+    middle = F.lit("2024-01-15").cast("timestamp")
+    for run, part in enumerate((F.col("last_edited_time") >= middle, F.col("last_edited_time") < middle)):
+        rows.where(part).write.mode("append").parquet(landing)
+        writer = stream.batch_writer(store, "users", lambda batch, number, run=run: f"run-{run}", ["last_edited_time", "event_id"], ["status"])
+        stream.run_available(spark.readStream.schema(rows.schema).parquet(landing), writer, checkpoint)
+    return store.read("users_pages").select("page_id", "event_id", "status")
+
+
 @query(
     "stream_redeliveries",
     "SELECT event_id, CAST(user_id AS VARCHAR) AS page_id, ts AS last_edited_time, event_type AS status FROM events",

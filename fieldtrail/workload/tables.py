@@ -35,7 +35,7 @@ def _task(status: Column, price: Column, due: Column, priority: Column, urgent:
         price.alias("total_price"),
         F.date_format(due, "yyyy-MM-dd").alias("due_date_start"),
         F.lit(None).cast("string").alias("due_date_end"),
-        F.substring(priority, 3, 40).alias("priority"),
+        F.substr(priority, F.lit(3)).alias("priority"),
         F.substring(priority, 1, 1).alias("priority_id"),
         urgent.alias("is_urgent"),
     ]

@@ -1,3 +1,4 @@
+import pytest
 from fieldtrail.operators import evolve, history, migrate, orphans, upsert
 from fieldtrail.operators.diff import CHANGES_SCHEMA
 from tests.conftest import rows
@@ -182,3 +183,28 @@ def test_soft_delete(spark):
     again = upsert.mark_deleted(once, prev.where("page_id = 'b'"), "2026-01-05T00:00:00Z")
     assert rows(again) == [("a", "2026-01-05T00:00:00Z"), ("b", None)]
     assert rows(upsert.purge_deleted(again, "2026-02-10T00:00:00Z", 30)) == [("b", None)]
+
+
+def _diff_row(pid, old, new, status="renamed"):
+    return {"status": status, "old_column": old, "new_column": new, "old_name": old, "new_name": new, "property_id": pid, "old_type": "number", "new_type": "number"}
+
+
+@pytest.mark.parametrize(
+    ("renames", "want", "fields"),
+    [
+        ([("a", "b"), ("b", "a")], {"a": 2, "b": 1, "c": 3}, ["b", "a", "c"]),
+        ([("a", "b"), ("b", "c")], {"b": 1, "c": 2}, ["b", "c", "c"]),
+        ([("a", "b"), ("b", "c"), ("c", "a")], {"a": 3, "b": 1, "c": 2}, ["b", "c", "a"]),
+        ([("a", "z")], {"z": 1, "b": 2, "c": 3}, ["z", "b", "c"]),
+    ],
+)
+def test_renames_of_a_run_happen_at_once(spark, renames, want, fields):
+    pages = spark.createDataFrame([("p", 1, 2, None if ("b", "c") in renames and len(renames) == 2 else 3)], "page_id string, a int, b int, c int")
+    changes = spark.createDataFrame([(i, f) for i, f in enumerate(["a", "b", "c"])], "id int, field string")
+    backups = {("a", "text"): "a_bak", ("b", "text"): "b_bak"}
+    out = evolve.evolve(pages, changes, [_diff_row(str(i), o, n) for i, (o, n) in enumerate(renames)], backups, "2026-01-01T00:00:00+00:00")
+    got = out.pages.first().asDict()
+    assert {k: v for k, v in got.items() if k != "page_id"} == want
+    assert [r.field for r in out.changes.orderBy("id").collect()] == fields
+    moved = dict(renames)
+    assert out.backups == {(moved.get(c, c), t): b for (c, t), b in backups.items()}

@@ -92,3 +92,42 @@ def test_latest_per_key_is_deterministic_on_ties(spark):
     df = spark.createDataFrame(data, "k string, ts int, v string")
     assert rows(skew.latest_per_key(df, ["k"], ["ts"])) == [("a", 1, "z"), ("b", None, "q")]
     assert skew.latest_per_key(df, ["k"], ["ts"]).columns == df.columns
+
+
+def test_null_keys_are_spread_in_joins(spark, monkeypatch):
+    from fieldtrail.operators import skew as m
+
+    many = spark.range(4000).select(F.when(F.col("id") < 400, F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    one = spark.createDataFrame([(i, f"n{i}") for i in range(7)], "k long, name string")
+    plain = sorted(map(tuple, many.join(one, "k", "left").select("k", "v", "name").collect()), key=str)
+    for floor in (m.HOT_MIN_ROWS, 10):
+        monkeypatch.setattr(m, "HOT_MIN_ROWS", floor)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            joined = m.salted_join(many, one, ["k"], ["v"])
+            sizes = [r["count"] for r in joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+            got = sorted(map(tuple, joined.select("k", "v", "name").collect()), key=str)
+            inner = m.salted_join(many, one, ["k"], ["v"], "inner").count()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert got == plain and inner == 400
+        assert max(sizes) < 1000
+
+
+def test_a_hot_null_key_is_split_in_windows(spark):
+    from fieldtrail.operators import skew as m
+
+    df = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"), F.col("id").alias("t"), (F.col("id") * 7 % 11).alias("v"))
+    args = dict(keys=["k"], order=["t"], previous=["v"], following=["t"], running_sum={"s": "v"})
+    plain = m.ordered_neighbours(df, hot=None, **args)
+    hot = m.hot_keys_if_any(df, ["k"], 50)
+    assert hot.where("k IS NULL").count() == 1
+    for limit in (1 << 30, 0):
+        m.EDGE_BYTES, kept = limit, m.EDGE_BYTES
+        try:
+            split = m.ordered_neighbours(df, hot=hot, **args)
+            assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+        finally:
+            m.EDGE_BYTES = kept

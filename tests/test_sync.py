@@ -44,7 +44,7 @@ def test_a_database_over_four_runs(spark, tmp_path):
 
     first = sync.sync_database(
         store, cfg,
-        landed(spark, schema, page("a", RUNS[0], Status=select("Open"), Points={"number": 1}), page("b", RUNS[0], Status=select("Open")), blocks=block, comments=comments),
+        landed(spark, schema, page("a", "2026-01-31T20:00:00Z", Status=select("Open"), Points={"number": 1}), page("b", "2026-01-31T09:00:00Z", Status=select("Open")), blocks=block, comments=comments),
         RUNS[0],
     )
     assert (first.version, first.pages, first.changes, first.comments) == (1, 2, 8, 1)
@@ -181,13 +181,13 @@ def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypat
     sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[0])
     sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[1], full=True)
     assert store.buckets("t_pages") == store.buckets("t_comments") == 6
-    before = set(store._manifest()[1]["t_pages"])
+    before = {f.path for f in store._manifest().tables["t_pages"].folders}
     out = sync.sync_database(
         store, cfg, landed(spark, schema, page("p7", RUNS[2], Status=select("Done"), Extra={}), comments=comments(["p7", "p8"], "2")), RUNS[2]
     )
     texts = {r.comment_id: r.text for r in store.read("t_comments").collect()}
     assert len(texts) == 60 and texts["c-p7"] == "2" and texts["c-p8"] == "1" and out.comments == 1
-    after = set(store._manifest()[1]["t_pages"])
+    after = {f.path for f in store._manifest().tables["t_pages"].folders}
     assert out.changes == 1 and len(before - after) == 1 and len(after - before) == 1
     got = {r.page_id: r.status for r in store.read("t_pages").collect()}
     assert len(got) == 60 and got["p7"] == "Done" and got["p8"] == "Open"
@@ -197,3 +197,114 @@ def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypat
     got = {r.page_id: (r.state, r["size"]) for r in store.read("t_pages").collect()}
     assert got["p9"] == ("Done", 2.0) and got["p7"] == ("Done", None) and len(got) == 60
     assert store.read("t_changes").where("field = 'status'").count() == 0
+
+
+def test_an_empty_first_run_leaves_a_usable_database(spark, tmp_path):
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    assert sync.sync_database(store, cfg, landed(spark, schema), RUNS[0]).pages == 0
+    again = Store(spark, str(tmp_path))
+    assert again.read("t_changes").count() == again.read("t_pages").count() == 0
+    assert sync.sync_database(again, cfg, landed(spark, schema, page("a", RUNS[1], Status=select("Open"))), RUNS[1]).changes > 0
+    folders = len(again._manifest().tables["t_changes"].folders)
+    sync.sync_database(again, cfg, landed(spark, schema), RUNS[2])
+    assert len(again._manifest().tables["t_changes"].folders) == folders  # a run without changes adds none
+    assert rows(Store(spark, str(tmp_path)).read("t_pages").select("page_id", "status")) == [("a", "Open")]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    data = spark.range(3).withColumnRenamed("id", "n")
+    assert one.tables() == two.tables() == []
+    one.publish(replace={"x": data})
+    with pytest.raises(store_module.ConflictError):
+        two.publish(replace={"x": data})
+    assert Store(spark, str(tmp_path)).read("x").count() == 3
+    two.refresh()
+    assert two.publish(append={"x": data}) == 2 and two.read("x").count() == 6
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "BUCKET_ROWS", 10)
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    seen = []
+    for i, run in enumerate(RUNS):
+        lines = [page(f"p{i}-{n}", run, Status=select("Open")) for n in range(30 * (i + 1))]
+        sync.sync_database(store, cfg, landed(spark, schema, *lines), run)
+        seen.append(store.buckets("t_pages"))
+    assert seen[-1] >= 9 and store.read("t_pages").count() == 300 == store.read("t_pages").select("page_id").distinct().count()
+
+
+def test_appended_folders_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "FAN", 3)
+    store = Store(spark, str(tmp_path))
+    for i in range(10):
+        store.publish(append={"x": spark.createDataFrame([(i, f"d{i % 2}")], "n int, day string")}, partition_by={"x": ["day"]})
+    assert len(store._manifest().tables["x"].folders) <= 4
+    assert rows(Store(spark, str(tmp_path)).read("x").select("n", "day")) == sorted(((i, f"d{i % 2}") for i in range(10)), key=str)
+
+
+def test_an_append_with_another_type_is_refused(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.publish(replace={"x": spark.range(2)})
+    with pytest.raises(ValueError, match="other types"):
+        store.publish(append={"x": spark.range(2).select(F.col("id").cast("string"))})
+
+
+def test_files_handling_can_change_on_a_table_in_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "BUCKET_ROWS", 5)
+    store, schema = Store(spark, str(tmp_path)), doc(Files="files")
+    lines = [page(f"p{n}", RUNS[0], Files={"files": [{"name": "f", "file": {"url": "u"}}]}) for n in range(40)]
+    for full in (False, True):
+        sync.sync_database(store, sync.DatabaseConfig("t"), landed(spark, schema, *lines), RUNS[int(full)], full=full)
+    assert store.buckets("t_pages") > 1
+    sync.sync_database(store, sync.DatabaseConfig("t", files_handling="names"), landed(spark, schema, page("p1", RUNS[2], Files={"files": [{"name": "g", "file": {"url": "u"}}]})), RUNS[2])
+    assert store.read("t_pages").count() == 40 and {r.page_id: r.files for r in store.read("t_pages").collect()}["p1"] is not None
+
+
+def test_older_and_unreadable_deliveries(spark, tmp_path):
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    sync.sync_database(store, cfg, landed(spark, schema, page("a", "2026-01-30T00:00:00Z", Status=select("old"))), RUNS[0])
+    sync.sync_database(store, cfg, landed(spark, schema, page("a", "2026-02-01T10:00:00Z", Status=select("new"))), RUNS[1])
+    late = sync.sync_database(store, cfg, landed(spark, schema, page("a", "2026-01-30T00:00:00Z", Status=select("old"))), RUNS[2], full=True)
+    assert late.changes == 0 and rows(store.read("t_pages").select("page_id", "status")) == [("a", "new")]
+    odd = sync.sync_database(store, cfg, landed(spark, schema, page("b", "no time", Status=select("x")), page("c", None, Status=select("y"))), RUNS[3])
+    assert {r.page_id for r in store.read("t_pages").collect()} == {"a", "b", "c"} and any("2 pages without" in m for m in odd.messages)
+
+
+def test_a_late_version_in_a_stream_does_not_win(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    write = stream.batch_writer(store, "t", lambda batch, number: f"run-{number}")
+    shape = "page_id string, last_edited_time string, status string"
+    write(spark.createDataFrame([("a", "2", "new")], shape), 0)
+    write(spark.createDataFrame([("a", "1", "old"), ("b", "1", "x")], shape), 1)
+    assert rows(store.read("t_pages").select("page_id", "status")) == [("a", "new"), ("b", "x")]
+    assert store.read("t_changes").where("page_id = 'a' AND old_value IS NOT NULL").count() == 0
+
+
+def test_a_run_without_renamed_options_reads_no_history(spark, tmp_path):
+    store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
+    schema = json.dumps({"properties": {"Status": {"id": "s", "type": "select", "select": {"options": [{"id": "o_Open", "name": "Open"}]}}}})
+    for i in range(3):
+        sync.sync_database(store, cfg, landed(spark, schema, page(f"p{i}", RUNS[i], Status=select("Open"))), RUNS[i])
+    with sync.plan_sync(store, cfg, landed(spark, schema, page("p0", RUNS[3], Status=select("Open"))), RUNS[3]) as plan:
+        assert plan.rewritten_changes is None and "t_changes" not in plan.new_changes._jdf.queryExecution().toString()
+        assert not plan.renamed_options
+    assert not plan.delivered.is_cached
+
+
+def test_new_backups_keep_the_time_of_older_ones(spark, tmp_path):
+    store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
+    sync.sync_database(store, cfg, landed(spark, doc(A="number", B="number"), page("a", "2026-01-30T00:00:00Z", A={"number": 1}, B={"number": 2})), RUNS[0])
+    sync.sync_database(store, cfg, landed(spark, doc(A="rich_text", B="number")), RUNS[1])
+    sync.sync_database(store, cfg, landed(spark, doc(A="rich_text", B="rich_text")), RUNS[2])
+    assert rows(store.read("_backups").select("column_name", "created_at")) == [("a", RUNS[1]), ("b", RUNS[2])]
+
+
+def test_marts_leave_other_tables_alone(spark, tmp_path):
+    store, data = Store(spark, str(tmp_path)), spark.range(2)
+    store.publish(replace={"t_pages": data})
+    sinks.publish_marts(store, {"m1": data, "m2": data})
+    sinks.publish_marts(store, {"m2": data})
+    assert store.tables() == ["m2", "t_pages"]
+    with pytest.raises(ValueError, match="no marts"):
+        sinks.publish_marts(store, {"t_pages": data})
