@@ -13,7 +13,7 @@ are kept. Sample and feature count are parameters; scoring covers whole texts of
 shuffles nothing.
 
 Cases: NULL or empty text gets the models' prior, hence not toxic; a category without both
-outcomes in the sample is its constant rate; labels of unknown or NULL ids are ignored, of repeated
+outcomes in the sample is its constant rate (0 without labels); labels of unknown or NULL ids are ignored, of repeated
 ids the largest counts; an empty table gives no rows; columns named like the result's are replaced,
 all others stay.
 """
@@ -41,7 +41,6 @@ class Settings:
     folds: int = 3
     steps: int = 300
     l2: float = 1.0
-    threshold: float = 0.5
 
 
 def hashed_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +98,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(rows: Rows, y: np.ndarray, settings: Settings) -> np.ndarray:
     """Weights (features, dense columns, intercept) of a logistic model with an L2 penalty."""
     w = np.zeros(rows.width + rows.dense.shape[1] + 1)
-    rate = (y.sum() + 0.5) / (len(y) + 1)
+    rate = (y.sum() + 0.01) / (len(y) + 1)
     w[-1] = np.log(rate / (1 - rate))
     if not 0 < y.sum() < len(y):
         return w
@@ -126,6 +125,7 @@ class Chain:
     categories: tuple[str, ...]
     known: np.ndarray
     weights: tuple[np.ndarray, ...]
+    thresholds: tuple[float, ...]
 
     def predict(self, texts: list[bytes]) -> list[np.ndarray]:
         """Probabilities per category."""
@@ -136,9 +136,21 @@ class Chain:
         return out
 
 
-def fit_chain(rows: Rows, labels: np.ndarray, settings: Settings) -> tuple[np.ndarray, ...]:
-    """One model per column of ``labels``; earlier ones enter later ones out of fold."""
-    fold, weights = np.arange(rows.n) % settings.folds, []
+def best_threshold(y: np.ndarray, p: np.ndarray) -> float:
+    """The middle of the gap in ``p`` that splits it with the best F1, between 0.1 and 0.9."""
+    if not 0 < y.sum() < len(y):
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    hits = np.cumsum(y[order])
+    best = int(np.argmax(2 * hits / (np.arange(1, len(y) + 1) + y.sum())))
+    below = p[order[best + 1]] if best + 1 < len(y) else 0.0
+    return float(np.clip((p[order[best]] + below) / 2, 0.1, 0.9))
+
+
+def fit_chain(rows: Rows, labels: np.ndarray, settings: Settings) -> tuple[tuple[np.ndarray, ...], tuple[float, ...]]:
+    """One model per column of ``labels``; earlier ones enter later ones out of fold. Also the
+    threshold of each, from its out-of-fold predictions."""
+    fold, weights, thresholds = np.arange(rows.n) % settings.folds, [], []
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(float)
         weights.append(fit(rows, y, settings))
@@ -147,7 +159,8 @@ def fit_chain(rows: Rows, labels: np.ndarray, settings: Settings) -> tuple[np.nd
             if (fold == f).any() and (fold != f).any():
                 unseen[fold == f] = sigmoid(rows.take(fold == f).times(fit(rows.take(fold != f), y[fold != f], settings)))
         rows = rows.with_column(unseen)
-    return tuple(weights)
+        thresholds.append(best_threshold(y, unseen))
+    return tuple(weights), tuple(thresholds)
 
 
 def _pick_features(sample: DataFrame, categories: list[str], settings: Settings) -> np.ndarray:
@@ -223,16 +236,18 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], settings: S
     feature = np.array(lists.flatten().to_pylist(), np.int64)
     rows = Rows(n, np.repeat(np.arange(n), sizes), feature, len(known))
     values = np.column_stack([np.array(table.column(c).to_pylist(), np.int64) for c in categories])
-    return Chain(tuple(categories), known, fit_chain(rows, values.reshape(n, len(categories)), settings))
+    return Chain(tuple(categories), known, *fit_chain(rows, values.reshape(n, len(categories)), settings))
 
 
-def score(docs: DataFrame, chain: Chain, decisive: str, threshold: float = Settings.threshold) -> DataFrame:
-    """``docs`` with ``p_<category>`` of each category, and ``is_<decisive>``."""
+def score(docs: DataFrame, chain: Chain, decisive: str, threshold: float | None = None) -> DataFrame:
+    """``docs`` with ``p_<category>`` of each category, and ``is_<decisive>``: at ``threshold``, or at
+    the one that separated the training rows best out of fold."""
     workers_can_import(docs.sparkSession)
     names = [f"p_{c}" for c in chain.categories]
     docs = docs.drop(*names, f"is_{decisive}")
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     at = chain.categories.index(decisive)
+    threshold = chain.thresholds[at] if threshold is None else threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -52,7 +52,7 @@ def test_toxicity_finds_held_out_texts(spark):
 def test_toxicity_without_labels_rejects_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     chain = toxicity.train(frame(spark), none, ["toxic"])
-    assert toxicity.score(frame(spark), chain, "toxic", 0.6).filter("is_toxic").count() == 0
+    assert toxicity.score(frame(spark), chain, "toxic").filter("is_toxic").count() == 0
 
 
 def test_logistic_fit_reaches_the_optimum():
@@ -67,6 +67,12 @@ def test_logistic_fit_reaches_the_optimum():
     assert np.abs(gradient).max() < 1e-3
 
 
+def test_threshold_lies_in_the_best_gap():
+    y, p = np.array([1, 1, 0, 1, 0, 0]), np.array([0.9, 0.8, 0.1, 0.4, 0.05, 0.0])
+    assert toxicity.best_threshold(y, p) == pytest.approx(0.25)
+    assert toxicity.best_threshold(np.zeros(3), np.zeros(3)) == 0.5
+
+
 # Frequent words of four languages.
 LANGS = {
     "en": "the and with from which their would there people about water house through never because".split(),
