@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,7 @@ CLUSTER_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
-    if not spark.sparkContext.master.startswith("local"):
+    if not _single_process(spark):
         given = {k for k, _ in spark.sparkContext.getConf().getAll()}
         for key, value in CLUSTER_CONF.items():
             if key not in given and spark.conf.get("spark.sql.shuffle.partitions") == "200":
@@ -36,6 +37,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _single_process(spark: SparkSession) -> bool:
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -45,7 +50,7 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not _single_process(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="fieldtrail-")
     spark.sparkContext.setCheckpointDir(local)

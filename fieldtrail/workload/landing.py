@@ -454,8 +454,9 @@ SELECT n.page_id, p.status, p.total_price FROM now_t n LEFT JOIN before_t p USIN
 )
 def snapshot_lookup(spark, sf_dir):
     """O-S7: stored rows of every id of the batch, NULL for unseen ones."""
-    stored, ids = tasks_before(spark, sf_dir), tasks_now(spark, sf_dir).select("page_id")
-    return ids.join(stored, "page_id", "left").select("page_id", "status", "total_price")
+    store = Store(spark, scratch_dir(spark, "lookup"))
+    store.publish(replace={"tasks_pages": tasks_before(spark, sf_dir)}, bucket_by={"tasks_pages": "page_id"})
+    return store.pages_by_id("tasks", tasks_now(spark, sf_dir).select("page_id")).select("page_id", "status", "total_price")
 
 
 TASK_DOC = _doc(

@@ -308,3 +308,16 @@ def test_marts_leave_other_tables_alone(spark, tmp_path):
     assert store.tables() == ["m2", "t_pages"]
     with pytest.raises(ValueError, match="no marts"):
         sinks.publish_marts(store, {"t_pages": data})
+
+
+def test_export_of_a_mart_schema(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS exported LOCATION '{tmp_path}/db'")
+    try:
+        with pytest.raises(sinks.QualityError, match="no mart"):
+            sinks.export_mart_schema(spark, "exported", str(tmp_path / "none"))
+        spark.range(3).write.saveAsTable("exported.fct_a")
+        assert sinks.mart_tables(spark, "exported") == ["fct_a"]
+        assert sinks.export_mart_schema(spark, "exported", str(tmp_path / "out")) == {"fct_a": True}
+        assert spark.read.parquet(str(tmp_path / "out" / "fct_a.parquet")).count() == 3
+    finally:
+        spark.sql("DROP DATABASE exported CASCADE")
