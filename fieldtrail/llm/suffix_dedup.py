@@ -5,8 +5,9 @@ least hash is the place's anchor. Equal strings have equal anchors, so a string
 again under an anchor of the same class (k-gram). Neighbouring places with one anchor form a piece.
 
 1. Classes that occur once are dropped; nothing but hashes has been moved by then.
-2. A piece that occurs several times as a whole is repeated in all of its places.
-3. The distinct pieces of a class are brought together with their bytes. Within a class the places
+2. A piece that occurs several times as a whole is repeated in all of its places. Classes of very
+   many places (at most ``HOT_CLASSES`` of them) are spread over tasks and counted by partial sums.
+3. The distinct pieces of a class are brought together with their bytes, read from the texts once. Within a class the places
    are sorted by the bytes that follow (the suffix array), and the longest previous factor of each is
    the longer match with its previous or next smaller position in suffix order; the longest next
    factor is the same for later positions. A factor of ``length`` bytes is a repeat.
@@ -26,10 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtrail.llm.common import kinds, stored, text_batches, workers_can_import
@@ -37,8 +39,12 @@ from fieldtrail.llm.spans import merged_spans
 from fieldtrail.llm.words import mix, powers, prefix_hash
 
 GRAM = 32
-HOT = 4_096
-ROUNDS = (16, 1)  # widths of the ranges into which hot classes are cut
+#: Distinct pieces of a class that are compared as they are.
+HOT = 8_192
+ROUNDS = (32, 4, 1)  # widths of the ranges into which larger classes are cut, one after the other
+#: A class is spread over tasks from so many places on, or from its share of all places that only
+#: so many classes can have.
+HOT_ROWS, HOT_CLASSES, SALTS = 100_000, 10_000, 256
 _KEY = ["k1", "k2"]
 _PLACE = ["doc_id", "k1", "k2", "lo"]
 
@@ -121,61 +127,70 @@ def _emit_pieces(length: int) -> Callable:
     return run
 
 
-def _refine(length: int, width: int) -> Callable:
-    """Pieces cut by distance from the anchor into ranges of ``width``; a range's class is the bytes
-    that all strings of the range share."""
+_CUT = "cls long, doc_id long, k1 long, k2 int, lo long, starts int, reach int, distinct long, data binary"
+_CUT_NAMES = ["cls", "doc_id", "k1", "k2", "lo", "starts", "reach", "distinct", "data"]
+
+
+def _cut(length: int) -> Callable:
+    """The bytes of each listed piece of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                data = np.frombuffer(row["text"], np.uint8)
-                total, inverse = prefix_hash(data), powers(len(data))[1]
-                out = []
-                for p in row["pieces"]:
-                    anchor = p["lo"] + p["reach"]
-                    far = np.arange(p["reach"] // width, (p["reach"] - p["starts"] + 1) // width - 1, -1)
-                    lo = np.maximum(p["lo"], anchor - far * width - (width - 1))
-                    hi = np.minimum(p["lo"] + p["starts"] - 1, anchor - far * width)
-                    out.append(np.column_stack([lo, hi - lo + 1, anchor - lo, anchor - far * width - (width - 1), anchor - far * width, far]))
-                lo, starts, reach, first, last, far = np.concatenate(out).T
-
-                def span_hash(a, b):
-                    return mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
-
-                cls = span_hash(last, first + length) + far.astype(np.uint64)
-                piece = span_hash(lo, lo + starts + length - 1)
-                n = len(lo)
+                pieces, n = row["pieces"], len(row["pieces"])
+
+                def column(name: str, kind: pa.DataType) -> pa.Array:
+                    return pa.array([p[name] for p in pieces], kind)
+
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["doc_id"]] * n, pa.int64()), pa.array([row["k1"]] * n, pa.int64()),
-                     pa.array([row["k2"]] * n, pa.int32()), pa.array(lo), pa.array(starts.astype(np.int32)),
-                     pa.array(reach.astype(np.int32)), pa.array(mix(cls).view(np.int64)), pa.array(piece.view(np.int64))],
-                    names=["doc_id", "k1", "k2", "lo", "starts", "reach", "cls", "piece"],
+                    [column("cls", pa.int64()), *(pa.array([row[c]] * n, t) for c, t in (("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()))),
+                     column("lo", pa.int64()), column("starts", pa.int32()), column("reach", pa.int32()), column("distinct", pa.int64()),
+                     pa.array([row["text"][p["lo"] : p["lo"] + p["starts"] + length - 1] for p in pieces], pa.binary())],
+                    names=_CUT_NAMES,
                 )
 
     return run
 
 
-_CUT = "cls long, doc_id long, k1 long, k2 int, lo long, starts int, data binary"
+_FINER = "cls long, piece long, doc_id long, k1 long, k2 int, lo long, starts int, reach int, data binary"
 
 
-def _cut(length: int) -> Callable:
-    """The bytes of each listed piece of a text."""
+def _refine(length: int, width: int) -> Callable:
+    """Pieces cut by distance from the anchor into ranges of ``width``. The class of a range is its
+    number and the bytes that all strings of the range share: from its nearest possible start to
+    the end of a string from its farthest."""
+
+    def finer(row: dict) -> Iterator[tuple]:
+        data, reach, starts = row["data"], row["reach"], row["starts"]
+        # starts lie at distances ``reach`` down to ``reach - starts + 1`` from the anchor
+        for number in range((reach - starts + 1) // width, reach // width + 1):
+            near, far = number * width, number * width + width - 1
+            first, last = max(0, reach - far), min(starts - 1, reach - near)
+            yield number, data[reach - near : reach - far + length], first, last - first + 1, data[first : last + length]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for row in batch.to_pylist():
-                pieces, n = row["pieces"], len(row["pieces"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p["cls"] for p in pieces], pa.int64()), pa.array([row["doc_id"]] * n, pa.int64()),
-                     pa.array([row["k1"]] * n, pa.int64()), pa.array([row["k2"]] * n, pa.int32()),
-                     pa.array([p["lo"] for p in pieces], pa.int64()), pa.array([p["starts"] for p in pieces], pa.int32()),
-                     pa.array([row["text"][p["lo"] : p["lo"] + p["starts"] + length - 1] for p in pieces], pa.binary())],
-                    names=["cls", "doc_id", "k1", "k2", "lo", "starts", "data"],
-                )
+                for number, shared, first, starts, part in finer(row):
+                    rows.append((
+                        _hash64(b"%d:%d:" % (row["cls"], number) + shared), _hash64(part), row["doc_id"], row["k1"], row["k2"],
+                        row["lo"] + first, starts, row["reach"] - first, part,
+                    ))
+            columns = list(zip(*rows)) if rows else [()] * 9
+            kinds_ = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds_)],
+                names=["cls", "piece", "doc_id", "k1", "k2", "lo", "starts", "reach", "data"],
+            )
 
     return run
 
 
+def _hash64(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 def suffix_ranks(buf: np.ndarray, group: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
     """Rank of (group, next ``length`` bytes) of each start, by doubling; equal ranks: equal strings."""
     size, rank = 1, buf.astype(np.int64)
@@ -290,10 +305,49 @@ def _resolve(length: int, keep: str, chunk: int = 1 << 20) -> Callable:
     return run
 
 
-def _with_texts(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Documents with the list of their pieces."""
-    listed = pieces.groupBy(*_KEY).agg(F.collect_list(F.struct("cls", "lo", "starts", "reach")).alias("pieces"))
-    return docs.join(listed, _KEY).select("doc_id", *_KEY, F.col("text").cast("binary").alias("text"), "pieces")
+def _marked(docs: DataFrame, length: int) -> DataFrame:
+    """Pieces of repeated classes: every place of a piece that occurs several times, and of each
+    class with several distinct pieces their first places.
+
+    Classes of very many places (``hot``) are only brought in here, all of them, spread over tasks.
+    """
+    again = stored(
+        docs.select("text").mapInArrow(_emit_classes(length), "cls long, n long")
+        .groupBy("cls").agg(F.sum("n").alias("n")).filter("n > 1"),
+        "classes",
+    )
+    places = again.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    floor = max(HOT_ROWS, places // HOT_CLASSES)
+    hot = again.filter(F.col("n") > floor).select("cls", F.lit(True).alias("hot"))  # HOT_CLASSES rows at most
+    salts = F.when(F.col("n") > floor, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = again.select("cls", F.explode(salts).alias("salt"))
+    spread = F.pmod(F.xxhash64("k1", "lo"), F.lit(SALTS)).cast("int")
+    seen = (
+        docs.mapInArrow(_emit_pieces(length), _PIECES).join(F.broadcast(hot), "cls", "left")
+        .withColumn("hot", F.col("hot").isNotNull()).withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+        .join(keys, ["cls", "salt"])
+    )
+    # one shuffle, by class: the windows of calm classes need no other
+    same, whole = Window.partitionBy("cls", "salt", "piece"), Window.partitionBy("cls", "salt")
+    number = F.row_number().over(same.orderBy(*_PLACE))
+    calm = (
+        seen.withColumns({"number": number, "n": F.count("*").over(same), "first": F.min(F.struct(*_PLACE)).over(same)})
+        .withColumn("distinct", F.sum(F.when(F.col("number") == 1, 1).otherwise(0)).over(whole))
+    )
+    kept = calm.filter("hot OR n > 1 OR (number = 1 AND distinct > 1)")
+    return stored(kept.select("cls", "piece", *_PLACE, "starts", "reach", "hot", "number", "n", "first", "distinct"), "pieces")
+
+
+def _counted(pieces: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(distinct pieces with their first place and the number of their class, places of copies), by
+    partial sums, so that a class or a piece of any size is spread."""
+    whole = F.struct(*_PLACE, "starts", "reach", *carry)
+    distinct = pieces.groupBy("cls", "piece").agg(F.count("*").alias("n"), F.min(whole).alias("first"))
+    per_class = distinct.groupBy("cls").agg(F.count("*").alias("distinct"))
+    distinct = stored(distinct.join(per_class, "cls").filter("n > 1 OR distinct > 1"), "distinct")
+    several = distinct.filter("n > 1").select("cls", "piece", "n", F.struct(*(f"first.{c}" for c in _PLACE)).alias("first"))
+    copies = pieces.select("cls", "piece", *_PLACE, "starts").join(several, ["cls", "piece"])
+    return distinct.filter("distinct > 1").select("cls", "first.*", "distinct"), copies
 
 
 def repeat_spans(docs: DataFrame, length: int, keep: str, hot: int = HOT) -> DataFrame:
@@ -302,38 +356,34 @@ def repeat_spans(docs: DataFrame, length: int, keep: str, hot: int = HOT) -> Dat
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     ).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.hash("text", F.length("text")).alias("k2"))
     docs = docs.filter(F.octet_length("text") >= length)
-    again = stored(
-        docs.select("text").mapInArrow(_emit_classes(length), "cls long, n long")
-        .groupBy("cls").agg(F.sum("n").alias("n")).filter("n > 1").select("cls"),
-        "classes",
-    )
-    seen = stored(docs.mapInArrow(_emit_pieces(length), _PIECES).join(again, "cls"), "pieces")
-    out = []
-    for width in (*ROUNDS, None):
-        place = F.struct(*_PLACE)
-        pieces = seen.groupBy("cls", "piece").agg(
-            F.count("*").alias("n"), F.min(F.struct(*_PLACE, "starts", "reach")).alias("first")
-        )
-        per_class = pieces.groupBy("cls").agg(F.count("*").alias("distinct"))
-        pieces = stored(pieces.join(per_class, "cls").filter("n > 1 OR distinct > 1"), "distinct")
-        several = pieces.filter("n > 1").select("cls", "piece", F.struct(*(f"first.{c}" for c in _PLACE)).alias("first"))
-        copies = seen.join(several, ["cls", "piece"])
+    marked = _marked(docs, length)
+    columns = ["cls", *_PLACE, "starts", "reach", "distinct"]
+
+    def copied(places: DataFrame) -> DataFrame:
         if keep == "first":
-            copies = copies.filter(~place.eqNullSafe(F.col("first")))
-        out.append(copies.select(*_KEY, F.col("lo").alias("a"), (F.col("lo") + F.col("starts") + length - 1).alias("b")))
-        compared = pieces.filter("distinct > 1").select("cls", "first.*", "distinct")
-        few = compared if width is None else compared.filter(F.col("distinct") <= hot)
-        cut = _with_texts(docs, few).mapInArrow(_cut(length), _CUT)
+            places = places.filter(~F.struct(*_PLACE).eqNullSafe(F.col("first")))
+        return places.select(*_KEY, F.col("lo").alias("a"), (F.col("lo") + F.col("starts") + length - 1).alias("b"))
+
+    out = [copied(marked.filter("NOT hot AND n > 1"))]
+    compared = marked.filter("NOT hot AND number = 1 AND distinct > 1").select(*columns)
+    if marked.filter("hot").limit(1).count():
+        large, copies = _counted(marked.filter("hot").select("cls", "piece", *_PLACE, "starts", "reach"), [])
+        out.append(copied(copies))
+        compared = compared.union(large.select(*columns))
+    listed = compared.groupBy(*_KEY).agg(F.collect_list(F.struct("cls", "lo", "starts", "reach", "distinct")).alias("pieces"))
+    texts = docs.join(listed, _KEY).select("doc_id", *_KEY, F.col("text").cast("binary").alias("text"), "pieces")
+    cut = stored(texts.mapInArrow(_cut(length), _CUT), "cut")
+    for width in (*ROUNDS, None):
+        few = cut if width is None else cut.filter(F.col("distinct") <= hot)
         out.append(
-            cut.repartition("cls").sortWithinPartitions("cls")
+            few.repartition("cls").sortWithinPartitions("cls")
             .mapInArrow(_resolve(length, keep), "k1 long, k2 int, a long, b long")
         )
-        if width is None:
-            break
-        many = compared.filter(F.col("distinct") > hot)
-        if not many.limit(1).count():
+        many = cut.filter(F.col("distinct") > hot)
+        if width is None or not many.limit(1).count():
             break
-        seen = stored(_with_texts(docs, many).mapInArrow(_refine(length, width), _PIECES), "pieces")
+        cut, copies = _counted(many.mapInArrow(_refine(length, width), _FINER), ["data"])
+        out.append(copied(copies))
     return reduce(DataFrame.union, out)
 
 

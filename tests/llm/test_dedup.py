@@ -31,7 +31,11 @@ def brute_bytes(rows, length, keep):
 
 
 @pytest.mark.parametrize(("keep", "hot", "length"), [("none", 4096, 60), ("none", 2, 60), ("first", 4096, 60), ("first", 2, 60), ("none", 4096, 200), ("none", 1, 33)])
-def test_suffix_dedup(spark, keep, hot, length):
+def test_suffix_dedup(spark, keep, hot, length, monkeypatch):
+    if hot < 3:  # also spread the larger classes
+        monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 2)
+        monkeypatch.setattr(suffix_dedup, "HOT_CLASSES", 1 << 40)
+        monkeypatch.setattr(suffix_dedup, "SALTS", 4)
     rows = [r for r in documents() if keep == "none" or r[:1] != (3,) or r[4] != 0]
     got = suffix_dedup.dedup(frame(spark, rows), length, keep, hot).collect()
     assert sorted(((r["doc_id"], bytes(r["kept"])) for r in got), key=str) == brute_bytes(rows, length, keep)
@@ -112,7 +116,7 @@ def brute_components(rows, n, percent):
 
 @pytest.mark.parametrize(("n", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (3, 50, 3), (1, 70, 4)])
 def test_jaccard_join(spark, n, percent, seed, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1500)
     rows = documents(seed)
     got = jaccard_join.link_documents(frame(spark, rows), n, percent).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute_components(rows, n, percent)
