@@ -95,8 +95,11 @@ class SyncPlan:
 def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, full: bool) -> DataFrame:
     """Flat rows of the pages to take in, the newest delivery of each page, with content."""
     props = page_source.parse_schema(landed.schema_doc)
+    # The edit time alone is read first, so only pages to take in are parsed with all properties.
+    timed = landed.pages.withColumn("last_edited_time", to_timestamp(F.get_json_object("raw", "$.last_edited_time")))
+    landed_pages = page_source.edited_since(timed, last_sync, full=full).drop("last_edited_time")
     rows = page_source.flatten_pages(
-        landed.pages, props, cfg.include_columns, cfg.exclude_columns, cfg.files_handling
+        landed_pages, props, cfg.include_columns, cfg.exclude_columns, cfg.files_handling
     ).withColumn("_edited", to_timestamp(F.col("last_edited_time")))
     recent = page_source.edited_since(
         rows.withColumnRenamed("last_edited_time", "_edited_text").withColumnRenamed("_edited", "last_edited_time"),
