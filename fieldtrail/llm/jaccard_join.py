@@ -14,11 +14,13 @@ Few tiles hold more than one distinct set. Of those:
    them (the source of a group of near copies, say). Verified links give first components.
 2. In tiles that still hold several components, sets are sorted by size and cut into blocks; blocks
    whose sizes could link are compared by bitmaps of hashed shingles. Bits of one set that the other
-   lacks bound the overlap from above; pairs of different components that pass are verified.
+   lacks bound the overlap from above. Sets that could link across components form groups, which
+   are the same in many tiles and kept once.
+3. Within a group the sorted shingle arrays are intersected, for two sets as long as nothing has
+   joined them yet, and the links that join are returned: fewer than the group has sets.
 
 After that every two sets of a tile were compared or are in one component, so the components are
-exact, and no group is written out as all of its pairs. Verification reads both texts and intersects
-the sorted shingle arrays. Equal sets are one vertex throughout, known by a 64-bit hash of the set;
+exact, and no group is written out as all of its pairs. Equal sets are one vertex throughout, known by a 64-bit hash of the set;
 shingles are 64-bit hashes too.
 
 Cases: a text of fewer words than ``n`` is one shingle; NULL or empty text has none and links with
@@ -42,7 +44,8 @@ from fieldtrail.llm.graph import components
 from fieldtrail.llm.words import Words, mix
 
 RATIO = 1.5  # between the bounds of size bands
-BLOCK = 1024  # sets of a block in step 2
+BLOCK = 1 << 20  # shingles of a block in step 2, a set counting as ``SET_COST`` more
+SET_COST = 512
 _STEP = 0xA24BAED4963EE407
 
 
@@ -180,19 +183,20 @@ def _verify(n: int, percent: int) -> Callable:
 
 
 def _bitmaps(n: int) -> Callable:
-    """Of each text, a bitmap with two to four bits per shingle."""
+    """Of each text, its sorted shingles, and a bitmap with four to eight bits for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s for _, _, texts in text_batches(batch, "text") for s in Words(texts).shingle_sets(n)]
             maps = []
             for s in sets:
-                bits = np.zeros(max(64, 1 << (2 * len(s) - 1).bit_length() if len(s) else 64), np.uint8)
+                bits = np.zeros(max(64, 1 << (4 * len(s) - 1).bit_length()), np.uint8)
                 bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
                 maps.append(np.packbits(bits, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("v"), pa.array([len(s) for s in sets], pa.int64()), pa.array(maps, pa.binary())],
-                names=["v", "n", "bits"],
+                [batch.column("v"), pa.array([len(s) for s in sets], pa.int64()), pa.array(maps, pa.binary()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["v", "n", "bits", "shingles"],
             )
 
     return run
@@ -221,50 +225,92 @@ def may_link(sizes: np.ndarray, maps: list[np.ndarray], one: int, others: np.nda
     return np.concatenate(kept) if kept else others[:0]
 
 
-def _compare(v, label, sizes, side, maps, i: int, j: int, percent: int) -> list[np.ndarray]:
-    """Pairs of different components between blocks ``i`` and ``j`` (one of the two for each row in ``side``)."""
-    out = []
+class Union:
+    """Labels that are merged, of a few thousand members."""
+
+    def __init__(self, label: np.ndarray):
+        self.label = np.unique(label, return_inverse=True)[1]
+
+    def merge(self, i: int, j: int) -> None:
+        a, b = self.label[i], self.label[j]
+        if a != b:
+            self.label[self.label == b] = a
+
+
+def _candidate_groups(v, label, sizes, side, maps, i: int, j: int, percent: int) -> list[np.ndarray]:
+    """Members that could link with one of another component, as connected groups, between blocks
+    ``i`` and ``j`` (one of the two for each row in ``side``)."""
+    union, touched = Union(v), np.zeros(len(v), bool)
     left = np.flatnonzero(side == i)
     right = left if i == j else np.flatnonzero(side == j)
     for one in left.tolist():
         others = right[(label[right] != label[one]) & ((v[right] > v[one]) | (i != j))]
         if len(others):
-            found = v[may_link(sizes, maps, one, others, percent)]
-            out.append(np.column_stack([np.minimum(v[one], found), np.maximum(v[one], found)]))
-    return out
+            for other in may_link(sizes, maps, one, others, percent).tolist():
+                union.merge(one, other)
+                touched[one] = touched[other] = True
+    return [v[touched & (union.label == g)] for g in np.unique(union.label[touched]).tolist()]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], names: list[str], binaries: list[str], work: Callable) -> Iterator[pa.RecordBatch]:
+    """Calls ``work`` with the columns of each group of rows that agree in ``keys``, by which the rows
+    are sorted; holds one group, besides the batch. ``work`` returns pairs of numbers."""
+    kept: list | None = None
+
+    def done(columns: list) -> Iterator[pa.RecordBatch]:
+        fresh = np.zeros(len(columns[0]), bool)
+        for c in columns[: len(keys)]:
+            fresh[1:] |= c[1:] != c[:-1]
+        edge = [0, *np.flatnonzero(fresh).tolist(), len(fresh)]
+        out = [work(*(c[a:b] for c in columns)) for a, b in zip(edge, edge[1:])]
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *out])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in names] + [batch.column(c).to_pylist() for c in binaries]
+        if kept is not None:
+            columns = [np.concatenate([k, c]) if isinstance(c, np.ndarray) else k + c for k, c in zip(kept, columns)]
+        if not len(columns[0]):
+            continue
+        last = np.ones(len(columns[0]), bool)
+        for c in columns[: len(keys)]:
+            last &= c == c[-1]
+        cut = int(np.argmax(last))  # the last group may go on in the next batch
+        if cut:
+            yield from done([c[:cut] for c in columns])
+        kept = [c[cut:] for c in columns]
+    if kept is not None and len(kept[0]):
+        yield from done(kept)
 
 
 def _compare_blocks(percent: int) -> Callable:
-    """Over rows sorted by (tile, i, j); holds two blocks at a time, besides the batch."""
+    """(group, set) of candidate groups, over rows sorted by (tile, i, j)."""
+
+    def work(tile, i, j, v, label, n, block, bits) -> np.ndarray:
+        maps = [np.frombuffer(b, np.uint64) for b in bits]
+        groups = _candidate_groups(v, label, n, block, maps, int(i[0]), int(j[0]), percent)
+        named = [np.column_stack([np.full(len(g), mix(mix(g.view(np.uint64)).sum(dtype=np.uint64)[None])[0].view(np.int64)), g]) for g in groups]
+        return np.concatenate([np.zeros((0, 2), np.int64), *named])
+
     names = ["tile", "i", "j", "v", "label", "n", "block"]
+    return lambda batches: _grouped(batches, ["tile", "i", "j"], names, ["bits"], work)
 
-    def compared(columns: list[np.ndarray], maps: list[np.ndarray]) -> pa.RecordBatch:
-        tile, i, j, v, label, n, block = columns
-        edge = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True]]))
-        out = [np.zeros((0, 2), np.int64)]
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            out += _compare(v[a:b], label[a:b], n[a:b], block[a:b], maps[a:b], int(i[a]), int(j[a]), percent)
-        pairs = np.concatenate(out)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, kept_maps = None, []
-        for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in names]
-            maps = kept_maps + [np.frombuffer(b, np.uint64) for b in batch.column("bits").to_pylist()]
-            columns = columns if kept is None else [np.concatenate(x) for x in zip(kept, columns)]
-            tile, i, j = columns[:3]
-            if not len(tile):
-                continue
-            same = (tile == tile[-1]) & (i == i[-1]) & (j == j[-1])
-            last = int(np.argmax(same))  # the last group may go on in the next batch
-            if last:
-                yield compared([c[:last] for c in columns], maps[:last])
-            kept, kept_maps = [c[last:] for c in columns], maps[last:]
-        if kept is not None and len(kept[0]):
-            yield compared(kept, kept_maps)
+def _joining_links(percent: int) -> Callable:
+    """The links that join the components of a group, over rows sorted by (group, n, v)."""
 
-    return run
+    def work(group, v, label, n, bits, shingles) -> np.ndarray:
+        union, out = Union(label), []
+        maps, sets = [np.frombuffer(b, np.uint64) for b in bits], [np.frombuffer(b, np.uint64) for b in shingles]
+        for one in range(len(v)):
+            others = np.flatnonzero(union.label != union.label[one])
+            for other in may_link(n, maps, one, others[others > one], percent).tolist() if len(others) else ():
+                if union.label[one] != union.label[other] and linked(sets[one], sets[other], percent):
+                    union.merge(one, other)
+                    out.append((v[one], v[other]))
+        return np.array(out, np.int64).reshape(-1, 2)
+
+    return lambda batches: _grouped(batches, ["group"], ["group", "v", "label", "n"], ["bits", "shingles"], work)
 
 
 def _central_pairs(members: DataFrame) -> DataFrame:
@@ -284,8 +330,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(n, percent), "a long, b long, linked boolean")
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, tested: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs of a tile that lie in different components and could link by their bitmaps."""
+def _bridges(members: DataFrame, labels: DataFrame, texts: DataFrame, tested: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components within a tile."""
     labelled = members.join(labels, "v", "left").select("tile", "v", F.coalesce("label", "v").alias("label"))
     mixed = labelled.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).filter("x != y")
     # a tile of two sets that were compared is done
@@ -293,24 +339,31 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, te
         mixed.join(tested.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(True).alias("done")), ["x", "y"], "left")
         .filter("size > 2 OR done IS NULL").select("tile")
     )
-    bits = texts.mapInArrow(_bitmaps(n), "v long, n long, bits binary")
-    place = F.row_number().over(Window.partitionBy("tile").orderBy("n", "v"))
+    described = texts.select("v", "text").mapInArrow(_bitmaps(n), "v long, n long, bits binary, shingles binary")
+    weight = F.sum(F.col("n") + SET_COST).over(Window.partitionBy("tile").orderBy("n", "v"))
     numbered = (
-        labelled.join(open_tiles, "tile").join(bits, "v")
-        .withColumn("block", F.floor((place - 1) / BLOCK).cast("int"))
+        labelled.join(open_tiles, "tile").join(texts.select("v", "n"), "v")
+        .withColumn("block", F.floor(weight / BLOCK).cast("int"))
     )
-    spans = numbered.groupBy("tile", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    spans = stored(spans, "blocks")
+    spans = stored(numbered.groupBy("tile", "block").agg(F.min("n").alias("low"), F.max("n").alias("high")), "blocks")
     one, two = spans.alias("one"), spans.alias("two")
     # blocks of a tile, not its rows: sorted by size, so only neighbouring ones can link
     meet = one.join(two, "tile").filter(
         f"one.block <= two.block AND 100 * one.high >= {percent} * two.low"
     ).select("tile", F.col("one.block").alias("i"), F.col("two.block").alias("j"))
     visits = meet.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-    return (
-        numbered.join(visits, ["tile", "block"]).select("tile", "i", "j", "v", "label", "n", "block", "bits")
+    # bitmaps come last, so that they are moved once
+    groups = (
+        numbered.join(visits, ["tile", "block"]).join(described.select("v", "bits"), "v")
+        .select("tile", "i", "j", "v", "label", "n", "block", "bits")
         .repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
-        .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
+        .mapInArrow(_compare_blocks(percent), "a long, b long").toDF("group", "v").distinct()
+    )
+    return (
+        stored(groups, "candidates").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v")).join(described, "v")
+        .select("group", "v", "label", "n", "bits", "shingles")
+        .repartition("group").sortWithinPartitions("group", "n", "v")
+        .mapInArrow(_joining_links(percent), "a long, b long").distinct()
     )
 
 
@@ -328,16 +381,17 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         "tiles",
     )
     # one text of each set that shares a tile
-    keys = sets.filter("v IS NOT NULL").groupBy("v").agg(F.min("text_key").alias("text_key"))
+    keys = sets.filter("v IS NOT NULL").groupBy("v").agg(F.min("text_key").alias("text_key"), F.min("n_shingles").alias("n"))
     keys = members.select("v").distinct().join(keys, "v")
     texts = stored(
-        docs.select("text_key", "text").join(keys, "text_key").groupBy("v").agg(F.min("text").alias("text")), "texts"
+        docs.select("text_key", "text").join(keys, "text_key")
+        .groupBy("v").agg(F.min("text").alias("text"), F.min("n").alias("n")),
+        "texts",
     )
     first = stored(_verified(_central_pairs(members), texts, n, percent), "links")
     links = first.filter("linked").select("a", "b")
     labels = components(links)
-    second = _verified(_remaining_pairs(members, labels, texts, first, n, percent), texts, n, percent)
-    bridges = stored(second.filter("linked").select("a", "b"), "links")
+    bridges = stored(_bridges(members, labels, texts, first, n, percent), "links")
     if bridges.limit(1).count():
         labels = components(links.union(bridges))
     ids = sets.filter("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("own"))
