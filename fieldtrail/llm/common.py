@@ -47,7 +47,7 @@ def kinds(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def text_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+def text_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
     """Slices (first row, end row, texts as UTF-8) of a batch, each of about ``max_bytes``.
 
     NULL counts as empty. A single longer text forms its own slice.

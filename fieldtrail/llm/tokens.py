@@ -17,7 +17,7 @@ import numpy as np
 
 from fieldtrail.llm.words import RUNS, Words
 
-CACHE_RUNS = 500_000
+CACHE_RUNS = 300_000
 #: The split rule of the files that runs are valid for.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Anything but ASCII without the apostrophe, and the letters from U+00C0 to U+024F.

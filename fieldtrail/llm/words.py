@@ -41,7 +41,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, 0 to n."""
     if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 20)
+        size = max(n + 1, 1 << 19)
         up, down = np.full(size, _BASE), np.full(size, _INV)
         up[0] = down[0] = 1
         _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
