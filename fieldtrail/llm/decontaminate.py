@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-grams as seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower-cased. The n-grams of the test items are counted over
-all documents; of every ``stretch`` neighbouring n-grams of an item the ``per_stretch`` rarest are
-its seeds, so each part of an item has some, however often the item itself was copied. A seed
-found in a document proposes the passage around it, as long as the item and some slack; proposals
-that overlap merge. Each passage is aligned with the item word by word (match 2, mismatch -1, gap
--1), and the score is that of the best local alignment as a share of the item's own, 0 to 1.
+Words are runs of letters and digits, lower-cased. Every n-gram of every test item is a seed, so a
+copy is met wherever edits left ``n`` words in a row, however often they are found elsewhere; one
+without such a run, a word changed in every three, say, is not. A seed found in a document proposes
+the passage around it, as long as the item and some slack; proposals that overlap merge. A passage
+that shares fewer words with the item than a match needs is left out, as it cannot be one. Each other
+is aligned with the item word by word (match 2, mismatch -1, gap -1), and the score is that of the
+best local alignment as a share of the item's own, 0 to 1.
 
 Items are taken in blocks of ``BLOCK_BYTES`` of text, each broadcast in turn, so that what a worker
-holds is bounded; documents are scanned, never shuffled. The counts that reach the driver are one
-per n-gram of a block.
+holds is bounded; documents are scanned, never shuffled.
 
 Cases: NULL or empty texts and items match nothing, nor do items of fewer than ``n`` words; an
 empty table of either kind gives no match; repeated items and rows are judged alike; the column
@@ -31,6 +31,7 @@ from fieldtrail.llm.common import kinds, text_batches, workers_can_import
 from fieldtrail.llm.words import PLAIN, Words
 
 BLOCK_BYTES = 8 << 20
+PAIRS = 1 << 18  # of a shared n-gram and its place in an item, expanded at a time
 MATCH, MISS, GAP = 2, -1, -1
 _HIT = pa.struct([
     ("item_id", pa.int64()), ("score", pa.float64()), ("matched", pa.int32()), ("first_word", pa.int32()), ("last_word", pa.int32()),
@@ -41,8 +42,6 @@ _HIT_SQL = "array<struct<item_id:bigint,score:double,matched:int,first_word:int,
 @dataclass(frozen=True)
 class Settings:
     n: int = 3
-    stretch: int = 6
-    per_stretch: int = 3
     slack: float = 0.5  # of the item's length, on both sides
     min_score: float = 0.5
     min_matched: int = 6  # equal words, or the whole item when it is shorter
@@ -57,23 +56,20 @@ class Items:
         self.ids = [item for item, _ in rows]
         self.words = [words.hash[a:b] for a, b in zip(bounds, bounds[1:])]
         self.grams = [grams[a : max(a, b - n + 1)] for a, b in zip(bounds, bounds[1:])]
-        self.distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.grams]))
-
-    def seeds(self, counts: np.ndarray, stretch: int, per_stretch: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted seed hashes with the item and place of each."""
-        hashes, items, places = [], [], []
-        for item, grams in enumerate(self.grams):
-            rarity = counts[np.searchsorted(self.distinct, grams)]
-            chosen: set[int] = set()
-            for at in range(0, max(len(grams) - stretch, 0) + 1):
-                part = np.argsort(rarity[at : at + stretch], kind="stable")[:per_stretch] + at
-                chosen.update(part.tolist())
-            for place in sorted(chosen):
-                hashes.append(grams[place])
-                items.append(item)
-                places.append(place)
-        order = np.argsort(np.array(hashes, np.uint64), kind="stable")
-        return np.array(hashes, np.uint64)[order], np.array(items, np.int64)[order], np.array(places, np.int64)[order]
+
+    def seeds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted hashes of all n-grams with the item and place of each."""
+        sizes = [len(g) for g in self.grams]
+        hashes = np.concatenate([np.zeros(0, np.uint64), *self.grams])
+        items = np.repeat(np.arange(len(sizes)), sizes)
+        places = np.concatenate([np.zeros(0, np.int64), *map(np.arange, sizes)])
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], items[order], places[order]
+
+
+def _ranges(counts: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n of ``counts``, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int]:
@@ -102,37 +98,63 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int]:
 class Matcher:
     """Matches of texts with a block of items."""
 
-    def __init__(self, items: Items, seeds: tuple[np.ndarray, np.ndarray, np.ndarray], settings: Settings):
+    def __init__(self, items: Items, settings: Settings):
         self.items, self.s = items, settings
-        self.hashes, self.item_of, self.place_of = seeds
+        hashes, self.item_of, self.place_of = items.seeds()
+        self.hashes, self.first, self.count = np.unique(hashes, return_index=True, return_counts=True)
+        self.sizes = np.array([len(w) for w in items.words], np.int64)
+        self.slack = np.ceil(self.s.slack * self.sizes).astype(np.int64)
+        self.counted = [np.unique(w, return_counts=True) for w in items.words]
+
+    def _proposals(self, words: Words) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """(text, item) -> passages around shared n-grams, overlapping ones merged."""
+        grams, text_of = words.shingles(self.s.n), words.text_of()
+        ends = words.first[1:][text_of]
+        low = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
+        hit = np.flatnonzero((self.hashes[low] == grams) & (np.arange(len(grams)) + self.s.n <= ends))
+        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        many = np.cumsum(self.count[low[hit]]) // PAIRS
+        for some in np.split(hit, np.flatnonzero(many[1:] != many[:-1]) + 1):
+            n = self.count[low[some]]
+            seed = np.repeat(self.first[low[some]], n) + _ranges(n)
+            text, item = np.repeat(text_of[some], n), self.item_of[seed]
+            begin = np.repeat(some, n) - self.place_of[seed]
+            order = np.lexsort((begin, item, text))
+            text, item, begin = text[order], item[order], begin[order]
+            size, slack = self.sizes[item], self.slack[item]
+            a = np.maximum(begin - slack, words.first[text])
+            b = np.minimum(begin + size + slack, words.first[text + 1])
+            new = np.ones(len(a), bool)
+            new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            for t, i, x, y, limit in zip(*(c[new].tolist() for c in (text, item, a, b, 4 * (size + 2 * slack)))):
+                spans = out.setdefault((t, i), [])
+                if spans and x <= spans[-1][1] and y >= spans[-1][0] and max(y, spans[-1][1]) - min(x, spans[-1][0]) <= limit:
+                    spans[-1] = (min(x, spans[-1][0]), max(y, spans[-1][1]))
+                else:
+                    spans.append((x, y))
+        return out
+
+    def _needed(self, item: int) -> int:
+        """Equal words without which no alignment with the item counts."""
+        size = len(self.items.words[item])
+        return max(math.ceil(self.s.min_score * size - 1e-9), min(self.s.min_matched, size))
+
+    def _common(self, passage: np.ndarray, item: int) -> int:
+        """Words that passage and item share in any order; no alignment has more equal ones."""
+        known, count = self.counted[item]
+        at = np.minimum(np.searchsorted(known, passage), len(known) - 1)
+        return int(np.minimum(np.bincount(at[known[at] == passage], minlength=len(known)), count).sum())
 
     def __call__(self, texts: list[bytes]) -> list[list[dict]]:
         words = Words(texts, PLAIN, latin=True)
         out: list[list[dict]] = [[] for _ in texts]
         if not len(self.hashes) or not len(words.hash):
             return out
-        grams, text_of = words.shingles(self.s.n), words.text_of()
-        ends = words.first[1:][text_of]
-        low = np.searchsorted(self.hashes, grams)
-        hit = np.flatnonzero((self.hashes[np.minimum(low, len(self.hashes) - 1)] == grams) & (np.arange(len(grams)) + self.s.n <= ends))
-        proposals: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for at in hit.tolist():
-            k = int(low[at])
-            while k < len(self.hashes) and self.hashes[k] == grams[at]:
-                item, text = int(self.item_of[k]), int(text_of[at])
-                size = len(self.items.words[item])
-                slack = math.ceil(self.s.slack * size)
-                begin = at - int(self.place_of[k])
-                spans = proposals.setdefault((text, item), [])
-                a = max(begin - slack, int(words.first[text]))
-                b = min(begin + size + slack, int(words.first[text + 1]))
-                if spans and a <= spans[-1][1] and b - spans[-1][0] <= 4 * (size + 2 * slack):
-                    spans[-1] = (min(a, spans[-1][0]), max(b, spans[-1][1]))
-                else:
-                    spans.append((a, b))
-                k += 1
-        for (text, item), spans in sorted(proposals.items()):
-            target = self.items.words[item]
+        for (text, item), spans in sorted(self._proposals(words).items()):
+            target, needed = self.items.words[item], self._needed(item)
+            spans = [(a, b) for a, b in spans if self._common(words.hash[a:b], item) >= needed]
+            if not spans:
+                continue
             best = max(
                 ((*align(words.hash[a:b], target), a - int(words.first[text])) for a, b in spans),
                 key=lambda x: (x[0], x[1], -x[4]),
@@ -146,33 +168,8 @@ class Matcher:
         return out
 
 
-def _count_grams(docs: DataFrame, grams: np.ndarray, n: int) -> np.ndarray:
-    """Occurrences of each of the sorted ``grams`` in all texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(grams), np.int64)
-        for batch in batches:
-            for _, _, texts in text_batches(batch, "text"):
-                found = Words(texts, PLAIN, latin=True).shingles(n)
-                at = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-                total += np.bincount(at[grams[at] == found], minlength=len(grams))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "n"])
-
-    counts = np.zeros(len(grams), np.int64)
-    if len(grams):
-        summed = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        for row in summed.collect():
-            counts[row["gram"]] = row["n"]
-    return counts
-
-
 def _match_block(docs: DataFrame, rows: list[tuple[int | None, str]], settings: Settings) -> DataFrame:
-    items = Items(rows, settings.n)
-    counts = _count_grams(docs, items.distinct, settings.n)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (items, items.seeds(counts, settings.stretch, settings.per_stretch), settings)
-    )
+    shared = docs.sparkSession.sparkContext.broadcast((Items(rows, settings.n), settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(*shared.value)

@@ -145,3 +145,32 @@ def test_decontamination(spark, block_bytes, monkeypatch):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(frame(spark), none).filter("size(contamination) > 0").count() == 0
     assert decontaminate.find_contamination(spark.createDataFrame([], SCHEMA), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_decontamination_finds_copies_with_regular_edits(spark):
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(48))) for i in range(4)] + [(9, " ".join(f"short{j}" for j in range(8)))]
+    rows, want = [], {}
+    for item, text in items:
+        words = text.split()
+        copies = {every: [f"new{j}" if j % every == every - 1 else w for j, w in enumerate(words)] for every in (4, 5, 6)}
+        if item == 9:
+            copies = {0: [*words[:4], "new", *words[5:]]}
+        elif item % 2:
+            copies[1] = words  # intact n-grams are not the rarest then
+        for copy in copies.values():
+            want[len(rows)] = item
+            rows.append((len(rows), f"{sentence(rng, 30)} {' '.join(copy)} {sentence(rng, 30)}", "en", "s", 0, "x"))
+    got = decontaminate.find_contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: [h["item_id"] for h in r["contamination"]] for r in got} == {d: [item] for d, item in want.items()}
+    assert min(h["score"] for r in got for h in r["contamination"]) < 0.65
+
+
+def test_decontamination_expands_shared_n_grams_in_parts(monkeypatch):
+    items = decontaminate.Items([(1, "a a a a b c d e f"), (2, "b c d a a a a e f g")], 3)
+    texts = [b"a a a a b c d e f " * 20, b"b c d a a a a e f g", b"a a a a a a a a", b""]
+    whole = decontaminate.Matcher(items, decontaminate.Settings())(texts)
+    monkeypatch.setattr(decontaminate, "PAIRS", 3)
+    parts = decontaminate.Matcher(items, decontaminate.Settings())(texts)
+    assert [[(h["item_id"], h["score"]) for h in x] for x in parts] == [[(h["item_id"], h["score"]) for h in x] for x in whole]
+    assert (1, 1.0) in [(h["item_id"], h["score"]) for h in whole[0]] and whole[2:] == [[], []]
