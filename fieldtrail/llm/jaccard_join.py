@@ -333,10 +333,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 def _bridges(members: DataFrame, labels: DataFrame, texts: DataFrame, tested: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) that join components within a tile."""
     labelled = members.join(labels, "v", "left").select("tile", "v", F.coalesce("label", "v").alias("label"))
-    mixed = labelled.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).filter("x != y")
-    # a tile of two sets that were compared is done
+    mixed = labelled.groupBy("tile").agg(
+        F.min("v").alias("a"), F.max("v").alias("b"), F.count("*").alias("size"), F.min("label").alias("x"), F.max("label").alias("y"),
+    ).filter("x != y")
+    # a tile of two sets that were themselves compared is done, whatever their components are called
     open_tiles = (
-        mixed.join(tested.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(True).alias("done")), ["x", "y"], "left")
+        mixed.join(tested.select("a", "b", F.lit(True).alias("done")), ["a", "b"], "left")
         .filter("size > 2 OR done IS NULL").select("tile")
     )
     described = texts.select("v", "text").mapInArrow(_bitmaps(n), "v long, n long, bits binary, shingles binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -122,6 +123,25 @@ def test_jaccard_join(spark, n, percent, seed, monkeypatch):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute_components(rows, n, percent)
 
 
+def test_jaccard_join_compares_the_members_of_a_tile(spark):
+    """u links with v and y, v with x; x and y, which name the components, were compared in vain."""
+    rng, rows = random.Random(2), []
+    for case in range(150):
+        parts = [[], [], [], []]
+        for j in range(400):
+            shingle = int(Words([f"c{case}w{j}".encode()]).shingle_sets(1)[0][0])
+            parts[(shingle >> 32) * 4 >> 32].append(f"c{case}w{j}")
+        e, f, g, h = parts
+        y = {*e[:5], *f[:5], *g[:5], *h[:5]}
+        a, b, c, d = e[0], g[5], f[0], h[5]
+        sets = [y, y - {a} | {b}, y - {c} | {d, b}, y - {a, c} | {b, d}]
+        sets += [{*e[:5], *f[k : k + 5], *g[k : k + 5], *h[k : k + 5]} for k in range(10, 50, 10)]
+        rows += [(8 * case + k, " ".join(rng.sample(sorted(s), len(s))), "en", "s", 0, "x") for k, s in enumerate(sets)]
+    assert jaccard_join.parts(6, 90)[0] == 4 and jaccard_join.band(6) == (18, 26)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(frame(spark, rows), 1, 90).collect()}
+    assert got == {d: d if d % 8 > 3 else d - d % 8 for d in range(len(rows))}
+
+
 def test_shingles_of_short_texts():
     sets = Words([b"", b"  ", b"A b", b"a B", b"a b c", b"a b c a b c", b"ab"]).shingle_sets(3)
     assert [len(s) for s in sets] == [0, 0, 1, 1, 1, 3, 1]
