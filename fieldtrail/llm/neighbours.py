@@ -8,8 +8,10 @@ best of all blocks are merged.
 
 The window is fitted on a bounded sample (``sample_rows``): it is the smallest of ``WINDOWS``, a
 share of all rows on either side, with which the sample's own neighbours are found at
-``target_recall``. Neighbours in a sample lie further off than in the whole table, so the recall
-there is higher. Data without structure needs wide windows, clustered data narrow ones; blocks
+``target_recall``, by their distance in rank and not by whole blocks, which add to it in small tables.
+Neighbours in a sample lie further off than in the whole table, so the recall there is higher, but
+no higher among near copies of one vector: points of one cell are ordered by a finer curve within it,
+and by a hash that differs per curve where that ties too, so that curves order them differently. Data without structure needs wide windows, clustered data narrow ones; blocks
 bound the memory in either case.
 
 Equal vectors are one class: it stands for them on the curves with its ``k + 1`` smallest ids,
@@ -34,8 +36,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtrail.llm.common import stored, workers_can_import
+from fieldtrail.llm.words import mix
 
 WINDOWS = (0.005, 0.01, 0.02, 0.03, 0.05, 0.07, 0.1, 0.15, 0.25, 0.5)
+FINE_BITS = 15  # of each axis within a cell
 
 
 @dataclass(frozen=True)
@@ -46,7 +50,7 @@ class Settings:
     block_rows: int = 1024
     sample_rows: int = 4096
     sample_queries: int = 256
-    target_recall: float = 0.88
+    target_recall: float = 0.95
     seed: int = 7
 
 
@@ -87,11 +91,14 @@ class Index:
     bits: int
     window: float = WINDOWS[-1]
 
-    def keys(self, unit: np.ndarray, curve: int) -> np.ndarray:
+    def keys(self, unit: np.ndarray, curve: int) -> tuple[np.ndarray, np.ndarray]:
+        """Place along the curve, and along a finer one within the cell."""
         y = (unit @ self.matrices[curve] - self.centre[curve]) / self.spread[curve]
         share = 1 / (1 + np.exp(-1.702 * np.clip(y, -20, 20)))  # close to the normal distribution's
-        cells = ((share + self.shifts[curve]) / 1.5 * (1 << self.bits)).astype(np.int64)
-        return hilbert_keys(np.clip(cells, 0, (1 << self.bits) - 1), self.bits)
+        place = (share + self.shifts[curve]) / 1.5 * (1 << self.bits)
+        cells = np.clip(place.astype(np.int64), 0, (1 << self.bits) - 1)
+        within = np.clip(((place - cells) * (1 << FINE_BITS)).astype(np.int64), 0, (1 << FINE_BITS) - 1)
+        return hilbert_keys(cells, self.bits), hilbert_keys(within, FINE_BITS)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -114,7 +121,8 @@ def fit_index(sample: np.ndarray, k: int, s: Settings) -> Index:
     truth = np.argsort(-near, axis=1)[:, : min(k, n - 1)]
     ranks = np.empty((s.curves, n), np.int64)
     for c in range(s.curves):
-        ranks[c, np.argsort(index.keys(unit, c), kind="stable")] = np.arange(n)
+        key, fine = index.keys(unit, c)
+        ranks[c, np.lexsort((rng.permutation(n), fine, key))] = np.arange(n)
     distance = np.abs(ranks[:, truth] - ranks[:, :queries, None]).min(0)
     window = next((w for w in WINDOWS if not truth.size or (distance <= w * n).mean() >= s.target_recall), WINDOWS[-1])
     return Index(index.matrices, index.shifts, index.centre, index.spread, s.bits, window)
@@ -144,7 +152,7 @@ def _classes(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
     return ids.join(asked, "v").select(F.col("ids")[0].alias("rep"), "ids", "asked", "v")
 
 
-_POINTS = "curve int, key long, rep long, ids array<long>, asked boolean, v binary"
+_POINTS = "curve int, key long, fine long, tie long, rep long, ids array<long>, asked boolean, v binary"
 
 
 def _points(index: Index) -> Callable:
@@ -154,11 +162,14 @@ def _points(index: Index) -> Callable:
                 continue
             x = _matrix(batch.column("v"))
             unit, packed = unit_rows(x), pa.array([r.tobytes() for r in x], pa.binary())
+            reps = batch.column("rep").to_numpy().view(np.uint64)
             for c in range(len(index.matrices)):
+                key, fine = index.keys(unit, c)
+                tie = mix(mix(reps + np.uint64(1)) + np.uint64(c)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), c, np.int32)), pa.array(index.keys(unit, c)), batch.column("rep"),
+                    [pa.array(np.full(len(x), c, np.int32)), pa.array(key), pa.array(fine), pa.array(tie), batch.column("rep"),
                      batch.column("ids"), batch.column("asked"), packed],
-                    names=["curve", "key", "rep", "ids", "asked", "v"],
+                    names=["curve", "key", "fine", "tie", "rep", "ids", "asked", "v"],
                 )
 
     return run
@@ -171,7 +182,7 @@ def _blocks(block_rows: int) -> Callable:
     """Sorted points of a partition, up to ``block_rows`` of a curve to a row."""
 
     def pack(part: int, seq: int, rows: list[tuple]) -> pa.RecordBatch:
-        curve, _, reps, ids, asked, v = zip(*rows)
+        curve, _, _, _, reps, ids, asked, v = zip(*rows)
         return pa.RecordBatch.from_arrays([
             pa.array([curve[0]], pa.int32()), pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
             pa.array([np.array(reps, np.int64).tobytes()], pa.binary()), pa.array([list(ids)], pa.list_(pa.list_(pa.int64()))),
@@ -242,8 +253,9 @@ def nearest(
     index = fit_index(_matrix(sample.column("v").combine_chunks()), k, settings)
     points = classes.mapInArrow(_points(index), _POINTS)
     tasks = max(1, math.ceil(n * settings.curves / (8 * settings.block_rows)))
+    along = ["curve", "key", "fine", "tie", "rep"]
     blocks = stored(
-        points.repartitionByRange(tasks, "curve", "key", "rep").sortWithinPartitions("curve", "key", "rep")
+        points.repartitionByRange(tasks, *along).sortWithinPartitions(*along)
         .mapInArrow(_blocks(settings.block_rows), _BLOCKS),
         "blocks",
     )

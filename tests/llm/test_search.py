@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,41 @@ def test_neighbours_recall_and_empty(spark):
     assert neighbours.nearest(frame_.filter("vec_id = 50"), F.col("id") % 50 == 0, 5).count() == 0
 
 
+def hot_vectors(share, noise, n=20_000, dims=64):
+    """Clusters of a few vectors, and a share of near copies of one vector."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n // 50, dims))[rng.integers(0, n // 50, n)] + 0.02 * rng.normal(size=(n, dims))
+    hot = rng.random(n) < share
+    x[hot] = x[0] + noise * rng.normal(size=(int(hot.sum()), dims))
+    return x
+
+
+def rank_recall(x, index, k=5, queries=400):
+    """Share of true neighbours within the window by rank, ties as in the table's order."""
+    n, unit = len(x), neighbours.unit_rows(x)
+    asked = np.random.default_rng(5).choice(n, queries, replace=False)
+    near = unit[asked] @ unit.T
+    near[np.arange(queries), asked] = -2
+    truth = np.argpartition(-near, k, axis=1)[:, :k]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), pa.array([[i] for i in range(n)]), pa.array(np.zeros(n, bool)), pa.array(list(x))], names=["rep", "ids", "asked", "v"]
+    )
+    found = np.zeros(truth.shape, bool)
+    for points in neighbours._points(index)(iter([batch])):
+        order = [c for c in ("key", "fine", "tie", "rep") if c in points.schema.names]
+        ranks = np.empty(n, np.int64)
+        ranks[np.lexsort([points.column(c).to_numpy() for c in reversed(order)])] = np.arange(n)
+        found |= np.abs(ranks[truth] - ranks[asked][:, None]) <= index.window * n
+    return found.mean()
+
+
+@pytest.mark.parametrize("share", [0.12, 0.2])
+def test_neighbours_recall_among_near_copies(share):
+    x = hot_vectors(share, 1e-6)  # closer than a cell of the curves
+    sample = x[np.random.default_rng(2).choice(len(x), 4096, replace=False)]
+    assert rank_recall(x, neighbours.fit_index(sample, 5, neighbours.Settings())) >= 0.92
+
+
 def test_hilbert_curve_visits_neighbouring_cells():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = neighbours.hilbert_keys(cells, 3)
