@@ -1,13 +1,17 @@
-"""The ten operators bound to the test tables, with SQL where it can express them."""
+"""The operators bound to the test tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtrail.llm import decontaminate, jaccard_join, language_id, line_dedup, neighbours, packing, suffix_dedup, surrogates, toxicity, url_filters
+from fieldtrail.llm import (
+    decontaminate, jaccard_join, language_id, license_scan, line_dedup, neighbours, packing, periodic_runs, spelling_variants,
+    suffix_dedup, surrogates, toxicity, url_filters,
+)
 from fieldtrail.llm.common import read_table
 from fieldtrail.llm.url_filters import place_rule, word_rule
 
@@ -191,3 +195,64 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = surrogates.replace_entities(docs, SURROGATE_KEY)
     return found.select("doc_id", "clean_text", F.size("entities").alias("n_entities"), "entities")
+
+
+def drop_sign(doc_id: int | None, run: str) -> str:
+    """Every 31st (document, run), by checksum, loses a code point."""
+    h = zlib.crc32(run.encode(), zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode()))
+    at = h % len(run)
+    return run[:at] + run[at + 1 :] if h % 31 == 0 else run
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of at least seven code points that occurs twice, its near words, form and root."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = spelling_variants.group_variants(docs, min_length=7, min_count=2, ratio=10, damage=drop_sign)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence phrases and notices."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs).drop("text")
+    base = F.filter("matches", lambda m: m["template"] < len(license_scan.BASE))
+
+    def joined(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    starts = F.transform(base, lambda m: m["word"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def repeat_block(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In every tenth document, by checksum, the words from one on repeat a block."""
+    h, n = 0 if doc_id is None else zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, the longest of them, and what is left without repeats."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, min_length=6, exponent=4, rewrite=repeat_block)
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
+    best = F.array_min(ranked)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["s"].alias("start"), (-best["l"]).alias("length"),
+        best["p"].alias("period"), F.floor(-best["l"] * 1000 / best["p"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
