@@ -4,10 +4,9 @@ For each language a raw-content dictionary is cut from labelled texts. A text is
 with each; the language whose dictionary makes it smallest wins. Texts are reduced to lower-case
 letters and single spaces first, so that marks and digits of any language weigh nothing.
 
-The dictionaries come from a bounded sample: per language the ``sample_docs`` training rows with
-the smallest hash of their text, of texts up to an eighth of ``dictionary_bytes``, until that is full
-(both are parameters); every other step
-covers whole texts of all rows. The dictionaries, languages times ``dictionary_bytes``, are all
+The dictionaries come from a bounded sample: training texts are cut into pieces of up to an eighth of
+``dictionary_bytes`` signs, and per language the ``sample_docs`` distinct pieces with the smallest hash
+fill it (both are parameters); every other step covers whole texts of all rows. The dictionaries, languages times ``dictionary_bytes``, are all
 that reaches the driver and the workers.
 
 The margin is the share of bytes that the winner saves over the second best. ``score`` is
@@ -32,21 +31,28 @@ from fieldtrail.llm.common import kinds, workers_can_import
 
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def letters_only(text: str) -> str:
-    return _LETTERS.sub(" ", text.lower()).strip()
+    """Letters with their marks and single spaces; nothing if there are marks only."""
+    return _LETTERS.sub(" ", text.lower()).strip() if _LETTER.search(text) else ""
 
 
 def dictionaries(train: DataFrame, sample_docs: int, dictionary_bytes: int) -> dict[str, bytes]:
     """Language -> raw content, from rows with text and lang."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        train.filter("lang IS NOT NULL AND text IS NOT NULL AND lang != 'und'")
-        .filter(F.length("text") <= dictionary_bytes // 8)
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_docs)
-        .select("lang", "n", "text")
+    size = max(1, dictionary_bytes // 8)
+    last = F.floor((F.length("text") - 1) / size).cast("int")
+    pieces = (
+        train.filter("lang IS NOT NULL AND text != '' AND lang != 'und'")
+        .select("lang", "text", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+        .select("lang", F.col("text").substr(F.col("i") * size + 1, F.lit(size)).alias("text"))
+        .withColumn("h", F.xxhash64("text"))
     )
+    # only hashes are ranked; repeated pieces are one before that
+    order = Window.partitionBy("lang").orderBy("h")
+    ranked = pieces.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_docs)
+    sample = pieces.join(F.broadcast(ranked), ["lang", "h"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     found: dict[str, list[tuple[int, str]]] = {}
     for row in sample.collect():  # languages x sample_docs rows of bounded length
         found.setdefault(row["lang"], []).append((row["n"], letters_only(row["text"])))

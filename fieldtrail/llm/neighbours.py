@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from fieldtrail.llm.common import stored, workers_can_import
 from fieldtrail.llm.words import mix
 
-WINDOWS = (0.005, 0.01, 0.02, 0.03, 0.05, 0.07, 0.1, 0.15, 0.25, 0.5)
+WINDOWS = (0.005, 0.01, 0.02, 0.03, 0.05, 0.07, 0.1, 0.15, 0.25, 0.5, 1.0)  # the last sees every row
 FINE_BITS = 15  # of each axis within a cell
 
 

@@ -37,6 +37,8 @@ PREFIXES = (4, 5, 6)
 @dataclass(frozen=True)
 class Settings:
     sample_docs: int = 8_000
+    #: Sample documents that must hold a feature; what fewer hold tells too little to be weighed.
+    min_feature_docs: int = 4
     features: int = 3_000
     folds: int = 3
     steps: int = 300
@@ -183,7 +185,7 @@ def _pick_features(sample: DataFrame, categories: list[str], settings: Settings)
     names = ["n", *categories]
     counted = (
         sample.mapInArrow(run, "feature long, " + ", ".join(f"`{c}` long" for c in names))
-        .groupBy("feature").agg(*(F.sum(c).alias(c) for c in names)).filter("n >= 4").persist()
+        .groupBy("feature").agg(*(F.sum(c).alias(c) for c in names)).filter(F.col("n") >= settings.min_feature_docs).persist()
     )
     totals = sample.agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories)).first()
     chosen: set[int] = set()
@@ -207,13 +209,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], settings: S
     """A chain over 0/1 columns of ``labels``, in the given order."""
     workers_can_import(docs.sparkSession)
     known_labels = labels.filter(" AND ".join(["doc_id IS NOT NULL", *(f"`{c}` IN (0, 1)" for c in categories)]))
-    # more ids than texts are needed, for labels without a document; ids are few bytes
+    # labels without a document take no place in the sample; only ids are moved for that
+    present = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     some = (
         known_labels.groupBy("doc_id").agg(*(F.max(c).cast("long").alias(c) for c in categories))
+        .join(present, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_docs)
     )
+    # one row per id, reduced before it is shuffled: an id may be on many rows
     sample = (
         docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+        .groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
         .select("doc_id", "text", *categories)
     )
     known = _pick_features(sample, categories, settings)
