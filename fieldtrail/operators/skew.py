@@ -11,7 +11,7 @@ matter how large the data is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,9 +126,12 @@ def ordered_neighbours(
     following: Sequence[str] = (),
     running_sum: dict[str, str] | None = None,
     hot=COUNT,
+    carried_forward: Sequence[str] = (),
 ) -> DataFrame:
     """``lag``, ``lead`` and running sums per key, exact also when one key is huge.
 
+    Each column of ``carried_forward`` becomes its last value that is not NULL, up to the row itself.
+
     Adds ``_prev`` / ``_next``: structs of the named columns of the neighbouring row
     (NULL when there is none), ``_seq`` (1-based rank within the key) and one column
     per ``running_sum`` entry (name -> summed column). ``order[0]`` must be numeric,
@@ -147,7 +150,7 @@ def ordered_neighbours(
     split = hot is not None
     columns = df.columns
     if split:
-        used = [*keys, *order, *previous, *following, *sums.values()]
+        used = [*keys, *order, *previous, *following, *sums.values(), *carried_forward]
         df = _written(df, "ordered")
         chunked = _with_chunk(df, keys, order[0], _cut_points(df, keys, order[0], hot))
         slim = chunked.where("_hot").select(*dict.fromkeys(used), "_chunk")
@@ -163,6 +166,8 @@ def ordered_neighbours(
         windowed["_next"] = F.lead(F.struct(*following)).over(part)
     for name, col in sums.items():
         windowed[name] = F.sum(col).over(upto)
+    for name in carried_forward:
+        windowed[name] = F.last(name, ignorenulls=True).over(upto)
     within = chunked.withColumns(windowed)
     if not split:
         return within
@@ -175,6 +180,7 @@ def ordered_neighbours(
     if following:
         summaries.append(F.min_by(F.struct(*following), rank).alias("_head"))
     summaries += [F.sum(col).alias(f"_total_{name}") for name, col in sums.items()]
+    summaries += [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(f"_last_{c}") for c in carried_forward]
     edge = Window.partitionBy(*keys).orderBy("_chunk")
     before = edge.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum("_rows").over(before).alias("_rows_before")]
@@ -183,6 +189,7 @@ def ordered_neighbours(
     if following:
         carried.append(F.lead("_head").over(edge).alias("_carry_next"))
     carried += [F.sum(f"_total_{name}").over(before).alias(f"_before_{name}") for name in sums]
+    carried += [F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_kept_{c}") for c in carried_forward]
     edges = slim.groupBy(*keys, "_chunk").agg(*summaries).select(*keys, "_chunk", *carried)
 
     whole = {"_seq": F.col("_seq") + F.coalesce("_rows_before", F.lit(0))}
@@ -195,10 +202,12 @@ def ordered_neighbours(
         whole[name] = F.when(F.col(f"_before_{name}").isNull(), F.col(name)).otherwise(
             F.coalesce(F.col(name), F.lit(0)) + F.col(f"_before_{name}")
         )
+    for name in carried_forward:
+        whole[name] = F.coalesce(name, f"_kept_{name}")
     return (
         _edges_join(within, edges, keys)
         .withColumns(whole)
-        .select(*columns, *windowed)
+        .select(*dict.fromkeys([*columns, *windowed]))
     )
 
 
@@ -274,13 +283,16 @@ def lookup_join(
     return salted_join(many, one, keys, spread_by, how)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the highest by ``order``; the other columns break ties, so the
-    outcome does not depend on row order. An aggregation, so copies of a hot key are
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], reads: Sequence[Callable[[Column], Column]] = ()
+) -> DataFrame:
+    """One row per key, the highest by ``order``, each read by its entry in ``reads`` if given; the
+    other columns break ties, so the outcome does not depend on row order. An aggregation, so copies of a hot key are
     reduced before the shuffle."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    ranks = [read(F.col(c)).alias(f"_rank{i}") for i, (c, read) in enumerate(zip(order, reads))]
     return (
         df.groupBy(*keys)
-        .agg(F.max(F.struct(*[F.col(c) for c in (*order, *rest)])).alias("_row"))
+        .agg(F.max(F.struct(*ranks, *[F.col(c) for c in (*order, *rest)])).alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.operators import skew
 
 
@@ -104,8 +105,9 @@ def _merged(prev: DataFrame, batch: DataFrame, key: str, names: list[str], how:
 
 
 def upsert_comments(prev: DataFrame, batch: DataFrame, batch_is_small: bool = False) -> DataFrame:
-    """O-K3: the last edit of each comment wins within the batch, the batch over the store."""
-    latest = skew.latest_per_key(batch, ["comment_id"], ["last_edited_time"])
+    """O-K3: the last edit of each comment wins within the batch, by the moment its text names, and the
+    batch over the store."""
+    latest = skew.latest_per_key(batch, ["comment_id"], ["last_edited_time"], [to_timestamp])
     return upsert(prev, latest, "comment_id", "replace", batch_is_small)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fieldtrail.functions.dates import to_date
 from fieldtrail.operators import skew
 
+_STEPS = {"month": "interval 1 month", "year": "interval 1 year", "quarter": "interval 3 month", "week": "interval 7 day"}
 CHANGE_ORDER = ("valid_from", "detected_at", "id")
 
 
@@ -36,6 +37,65 @@ def status_history(
     )
 
 
+def advance_history(open_intervals: DataFrame, records: DataFrame, order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT) -> DataFrame:
+    """O-M1 for the records of one run: the intervals they close or open, as ``status_history`` has them.
+
+    ``open_intervals`` are the stored ones with valid_to NULL. Closed rows of the result are appended to the
+    closed intervals, open ones replace the open interval of their page (``still_open``). Only
+    the new records and the open intervals are read, never the closed ones.
+
+    ``records`` (page_id, status, ``order``) must come after the stored ones of their page;
+    ``late_pages`` names the others, which need ``status_history`` anew.
+    """
+    ranks = {c: f"_o{i}" for i, c in enumerate(order)}
+    kinds = dict(records.dtypes)
+    new = records.select("page_id", "status", F.lit(1).alias("_new"), F.lit(None).cast("long").alias("_base"), *[F.col(c).alias(r) for c, r in ranks.items()])
+    touched = open_intervals.join(records.select("page_id").distinct(), "page_id", "left_semi")
+    first = F.col("valid_from").cast(kinds[order[0]])
+    old = touched.select(
+        "page_id", "status", F.lit(0).alias("_new"), F.col("interval_no").alias("_base"),
+        *[(first if c == order[0] else F.lit(None).cast(kinds[c])).alias(r) for c, r in ranks.items()],
+    )
+    at = ranks[order[0]]
+    paired = skew.ordered_neighbours(
+        old.unionByName(new), ["page_id"], [at, "_new", *list(ranks.values())[1:]], following=[at], hot=hot, carried_forward=["_base"]
+    )
+    return paired.select(
+        "page_id", "status", F.col(at).alias("valid_from"), F.col(f"_next.{at}").alias("valid_to"),
+        (F.col("_seq") + F.coalesce(F.col("_base") - 1, F.lit(0))).alias("interval_no"),
+    )
+
+
+def still_open(open_intervals: DataFrame, advanced: DataFrame) -> DataFrame:
+    """The open intervals after a run: its own, and those of pages it did not touch."""
+    mine = advanced.where("valid_to IS NULL")
+    return open_intervals.join(mine.select("page_id"), "page_id", "left_anti").unionByName(mine)
+
+
+def late_pages(open_intervals: DataFrame, records: DataFrame, order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
+    """Pages with a record from before their open interval."""
+    oldest = records.groupBy("page_id").agg(F.min(order[0]).alias("_oldest"))
+    return oldest.join(open_intervals, "page_id").where(F.col("_oldest") < F.col("valid_from")).select("page_id")
+
+
+def advance_open_volume(moves: DataFrame, open_intervals: DataFrame, records: DataFrame, open_statuses: Sequence[str], order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT) -> DataFrame:
+    """O-M5 for the records of one run: (day, delta) of stored ``moves`` with theirs added. A page's first
+    record moves against the status of its open interval. ``open_volume`` gives the totals."""
+    flags = records.select("page_id", *order, F.coalesce(F.col("status").isin(*open_statuses), F.lit(False)).cast("int").alias("is_open"))
+    paired = skew.ordered_neighbours(flags, ["page_id"], order, previous=["is_open"], hot=hot)
+    inside = paired.select(F.to_date(order[0]).alias("day"), (F.col("is_open") - F.coalesce("_prev.is_open", F.lit(0))).cast("long").alias("delta"))
+    # what a page stood at before its first record: one row per touched page
+    firsts = records.groupBy("page_id").agg(F.min(order[0]).alias("_first"))
+    was_open = open_intervals.where(F.col("status").isin(*open_statuses)).select("page_id")
+    before = firsts.join(was_open, "page_id", "left_semi").select(F.to_date("_first").alias("day"), F.lit(-1).cast("long").alias("delta"))
+    return moves.unionByName(inside).unionByName(before).groupBy("day").agg(F.sum("delta").alias("delta"))
+
+
+def open_volume(moves: DataFrame) -> DataFrame:
+    """O-M5 from its daily moves."""
+    return _running_by_day(moves)
+
+
 def bucket_of(status: Column, buckets: Mapping[str, str], default: str = "other") -> Column:
     lookup = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair])
     return F.coalesce(lookup[status], F.lit(default))
@@ -56,6 +116,21 @@ def active_days(history: DataFrame, bucket: Column, as_of: Column) -> DataFrame:
     return history.where(F.col("valid_from") <= as_of).groupBy("page_id", bucket.alias("bucket")).agg(F.sum(days).alias("active_days"))
 
 
+def active_days_by_period(history: DataFrame, bucket: Column, as_of: Column, period: str = "month") -> DataFrame:
+    """O-M2 per calendar period: each interval meets the periods it overlaps and is clipped at their
+    ends, so an interval is a row per period at most and no day ever one. Sums over the periods of a page
+    and bucket are those of ``active_days``; periods without a whole day are left out."""
+    step = F.expr(_STEPS[period])
+    spans = history.where(F.col("valid_from") <= as_of).select(
+        "page_id", bucket.alias("bucket"), F.to_date("valid_from").alias("_from"),
+        F.to_date(F.least(F.coalesce("valid_to", as_of), as_of)).alias("_to"),
+    )
+    periods = F.sequence(F.trunc("_from", period), F.trunc(F.date_sub("_to", 1), period), step)
+    binned = spans.where(F.col("_to") > F.col("_from")).select("page_id", "bucket", "_from", "_to", F.explode(periods).alias("period"))
+    days = F.datediff(F.least("_to", (F.col("period") + step).cast("date")), F.greatest("_from", "period"))
+    return binned.groupBy("page_id", "bucket", "period").agg(F.sum(days).alias("active_days"))
+
+
 def active_days_by_group(history: DataFrame, buckets: DataFrame, as_of: Column) -> DataFrame:
     """O-M2 with the buckets of ``option_buckets``."""
     joined = skew.lookup_join(history, buckets, ["status"], ["page_id", "valid_from"])
@@ -79,17 +154,23 @@ def recurring_completions(
 
 
 def recurring_adherence(
-    completions: DataFrame, definitions: DataFrame, expected: str, period: str = "month"
+    completions: DataFrame, definitions: DataFrame, expected: str, created: str, as_of: Column, period: str = "month"
 ) -> DataFrame:
-    """O-M3: completed over expected, per definition and every period from its first to its
-    last completion; a period without one counts 0. NULL where nothing is expected.
+    """O-M3: completed over expected, per definition and every period from its creation (or a completion
+    before that) to the one of ``as_of``; a period without completion counts 0, also where
+    there never was one. NULL where nothing is expected. Without a known creation the first
+    completion opens the axis, and failing that the period of ``as_of``; definitions created later are left out.
     Completions are already counted per definition, so a popular one is a few rows by now."""
-    d = definitions.select(F.col("page_id").alias("definition_id"), F.col(expected).alias("expected"))
-    step = F.expr({"month": "interval 1 month", "year": "interval 1 year", "quarter": "interval 3 month", "week": "interval 7 day"}[period])
-    active = completions.groupBy("definition_id").agg(F.min("period").alias("_first"), F.max("period").alias("_last"))
-    axis = active.select("definition_id", F.explode(F.sequence("_first", "_last", step)).alias("period"))
+    step = F.expr(_STEPS[period])
+    first = completions.groupBy("definition_id").agg(F.min("period").alias("_done"))
+    last = F.trunc(as_of.cast("date"), period)
+    d = definitions.select(
+        F.col("page_id").alias("definition_id"), F.col(expected).alias("expected"), F.trunc(F.col(created).cast("date"), period).alias("_made")
+    )
+    since = d.join(first, "definition_id", "left").withColumn("_from", F.coalesce(F.least("_made", "_done"), last)).where(F.col("_from") <= last)
+    axis = since.select("definition_id", "expected", F.explode(F.sequence("_from", last, step)).alias("period"))
     done = F.coalesce("completions", F.lit(0))
-    return axis.join(completions, ["definition_id", "period"], "left").join(d, "definition_id").select(
+    return axis.join(completions, ["definition_id", "period"], "left").select(
         "definition_id", "period", done.alias("completions"), "expected",
         F.try_divide(done, F.col("expected")).alias("adherence"),
     )
@@ -292,3 +373,31 @@ def as_of_state(
     ]
     known = changes.where((F.col(order[0]) <= as_of) & F.col("field").isin(*fields))
     return known.groupBy("page_id").agg(*latest).select("page_id", *[F.col(f"{f}.value").alias(f) for f in fields])
+
+
+def states_at(
+    changes: DataFrame, moments: DataFrame, fields: Sequence[str], order: Sequence[str] = CHANGE_ORDER, hot=skew.COUNT
+) -> DataFrame:
+    """O-M12 at many moments: the tracked fields of every (page_id, moment) as they were then.
+
+    Records and moments of a page are sorted together, and each field's last value is carried forward, in
+    one shuffle; hot pages are split along time. A record of the very moment counts. Repeated pairs give repeated rows;
+    fields not known by then, and all those of a NULL moment, are NULL.
+    """
+    rest = [f"_o{i}" for i in range(1, len(order))]
+    kinds = dict(changes.dtypes)
+    names = [f"_f{i}" for i in range(len(fields))]
+    records = changes.where(F.col("field").isin(*fields) & F.col(order[0]).isNotNull()).select(
+        "page_id", F.col(order[0]).alias("_at"), F.lit(0).alias("_asked"),
+        *[F.col(c).alias(r) for c, r in zip(order[1:], rest)],
+        *[F.when(F.col("field") == f, F.struct(F.col("new_value").alias("value"))).alias(n) for f, n in zip(fields, names)],
+    )
+    asked = moments.select(
+        "page_id", F.col("moment").cast(kinds[order[0]]).alias("_at"), F.lit(1).alias("_asked"),
+        *[F.lit(None).cast(kinds[c]).alias(r) for c, r in zip(order[1:], rest)],
+        *[F.lit(None).cast(records.schema[n].dataType).alias(n) for n in names],
+    )
+    known = skew.ordered_neighbours(records.unionByName(asked), ["page_id"], ["_at", "_asked", *rest], hot=hot, carried_forward=names)
+    return known.where("_asked = 1").select(
+        "page_id", F.col("_at").alias("moment"), *[F.col(f"{n}.value").alias(f) for f, n in zip(fields, names)]
+    )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.operators import diff, skew, upsert
 from fieldtrail.sources.store import Store, in_buckets
 
@@ -18,6 +19,10 @@ def without_redeliveries(stream: DataFrame, key: str = "page_id", edited: str =
     return stream.withWatermark(edited, "60 seconds").dropDuplicatesWithinWatermark([key, edited])
 
 
+def _moment(c: Column) -> Column:
+    return to_timestamp(c.cast("string"))
+
+
 def batch_writer(
     store: Store,
     table: str,
@@ -25,20 +30,23 @@ def batch_writer(
     order: Sequence[str] = ("last_edited_time",),
     change_fields: Sequence[str] = (),
     exclude_change_fields: Sequence[str] = (),
+    moments: Sequence[str] = ("last_edited_time",),
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: newest version per page, compared with the stored
-    pages, both published in one commit with the batch number. A version older than the stored
+    pages, both published in one commit with the batch number. Text in the ``moments`` columns of
+    ``order`` is compared as the moment it names, whatever its offset. A version older than the stored
     one of its page is passed over. A batch that is replayed
     after a failure finds its number published and does nothing, so the history gets
     every record once."""
 
     marker = f"stream_batch:{table}"
+    reads = [_moment if c in moments else (lambda c: c) for c in order]
 
     def write(batch: DataFrame, number: int) -> None:
         done = store.meta(marker)
         if done is not None and int(done) >= number:
             return
-        newest = latest = skew.latest_per_key(batch, ["page_id"], order).persist()
+        newest = latest = skew.latest_per_key(batch, ["page_id"], order, reads).persist()
         try:
             if latest.isEmpty():
                 return
@@ -46,7 +54,7 @@ def batch_writer(
             now = run_ts(latest, number)
             buckets = store.touched_buckets(f"{table}_pages", latest, "page_id")
             stored = store.read_buckets(f"{table}_pages", buckets)
-            latest = upsert.not_older(latest, stored, "page_id", [lambda c: c] * len(order), list(order), small)
+            latest = upsert.not_older(latest, stored, "page_id", reads, list(order), small)
             changes = diff.detect_changes(latest, stored, now, change_fields, exclude_change_fields, small)
             pages = {f"{table}_pages": upsert.upsert(stored, latest, batch_is_small=small)}
             records = {f"{table}_changes": changes.withColumn("detected_date", F.substring("detected_at", 1, 10))}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from fieldtrail.operators import diff, quality, skew
 from fieldtrail.plans import marts, staging
-from fieldtrail.workload import query
+from fieldtrail.session import scratch_dir
+from fieldtrail.workload import ORACLE, query
 from fieldtrail.workload.changes import event_log, hot_users, task_changes
 from fieldtrail.workload.tables import (
     EVENT_LOG_CTE,
@@ -488,25 +489,41 @@ def dim_scd2(spark, sf_dir):
 WITH t AS (SELECT unnest(['p' || l_partkey, 's' || l_suppkey]) AS definition_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS period
   FROM lineitem WHERE l_returnflag <> 'R'),
 n AS (SELECT definition_id, period, count(*) AS c FROM t WHERE period IS NOT NULL GROUP BY ALL),
-x AS (SELECT definition_id, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM n GROUP BY 1),
-d AS (SELECT 'p' || p_partkey AS definition_id, p_size AS expected FROM part
-  UNION ALL SELECT 's' || s_suppkey, s_nationkey FROM supplier)
+d AS (SELECT 'p' || p_partkey AS definition_id, p_size AS expected, TIMESTAMP '1996-01-01' + to_months(p_size) AS created FROM part
+  UNION ALL SELECT 's' || s_suppkey, s_nationkey, CASE WHEN s_nationkey <> 3 THEN TIMESTAMP '1995-06-15' END FROM supplier
+  UNION ALL SELECT 'c' || c_custkey, c_nationkey, TIMESTAMP '1999-11-20' + to_months(c_nationkey) FROM customer),
+f AS (SELECT definition_id, coalesce(least(date_trunc('month', any_value(created)), min(period)), DATE '2001-05-01') AS first
+  FROM d LEFT JOIN n USING (definition_id) GROUP BY 1),
+x AS (SELECT definition_id, CAST(unnest(generate_series(CAST(first AS DATE), DATE '2001-05-01', INTERVAL 1 MONTH)) AS DATE) AS period FROM f)
 SELECT definition_id, period, coalesce(c, 0) AS completions, expected,
   CASE WHEN expected <> 0 THEN coalesce(c, 0) / expected END AS adherence
 FROM x LEFT JOIN n USING (definition_id, period) JOIN d USING (definition_id)""",
 )
 def recurring_adherence(spark, sf_dir):
-    """O-M3: lines as tasks related to a part and a supplier; returned ones are not done. Months
-    without a completion count, and some suppliers are expected to do nothing."""
+    """O-M3: lines as tasks related to a part and a supplier; returned ones are not done. Every month
+    from a definition's creation on counts, customers never complete anything, some definitions are
+    expected to do nothing, some have no creation date, and some are created after the moment asked for."""
     tasks = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("p"), "l_partkey", F.lit(", s"), "l_suppkey").alias("series"),
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("closed"),
     )
-    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    definitions = part.select(F.concat(F.lit("p"), "p_partkey").alias("page_id"), F.col("p_size").alias("per_month")).unionByName(
-        supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("page_id"), F.col("s_nationkey").alias("per_month"))
+
+    def definition(name, kind, key, expected, created):
+        return table(spark, sf_dir, name).select(
+            F.concat(F.lit(kind), key).alias("page_id"), F.col(expected).alias("per_month"), created.alias("created_time")
+        )
+
+    def day(text):
+        return F.lit(text).cast("timestamp_ntz")
+
+    definitions = definition("part", "p", "p_partkey", "p_size", day("1996-01-01") + F.make_ym_interval(F.lit(0), F.col("p_size").cast("int")))
+    definitions = definitions.unionByName(
+        definition("supplier", "s", "s_suppkey", "s_nationkey", F.when(F.col("s_nationkey") != 3, day("1995-06-15")))
+    ).unionByName(
+        definition("customer", "c", "c_custkey", "c_nationkey", day("1999-11-20") + F.make_ym_interval(F.lit(0), F.col("c_nationkey").cast("int")))
     )
-    return marts.recurring_adherence(marts.recurring_completions(tasks, "series", "closed"), definitions, "per_month")
+    completions = marts.recurring_completions(tasks, "series", "closed")
+    return marts.recurring_adherence(completions, definitions, "per_month", "created_time", day("2001-05-17"))
 
 
 @query(
@@ -522,3 +539,84 @@ def as_of_state(spark, sf_dir):
     log = diff.change_log(events, "user_id", ["ts", "event_id"], {"status": "event_type", "tier": "tier"})
     moment = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     return marts.as_of_state(log, moment, ["status", "tier"], order=("ts", "event_id"))
+
+
+@query(
+    "states_at",
+    """
+WITH m AS (SELECT user_id, ts + INTERVAL 6 HOUR AS moment FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT c_custkey, TIMESTAMP '2024-01-10' FROM customer),
+e AS (SELECT user_id, ts, arg_max(event_type, event_id) AS status, arg_max(CASE WHEN value > 50 THEN 'large' ELSE 'small' END, event_id) AS tier
+  FROM events GROUP BY ALL)
+SELECT CAST(m.user_id AS VARCHAR) AS page_id, m.moment, e.status, e.tier
+FROM m ASOF LEFT JOIN e ON m.user_id = e.user_id AND m.moment >= e.ts""",
+)
+def states_at(spark, sf_dir):
+    """O-M12 at many moments: six hours after each purchase, and one day for every customer, of whom some
+    never had an event."""
+    events = table(spark, sf_dir, "events").withColumn("tier", F.when(F.col("value") > 50, "large").otherwise("small"))
+    log = diff.change_log(events, "user_id", ["ts", "event_id"], {"status": "event_type", "tier": "tier"})
+    after = events.where("event_type = 'purchase'").select(
+        F.col("user_id").cast("string").alias("page_id"), (F.col("ts") + F.expr("interval 6 hours")).alias("moment")
+    )
+    fixed = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("page_id"), F.lit("2024-01-10").cast("timestamp_ntz").alias("moment")
+    )
+    return marts.states_at(log, after.unionByName(fixed), ["status", "tier"], order=("ts", "event_id"))
+
+
+@query(
+    "active_days_by_week",
+    f"""
+WITH {_HISTORY_CTE}, d AS (
+  SELECT page_id, status AS bucket, CAST(unnest(generate_series(CAST(valid_from AS DATE),
+    CAST(least(coalesce(valid_to, TIMESTAMP '2024-02-20'), TIMESTAMP '2024-02-20') AS DATE) - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM h)
+SELECT page_id, bucket, CAST(date_trunc('week', day) AS DATE) AS period, CAST(count(*) AS INTEGER)::BIGINT AS active_days FROM d GROUP BY ALL""",
+)
+def active_days_by_week(spark, sf_dir):
+    """O-M2 per week, against a row per day."""
+    as_of = F.lit("2024-02-20").cast("timestamp_ntz")
+    return marts.active_days_by_period(intervals(spark, sf_dir), F.col("status"), as_of, "week")
+
+
+#: Bounds between three runs; the first and the last are open-ended.
+_RUN_DAYS = (None, "2024-01-11", "2024-01-21", None)
+
+
+def _runs(spark, sf_dir):
+    """The status records of each run."""
+    records = status_changes(spark, sf_dir).where("field = 'status'").withColumnRenamed("new_value", "status")
+    for start, end in zip(_RUN_DAYS, _RUN_DAYS[1:]):
+        at = F.col("valid_from")
+        since = F.lit(True) if start is None else at >= F.lit(start).cast("timestamp_ntz")
+        yield records.where(since if end is None else since & (at < F.lit(end).cast("timestamp_ntz")))
+
+
+def _written(df, path):
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_INTERVAL = "page_id string, status string, valid_from timestamp_ntz, valid_to timestamp_ntz, interval_no long"
+
+
+@query("history_advanced", f"WITH {_HISTORY_CTE} SELECT page_id, status, valid_from, valid_to, interval_no FROM h")
+def history_advanced(spark, sf_dir):
+    """O-M1 kept up over three runs, each reading its own records and the open intervals only."""
+    still, closed = spark.createDataFrame([], _INTERVAL), scratch_dir(spark, "closed-intervals")
+    for records in _runs(spark, sf_dir):
+        advanced = _written(marts.advance_history(still, records, ORDER), scratch_dir(spark, "advanced"))
+        _written(advanced.where("valid_to IS NOT NULL"), closed)
+        still = _written(marts.still_open(still, advanced), scratch_dir(spark, "open-intervals"))
+    return spark.read.schema(_INTERVAL).parquet(closed).unionByName(still)
+
+
+@query("open_volume_advanced", ORACLE["open_volume_daily"])
+def open_volume_advanced(spark, sf_dir):
+    """O-M5 kept up over three runs as daily moves."""
+    still, moves = spark.createDataFrame([], _INTERVAL), spark.createDataFrame([], "day date, delta long")
+    for records in _runs(spark, sf_dir):
+        records = _written(records, scratch_dir(spark, "records"))
+        moves = _written(marts.advance_open_volume(moves, still, records, OPEN_STATUSES, ORDER), scratch_dir(spark, "moves"))
+        still = _written(marts.still_open(still, marts.advance_history(still, records, ORDER)), scratch_dir(spark, "open-intervals"))
+    return marts.open_volume(moves)

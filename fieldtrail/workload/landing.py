@@ -376,17 +376,19 @@ def content_text(spark, sf_dir):
 
 
 def comment_documents(spark, sf_dir):
-    """Per turn a document with its comment, delivered a second time in an edited form."""
+    """Per turn a document with its comment, delivered a second time in an edited form. The draft spells its
+    moment five hours further east, so its text sorts after that of the later edit."""
     day = F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_interval(hours=F.col("turn").cast("int"))
     cid = F.concat("conv_id", F.lit("-"), "turn")
 
     def comment(edited, text):
         return F.struct(
-            cid.alias("id"), iso(day).alias("created_time"), iso(edited).alias("last_edited_time"), _texts(F.col("role"), text).alias("rich_text")
+            cid.alias("id"), iso(day).alias("created_time"), edited.alias("last_edited_time"), _texts(F.col("role"), text).alias("rich_text")
         )
 
-    later = day + F.expr("interval 30 minutes")
-    results = F.array(comment(later, F.concat(F.lit(": "), F.col("text"))), comment(day, F.lit(": draft")))
+    later = iso(day + F.expr("interval 30 minutes"))
+    earlier = F.date_format(day + F.expr("interval 5 hours"), "yyyy-MM-dd'T'HH:mm:ss'+05:00'")
+    results = F.array(comment(later, F.concat(F.lit(": "), F.col("text"))), comment(earlier, F.lit(": draft")))
     return table(spark, sf_dir, "conversations").select(
         F.to_json(F.struct(F.col("conv_id").cast("string").alias("page_id"), results.alias("results"))).alias("raw")
     )
@@ -395,14 +397,14 @@ def comment_documents(spark, sf_dir):
 _COMMENT_SQL = """
 SELECT conv_id || '-' || turn AS comment_id, CAST(conv_id AS VARCHAR) AS page_id,
   strftime(TIMESTAMP '2024-01-01' + to_hours(turn), '%Y-%m-%dT%H:%M:%SZ') AS created_time,
-  strftime(TIMESTAMP '2024-01-01' + to_hours(turn) + INTERVAL {minutes} MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS last_edited_time,
+  strftime(TIMESTAMP '2024-01-01' + to_hours(turn) + INTERVAL {later}, '%Y-%m-%dT%H:%M:%S{zone}') AS last_edited_time,
   role || ': ' || {text} AS text
 FROM conversations"""
 
 
 @query(
     "comment_rows",
-    _COMMENT_SQL.format(minutes=30, text="text") + " UNION ALL " + _COMMENT_SQL.format(minutes=0, text="'draft'"),
+    _COMMENT_SQL.format(later="30 MINUTE", zone="Z", text="text") + " UNION ALL " + _COMMENT_SQL.format(later="5 HOUR", zone="+05:00", text="'draft'"),
 )
 def comment_rows(spark, sf_dir):
     """O-S5."""
@@ -411,7 +413,7 @@ def comment_rows(spark, sf_dir):
 
 @query(
     "comment_upsert",
-    _COMMENT_SQL.format(minutes=30, text="text")
+    _COMMENT_SQL.format(later="30 MINUTE", zone="Z", text="text")
     + """ UNION ALL SELECT 'old-' || conv_id, CAST(conv_id AS VARCHAR), '2023-01-01', '2023-01-01', 'kept'
 FROM conversations WHERE role = 'system'""",
 )
