@@ -102,31 +102,46 @@ def near_counts(x: np.ndarray, y: np.ndarray, rows: int = 512) -> Iterator[tuple
         yield i + a, j
 
 
-def _half(length: int) -> int:
-    return length // 2
-
-
-def _block_pairs(words: list[str], tiles: list[int], length: int, front: bool, pair: tuple[int, int] | None) -> Iterator[tuple[int, int]]:
-    """Near pairs of a block, each once, as positions in ``words``."""
-    short = [i for i, w in enumerate(words) if len(w) == length]
-    long = [i for i, w in enumerate(words) if len(w) == length + 1]
-    cut = _half(length)
-    for others, same in ((short, True), (long, False)):
-        if not short or not others:
+def _codes(words: list[str], length: int) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), length)
+
+
+def _verified(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of code points are one edit apart; rows of ``y`` are as long, or one longer."""
+    if x.shape[1] == y.shape[1]:
+        return (x != y).sum(1) == 1
+    size = x.shape[1]
+    from_left = np.logical_and.accumulate(x == y[:, :size], axis=1).sum(1)
+    from_right = np.logical_and.accumulate((x == y[:, 1:])[:, ::-1], axis=1).sum(1)
+    return from_left + from_right >= size
+
+
+def block_pairs(words: list[str], tiles: np.ndarray, length: int, front: bool, pair: tuple[int, int] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs of a block, each once, as positions in ``words``. Of a pair of tiles, pairs within
+    one of them belong to the group of that tile with itself."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    short, long, cut = np.flatnonzero(sizes == length), np.flatnonzero(sizes == length + 1), length // 2
+    if not len(short):
+        return
+    texts = [words[i] for i in short]
+    counts, codes = letter_counts(texts), _codes(texts, length)
+    for others in (short, long):
+        if not len(others):
             continue
-        xs, ys = letter_counts([words[i] for i in short]), letter_counts([words[i] for i in others])
-        for i, j in near_counts(xs, ys):
-            for a, b in zip(i.tolist(), j.tolist()):
-                if same and a >= b:
-                    continue
-                a, b = short[a], others[b]
-                if pair is not None and tuple(sorted((tiles[a], tiles[b]))) != pair:
-                    continue
-                x, y = words[a], words[b]
-                if not front and x[:cut] == y[:cut]:
-                    continue
-                if one_edit(x, y):
-                    yield a, b
+        same = others is short
+        texts = [words[i] for i in others]
+        to_counts, to_codes = (counts, codes) if same else (letter_counts(texts), _codes(texts, length + 1))
+        for i, j in near_counts(counts, to_counts):
+            fits = i < j if same else np.ones(len(i), bool)
+            if pair is not None:
+                s, t = tiles[short[i]], tiles[others[j]]
+                fits &= (np.minimum(s, t) == pair[0]) & (np.maximum(s, t) == pair[1])
+            i, j = i[fits], j[fits]
+            if not front:
+                fits = (codes[i, :cut] != to_codes[j, :cut]).any(1)
+                i, j = i[fits], j[fits]
+            fits = _verified(codes[i], to_codes[j])
+            yield short[i[fits]], others[j[fits]]
 
 
 _OUT = "word string, n_near long, form string, form_n long"
@@ -167,11 +182,19 @@ def near_words(words: DataFrame, tile: int = 4096) -> DataFrame:
         def compare() -> None:
             length, front, _, low, high = key_now
             words, ns, tiles = zip(*held)
-            for a, b in _block_pairs(words, tiles, length, front, None if low is None else (low, high)):
+            order = sorted(range(len(words)), key=lambda i: (-ns[i], words[i]))
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            number, first = np.zeros(len(words), np.int64), np.full(len(words), len(words))
+            for a, b in block_pairs(words, np.array(tiles), length, front, None if low is None else (low, high)):
                 for x, y in ((a, b), (b, a)):
-                    near[words[x]] += 1
-                    rival = (-ns[y], words[y])
-                    best[words[x]] = min(rival, best.get(words[x], rival))
+                    number += np.bincount(x, minlength=len(words))
+                    np.minimum.at(first, x, rank[y])
+            for i in np.flatnonzero(number).tolist():
+                y = order[first[i]]
+                near[words[i]] += int(number[i])
+                rival = (-ns[y], words[y])
+                best[words[i]] = min(rival, best.get(words[i], rival))
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays(
