@@ -21,33 +21,36 @@ STAGING_CHECKS: dict[str, dict[str, tuple[str, ...]]] = {
 
 
 def check_model(model: str, df: DataFrame, checks: Mapping[str, Sequence[str]]) -> DataFrame:
-    """O-Q1: (model, column, test, failures). All ``not_null`` tests share one pass; a
-    ``unique`` test counts the values that occur more than once."""
-    parts = []
+    """O-Q1: (model, column, test, failures), all tests of a model in one scan and one shuffle.
+
+    A ``unique`` test counts the values that occur more than once. Each such column is a
+    grouping set, so rows are expanded and combined within a task before they move; the
+    ``not_null`` counts ride along with the first set.
+    """
     null_cols = [c for c, tests in checks.items() if "not_null" in tests]
-    if null_cols:
-        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in null_cols])
-        parts.append(
-            counted.select(
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(F.lit(c).alias("column"), F.lit("not_null").alias("test"), F.col(c).alias("failures"))
-                            for c in null_cols
-                        ]
-                    )
-                )
-            )
+    unique_cols = [c for c, tests in checks.items() if "unique" in tests]
+    nulls = {f"_null_{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(null_cols)}
+    if unique_cols:
+        own = {f"_other_{i}": F.grouping(c) for i, c in enumerate(unique_cols)}
+        grouped = df.groupingSets([[F.col(c)] for c in unique_cols], *[F.col(c) for c in unique_cols]).agg(
+            F.count(F.lit(1)).alias("_n"), *[e.alias(name) for name, e in {**own, **nulls}.items()]
         )
-    for c, tests in checks.items():
-        if "unique" in tests:
-            repeated = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            parts.append(
-                repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(c).alias("column"), F.lit("unique").alias("test"), "failures"
-                )
-            )
-    return reduce(DataFrame.unionByName, parts).select(F.lit(model).alias("model"), "column", "test", "failures")
+        first = F.col("_other_0") == 0
+        sums = [F.coalesce(F.sum(F.when(first, F.col(name))), F.lit(0)).alias(name) for name in nulls]
+        sums += [
+            F.count_if((F.col(f"_other_{i}") == 0) & F.col(c).isNotNull() & (F.col("_n") > 1)).alias(f"_repeated_{i}")
+            for i, c in enumerate(unique_cols)
+        ]
+        counted = grouped.agg(*sums)
+    else:
+        counted = df.agg(*[e.alias(name) for name, e in nulls.items()])
+    results = [(c, "not_null", f"_null_{i}") for i, c in enumerate(null_cols)]
+    results += [(c, "unique", f"_repeated_{i}") for i, c in enumerate(unique_cols)]
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.lit(test).alias("test"), F.col(name).alias("failures"))
+        for c, test, name in results
+    ]
+    return counted.select(F.inline(F.array(*rows))).select(F.lit(model).alias("model"), "column", "test", "failures")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

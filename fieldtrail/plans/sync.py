@@ -15,7 +15,7 @@ from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.functions.names import column_name, excluded_fields, expand_split_dates, shadow_id_columns
 from fieldtrail.operators import diff, evolve, history, skew, upsert
 from fieldtrail.sources import content, pages as page_source
-from fieldtrail.sources.store import BACKUP_REGISTRY, Store, in_buckets, in_segments
+from fieldtrail.sources.tables import BACKUP_REGISTRY, PART, Tables, in_buckets, in_parts
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +40,8 @@ class DatabaseConfig:
 @dataclass(frozen=True)
 class Landed:
     """What was landed for one run: the schema document and, as DataFrames, raw page
-    documents (``raw``), blocks (``page_id, position, raw``) and comment documents."""
+    documents (``raw``, or typed as ``read_landed`` gives them), blocks (``page_id, position, raw``)
+    and comment documents."""
 
     schema_doc: str
     pages: DataFrame
@@ -56,6 +57,7 @@ class SyncResult:
     changes: int = 0
     comments: int = 0
     backfilled: int = 0
+    rejected: int = 0
     seconds: float = 0.0
     messages: list[str] = field(default_factory=list)
 
@@ -72,10 +74,12 @@ class SyncPlan:
     #: Key buckets ``pages`` covers; None when it is the whole table.
     buckets: list[int] | None
     new_changes: DataFrame | None
-    #: The rewritten rows of the history segments a rename or refresh touches, and those
-    #: segments; the others stay as they are.
+    #: The rewritten rows of the history parts a rename or refresh touches, and those
+    #: parts; the others stay as they are.
     rewritten_changes: DataFrame | None
-    rewritten_segments: list[str]
+    rewritten_parts: list[str]
+    #: Values of the pages taken in that could not be read.
+    rejects: DataFrame
     comments: DataFrame | None
     registries: dict[str, DataFrame]
     messages: list[str]
@@ -92,14 +96,21 @@ class SyncPlan:
         self.close()
 
 
+def taken_pages(landed: Landed, last_sync: str | None, full: bool) -> DataFrame:
+    """O-S2: the landed documents to take in. Of a typed landing only the days and row groups
+    that can hold them are read; of raw text the edit time alone is read first, so that only
+    these are parsed with all properties."""
+    pages = landed.pages
+    if "last_edited_time" not in pages.columns:
+        pages = pages.withColumn("last_edited_time", page_source.edit_time())
+    return page_source.edited_since(pages, last_sync, full=full).select("raw")
+
+
 def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, full: bool) -> DataFrame:
     """Flat rows of the pages to take in, the newest delivery of each page, with content."""
     props = page_source.parse_schema(landed.schema_doc)
-    # The edit time alone is read first, so only pages to take in are parsed with all properties.
-    timed = landed.pages.withColumn("last_edited_time", to_timestamp(F.get_json_object("raw", "$.last_edited_time")))
-    landed_pages = page_source.edited_since(timed, last_sync, full=full).drop("last_edited_time")
     rows = page_source.flatten_pages(
-        landed_pages, props, cfg.include_columns, cfg.exclude_columns, cfg.files_handling
+        taken_pages(landed, last_sync, full), props, cfg.include_columns, cfg.exclude_columns, cfg.files_handling
     ).withColumn("_edited", to_timestamp(F.col("last_edited_time")))
     recent = page_source.edited_since(
         rows.withColumnRenamed("last_edited_time", "_edited_text").withColumnRenamed("_edited", "last_edited_time"),
@@ -115,11 +126,11 @@ def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, fu
     return batch
 
 
-def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncPlan:
+def plan_sync(store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncPlan:
     """Evolve, read, flatten, compare and upsert one database; nothing is written."""
     spark, name = store.spark, cfg.name
     pages = store.read(f"{name}_pages")
-    # The name a record had is kept beside it, to see which segments a rename reaches.
+    # The name a record had is kept beside it, to see which parts a rename reaches.
     changes = history.with_option_ids(store.read(f"{name}_changes", layout=True)).withColumn("_field", F.col("field"))
     messages: list[str] = []
     reshaped = fields_moved = False
@@ -168,7 +179,7 @@ def plan_sync(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, fu
 
 
 def _compared(
-    store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool, delivered: DataFrame, pages: DataFrame,
+    store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool, delivered: DataFrame, pages: DataFrame,
     changes: DataFrame, registries: dict[str, DataFrame], messages: list[str], reshaped: bool,
     fields_moved: bool,
 ) -> SyncPlan:
@@ -188,7 +199,7 @@ def _compared(
         pages = store.read_buckets(f"{name}_pages", buckets)
     batch = upsert.not_older(delivered, pages, "page_id", [lambda c: to_timestamp(c)], ["last_edited_time"], small)
 
-    backfilled, new_changes, rewritten, segments = 0, None, None, []
+    backfilled, new_changes, rewritten, parts = 0, None, None, []
     options = registries["_options"].where(F.col("table_name") == name)
     known = store.read("_options").where(F.col("table_name") == name)
     renamed_options = cfg.track_changes and history.names_differ(known, options)
@@ -202,15 +213,15 @@ def _compared(
         refreshed = F.col("old_updated").cast("long") + F.col("new_updated").cast("long")
         moved = F.col("field") != F.col("_field")
         reached = (
-            changes.groupBy("_segment")
+            changes.groupBy(PART)
             .agg(F.sum(refreshed).alias("refreshed"), F.count_if(moved).alias("moved"))
             .where("refreshed > 0 OR moved > 0")
             .collect()  # at most one row per earlier run
         )
-        segments, backfilled = [r["_segment"] for r in reached], sum(r["refreshed"] for r in reached)
-        if segments:
-            helpers = ("_segment", "_field", "old_updated", "new_updated", "detected_date")
-            rewritten = changes.where(F.col("_segment").isin(segments)).drop(*helpers)
+        parts, backfilled = [r[PART] for r in reached], sum(r["refreshed"] for r in reached)
+        if parts:
+            helpers = (PART, "_field", "old_updated", "new_updated", "detected_date")
+            rewritten = changes.where(F.col(PART).isin(parts)).drop(*helpers)
     if cfg.track_changes:
         props = page_source.projected(
             page_source.parse_schema(landed.schema_doc), cfg.include_columns, cfg.exclude_columns
@@ -235,7 +246,11 @@ def _compared(
         buckets=buckets,
         new_changes=new_changes,
         rewritten_changes=rewritten,
-        rewritten_segments=segments,
+        rewritten_parts=parts,
+        rejects=page_source.rejected_values(
+            taken_pages(landed, store.meta(f"last_sync:{name}"), full), page_source.parse_schema(landed.schema_doc),
+            cfg.include_columns, cfg.exclude_columns, cfg.files_handling,
+        ).withColumn("detected_at", F.lit(run_ts)),
         comments=comments,
         registries=registries,
         messages=messages,
@@ -243,9 +258,9 @@ def _compared(
     )
 
 
-def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncResult:
-    """One run: plan, then publish pages, history, comments, registries and the watermark
-    in one commit. ``run_ts`` is the moment before the pages were landed."""
+def sync_database(store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncResult:
+    """One run: plan, then publish pages, history, comments, unread values, registries and
+    the watermark together. ``run_ts`` is the moment before the pages were landed."""
     start = time.monotonic()
     plan = plan_sync(store, cfg, landed, run_ts, full)
     name = cfg.name
@@ -263,12 +278,13 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
         else:
             append[f"{name}_pages"] = plan.pages
             retire[f"{name}_pages"] = in_buckets(plan.buckets)
+        append[f"{name}_rejects"] = observed("rejects", plan.rejects)
         records = []
         if plan.new_changes is not None:
             records.append(observed("changes", plan.new_changes))
         if plan.rewritten_changes is not None:
             records.append(plan.rewritten_changes)
-            retire[f"{name}_changes"] = in_segments(plan.rewritten_segments)
+            retire[f"{name}_changes"] = in_parts(plan.rewritten_parts)
         if records:
             append[f"{name}_changes"] = _dated(reduce(DataFrame.unionByName, records))
         if plan.comments is not None:
@@ -289,6 +305,9 @@ def sync_database(store: Store, cfg: DatabaseConfig, landed: Landed, run_ts: str
             retire=retire,
         )
         result.pages = plan.batch.count()
+        result.rejected = seen["rejects"].get["n"]
+        if result.rejected:
+            result.messages.append(f"{result.rejected} values could not be read; see {name}_rejects")
         result.changes = seen["changes"].get["n"] if "changes" in seen else 0
         result.comments = seen["comments"].get["n"] if "comments" in seen else 0
     finally:
@@ -303,7 +322,7 @@ def _dated(changes: DataFrame) -> DataFrame:
 
 
 def sync_all(
-    store: Store, databases: Mapping[str, tuple[DatabaseConfig, Landed]], run_ts: str, full: bool = False
+    store: Tables, databases: Mapping[str, tuple[DatabaseConfig, Landed]], run_ts: str, full: bool = False
 ) -> dict[str, SyncResult | Exception]:
     """Every database in turn; one that fails keeps its old version and watermark and
     does not stop the others."""

@@ -9,9 +9,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 #: Runtime SQL settings the operators rely on. UTC fixes what a text date with an
-#: offset truncates to; the skew settings let AQE split what no operator salted.
+#: offset truncates to; the skew settings let AQE split what no operator salted. Timestamps are
+#: written in the form that has Parquet statistics, so scans by time skip row groups.
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

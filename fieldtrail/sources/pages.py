@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtrail.functions.canon import declared_type
+from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.functions.names import SKIPPED_TYPES, column_name
 
 
@@ -41,16 +42,41 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "raw")
 
 
+LANDED_SCHEMA = "raw string, last_edited_time timestamp, ingest_day date"
+
+
+def edit_time(raw: str = "raw") -> Column:
+    """The moment a page document was edited; NULL where it cannot be read."""
+    return to_timestamp(F.get_json_object(raw, "$.last_edited_time"))
+
+
+def land_pages(dump: DataFrame, path: str, ingest_day: str) -> None:
+    """O-S1: adds one dump (``raw``) to a typed landing: Parquet in a folder per ingest day (UTC, the day
+    the dump was taken), with the edit time as a column. Rows are ordered by it within each
+    task's file, so row groups span narrow times and a scan by time skips most of them.
+    A dump landed twice is a re-delivery, of which the sync takes the newest version."""
+    typed = dump.select("raw", edit_time().alias("last_edited_time"), F.lit(ingest_day).cast("date").alias("ingest_day"))
+    typed.sortWithinPartitions("last_edited_time").write.mode("append").partitionBy("ingest_day").parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """O-S1: a typed landing, for ``Landed.pages`` or ``edited_since``."""
+    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+
+
 def edited_since(pages: DataFrame, last_sync: str | None, overlap_seconds: int = 60, full: bool = False) -> DataFrame:
     """O-S2: pages edited since the last run, with an overlap for late edits. Without an
     earlier run, or for a full one, every page. A page without a readable time is taken in:
     whether it changed is for the comparison to tell. The column must be a timestamp, so
-    the comparison is by time and reaches the Parquet scan."""
+    the comparison is by time and reaches the Parquet scan. Of a typed landing, days before
+    the cutoff are not read at all: dumps taken on them were there for the last run."""
     if full or last_sync is None:
         return pages
     kind = dict(pages.dtypes)["last_edited_time"]
     cutoff = F.lit(last_sync).cast("timestamp").cast(kind) - F.expr(f"interval {overlap_seconds} seconds")
     edited = F.col("last_edited_time")
+    if "ingest_day" in pages.columns:
+        pages = pages.where(F.col("ingest_day") >= cutoff.cast("date"))
     return pages.where(edited.isNull() | (edited >= cutoff))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtrail.functions.canon import canonical_text
-from fieldtrail.sources.store import Store
+from fieldtrail.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 #: The kind of table that a publish of marts owns.
@@ -51,7 +51,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
     return True
 
 
-def export_csv(store: Store, table: str, csv_dir: str, single_file: bool = False) -> dict[str, bool]:
+def export_csv(store: Tables, table: str, csv_dir: str, single_file: bool = False) -> dict[str, bool]:
     """The pages, changes and comments of one database; missing tables are skipped."""
     known = set(store.tables())
     names = [f"{table}_{suffix}" for suffix in ("pages", "changes", "comments")]
@@ -86,7 +86,7 @@ def export_parquet(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, bo
 
 
 def publish_marts(
-    store: Store, marts: Mapping[str, DataFrame], checks: Iterable[DataFrame] = ()
+    store: Tables, marts: Mapping[str, DataFrame], checks: Iterable[DataFrame] = ()
 ) -> int:
     """O-K6, O-K7: run the checks, then replace the whole mart set in one commit. Marts
     that are no longer built vanish with the version that still held them; other tables of

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldtrail.functions.dates import to_timestamp
 from fieldtrail.operators import diff, skew, upsert
-from fieldtrail.sources.store import Store, in_buckets
+from fieldtrail.sources.tables import Tables, in_buckets
 
 
 def without_redeliveries(stream: DataFrame, key: str = "page_id", edited: str = "last_edited_time") -> DataFrame:
@@ -24,7 +24,7 @@ def _moment(c: Column) -> Column:
 
 
 def batch_writer(
-    store: Store,
+    store: Tables,
     table: str,
     run_ts: Callable[[DataFrame, int], str],
     order: Sequence[str] = ("last_edited_time",),
@@ -76,7 +76,7 @@ def run_available(
     stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     """O-T1: takes in everything landed since the last call and returns when done; the
-    checkpoint holds the position, the store the state."""
+    checkpoint holds the position, the tables the state."""
     query = (
         stream.writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)

@@ -11,13 +11,13 @@ from fieldtrail.operators import evolve, skew, upsert
 from fieldtrail.plans import sync
 from fieldtrail.session import scratch_dir
 from fieldtrail.sources import content, pages
-from fieldtrail.sources.store import Store
 from fieldtrail.workload import query
 from fieldtrail.workload.tables import (
     RUN_TS,
     TASK_CTES,
     changes_sql,
     iso,
+    scratch_tables,
     table,
     tasks_before,
     tasks_now,
@@ -442,7 +442,7 @@ def comment_upsert(spark, sf_dir):
 )
 def incremental_scan(spark, sf_dir):
     """O-S2, O-E10: the watermark is stored by one run and read by the next."""
-    store = Store(spark, scratch_dir(spark, "incremental"))
+    store = scratch_tables(spark, "incremental")
     store.publish(meta={"last_sync:events": "2024-01-15T00:00:00+00:00"})
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("last_edited_time"))
     return pages.edited_since(events, store.meta("last_sync:events"))
@@ -456,7 +456,7 @@ SELECT n.page_id, p.status, p.total_price FROM now_t n LEFT JOIN before_t p USIN
 )
 def snapshot_lookup(spark, sf_dir):
     """O-S7: stored rows of every id of the batch, NULL for unseen ones."""
-    store = Store(spark, scratch_dir(spark, "lookup"))
+    store = scratch_tables(spark, "lookup")
     store.publish(replace={"tasks_pages": tasks_before(spark, sf_dir)}, bucket_by={"tasks_pages": "page_id"})
     return store.pages_by_id("tasks", tasks_now(spark, sf_dir).select("page_id")).select("page_id", "status", "total_price")
 
@@ -483,7 +483,7 @@ def task_documents(tasks):
 
 def _synced(spark, sf_dir, full):
     """Two runs over one store: the earlier state, then the current one."""
-    store = Store(spark, scratch_dir(spark, "sync"))
+    store = scratch_tables(spark, "sync")
     cfg = sync.DatabaseConfig("tasks")
     first = sync.Landed(TASK_DOC, task_documents(tasks_before(spark, sf_dir)))
     second = sync.Landed(TASK_DOC, task_documents(tasks_now(spark, sf_dir)))
@@ -492,6 +492,52 @@ def _synced(spark, sf_dir, full):
     return store
 
 
+def _typed_landing(spark, label, **dumps):
+    """Dumps of documents landed as typed Parquet, a day each (``d2000_01_31``)."""
+    path = scratch_dir(spark, label)
+    for day, documents in dumps.items():
+        pages.land_pages(documents, path, day[1:].replace("_", "-"))
+    return pages.read_landed(spark, path)
+
+
+@query(
+    "landing_scan",
+    f"""WITH {TASK_CTES}
+SELECT page_id, last_edited_time, status, total_price FROM now_t WHERE last_edited_time >= '1999-12-31T23:59:00Z'""",
+)
+def landing_scan(spark, sf_dir):
+    """O-S1, O-S2: an incremental scan of a typed landing reads no dump of an earlier day, and of the
+    others only what was edited since the last run."""
+    landed = _typed_landing(
+        spark, "typed-landing", d1999_12_30=task_documents(tasks_before(spark, sf_dir)), d2024_02_01=task_documents(tasks_now(spark, sf_dir))
+    )
+    taken = sync.taken_pages(sync.Landed(TASK_DOC, landed), "2000-01-01T00:00:00+00:00", full=False)
+    flat = pages.flatten_pages(taken, pages.parse_schema(TASK_DOC))
+    return flat.select("page_id", "last_edited_time", "status", "total_price")
+
+
+@query(
+    "sync_rejects",
+    f"""WITH {TASK_CTES}
+SELECT page_id, 'Total Price' AS property, 'unpriced' AS value, '{RUN_TS}' AS detected_at
+FROM now_t WHERE is_urgent AND total_price IS NOT NULL AND last_edited_time >= '1999-12-31T23:59:00Z'""",
+)
+def sync_rejects(spark, sf_dir):
+    """O-P8, O-C9: an incremental run over a typed landing stores the values it could not read."""
+    tables, cfg = scratch_tables(spark, "sync-rejects"), sync.DatabaseConfig("tasks")
+    now = tasks_now(spark, sf_dir)
+    unpriced = now.where("is_urgent")
+    broken = task_documents(unpriced).select(F.regexp_replace("raw", '"number":[^}]*', '"number":"unpriced"').alias("raw"))
+    landed = _typed_landing(
+        spark, "rejects-landing", d1999_12_30=task_documents(tasks_before(spark, sf_dir)),
+        d2024_02_01=broken.unionAll(task_documents(now.where("NOT is_urgent OR is_urgent IS NULL"))),
+    )
+    first = sync.Landed(TASK_DOC, landed.where("ingest_day < DATE '2000-01-01'"))
+    sync.sync_database(tables, cfg, first, "2000-01-01T00:00:00+00:00")
+    sync.sync_database(tables, cfg, sync.Landed(TASK_DOC, landed), RUN_TS)
+    return tables.read("tasks_rejects")
+
+
 @query("sync_batch", f"WITH {TASK_CTES}\n{changes_sql()}")
 def sync_batch(spark, sf_dir):
     """O-C9, O-A4, O-E1, O-E10, O-E14, O-K1, O-K2, O-S7: the records of a second, full run."""
@@ -518,7 +564,7 @@ def sync_incremental(spark, sf_dir):
 @query("sync_empty", f"WITH {TASK_CTES}, none_t AS (SELECT * FROM before_t WHERE false)\n{changes_sql(before='none_t')}")
 def sync_empty(spark, sf_dir):
     """O-C9, O-E14: a first run without pages, then the records of one with all of them."""
-    store, cfg = Store(spark, scratch_dir(spark, "sync-empty")), sync.DatabaseConfig("tasks")
+    store, cfg = scratch_tables(spark, "sync-empty"), sync.DatabaseConfig("tasks")
     documents = task_documents(tasks_now(spark, sf_dir))
     sync.sync_database(store, cfg, sync.Landed(TASK_DOC, documents.where("false")), "2000-01-01T00:00:00+00:00")
     sync.sync_database(store, cfg, sync.Landed(TASK_DOC, documents), RUN_TS, full=True)
@@ -532,7 +578,7 @@ SELECT * REPLACE (CAST(is_urgent AS INTEGER) AS is_urgent), CAST(NULL AS VARCHAR
 )
 def sync_late(spark, sf_dir):
     """O-C9, O-K1: a full run that delivers older versions again changes no page."""
-    store, cfg = Store(spark, scratch_dir(spark, "sync-late")), sync.DatabaseConfig("tasks")
+    store, cfg = scratch_tables(spark, "sync-late"), sync.DatabaseConfig("tasks")
     older = tasks_before(spark, sf_dir).withColumn("last_edited_time", F.col("created_time"))
     sync.sync_database(store, cfg, sync.Landed(TASK_DOC, task_documents(tasks_now(spark, sf_dir))), "2000-01-01T00:00:00+00:00")
     sync.sync_database(store, cfg, sync.Landed(TASK_DOC, task_documents(older)), RUN_TS, full=True)

@@ -8,12 +8,11 @@ from fieldtrail.operators import quality
 from fieldtrail.plans import marts
 from fieldtrail.session import scratch_dir
 from fieldtrail.sources import sinks
-from fieldtrail.sources.store import Store
 from fieldtrail.streaming import changes as stream
 from fieldtrail.workload import query
 from fieldtrail.workload.analytics import ORDER, intervals, status_changes
 from fieldtrail.workload.changes import task_changes
-from fieldtrail.workload.tables import EVENT_LOG_CTE, OPEN_STATUSES, TASK_CTES, changes_sql, table, tasks_now
+from fieldtrail.workload.tables import EVENT_LOG_CTE, OPEN_STATUSES, TASK_CTES, changes_sql, scratch_tables, table, tasks_now
 
 _OPEN = "('" + "', '".join(OPEN_STATUSES) + "')"
 
@@ -25,7 +24,7 @@ _OPEN = "('" + "', '".join(OPEN_STATUSES) + "')"
 )
 def csv_export(spark, sf_dir):
     """O-K4: quotes, commas, line ends within values and NULLs survive the file."""
-    store = Store(spark, scratch_dir(spark, "csv-store"))
+    store = scratch_tables(spark, "csv-store")
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("page_id"),
         F.col("turn").cast("string").alias("position"),
@@ -67,7 +66,7 @@ def parquet_publish(spark, sf_dir):
 def gated_publish(spark, sf_dir):
     """O-K6, O-K7: failing checks keep the old version; a good publish drops stale marts
     and no other table."""
-    store = Store(spark, scratch_dir(spark, "gated"))
+    store = scratch_tables(spark, "gated")
     store.publish(replace={"fct_stale": table(spark, sf_dir, "nation")}, kind=sinks.MART)
     store.publish(replace={"raw_pages": table(spark, sf_dir, "region")})
     built = _marts(spark, sf_dir)
@@ -94,7 +93,7 @@ FROM now_t n JOIN c USING (page_id) WHERE c.old_value IS NOT NULL GROUP BY n.sta
 )
 def adhoc_sql(spark, sf_dir):
     """O-S6, O-S8: SQL over the views of the published tables."""
-    store = Store(spark, scratch_dir(spark, "views"))
+    store = scratch_tables(spark, "views")
     store.publish(replace={"tasks_pages": tasks_now(spark, sf_dir)}, append={"tasks_changes": task_changes(spark, sf_dir)})
     store.register_views()
     return spark.sql(
@@ -128,7 +127,7 @@ def stream_changes(spark, sf_dir):
     """O-T1: three deliveries, each taken in by a stream that resumes from its checkpoint;
     a page's newest version per delivery is compared with the stored one."""
     landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-checkpoint")
-    store = Store(spark, scratch_dir(spark, "stream-store"))
+    store = scratch_tables(spark, "stream-store")
     rows = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("page_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("last_edited_time"),
@@ -166,7 +165,7 @@ def stream_late(spark, sf_dir):
     """O-T1, O-T2: the later half of the edits is delivered first; older versions do not win. Half of the
     edits spell their moment with an offset, so their text says five hours more."""
     landing, checkpoint = scratch_dir(spark, "late"), scratch_dir(spark, "late-checkpoint")
-    store = Store(spark, scratch_dir(spark, "late-store"))
+    store = scratch_tables(spark, "late-store")
     rows = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("page_id"), _two_spellings(F.col("ts"), F.col("value") > 50).alias("last_edited_time"),
         "event_id", F.col("event_type").alias("status"), "ts",

@@ -6,9 +6,14 @@ Every ``*_SQL`` text below defines what the function beside it returns.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtrail.session import scratch_dir
+from fieldtrail.sources.tables import Tables
+
 RUN_TS = "2024-02-01T00:00:00+00:00"
 #: Orders placed before this day were known to the previous run.
 KNOWN_BEFORE = "2000-01-01"
@@ -18,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_tables(spark: SparkSession, label: str) -> Tables:
+    """Tables of a database of its own, in the shared scratch folder."""
+    path = scratch_dir(spark, label)
+    return Tables(spark, re.sub(r"\W", "_", path.rsplit("/", 1)[-1]), path)
+
+
 def iso(ts: Column) -> Column:
     """Timestamp as UTC ISO text."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -1,17 +1,24 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from fieldtrail.operators import quality
 from fieldtrail.plans import staging, sync
+from fieldtrail.sources import pages as page_source
 from fieldtrail.sources import sinks
-from fieldtrail.sources import store as store_module
-from fieldtrail.sources.store import Store
+from fieldtrail.sources import tables as tables_module
+from fieldtrail.sources.tables import Tables
 from fieldtrail.streaming import changes as stream
 from tests.conftest import rows
 
 
+def Store(spark, path):  # noqa: N802
+    """The tables of a database of its own per folder."""
+    return Tables(spark, re.sub(r"\W", "_", path), path)
+
+
 def doc(**types):
     return json.dumps({"properties": {n: {"id": f"id_{n}", "type": t, t: {}} for n, t in types.items()}})
 
@@ -139,6 +146,12 @@ def test_exports_and_gate(spark, tmp_path):
     assert sinks.export_parquet({"bad": broken, "ok": ok}, str(tmp_path / "out")) == {"bad": False, "ok": True}
     checks = quality.check_model("m", ok, {"k": ("not_null", "unique")})
     assert rows(checks) == [("m", "k", "not_null", 1), ("m", "k", "unique", 1)]
+    several = spark.range(4).select("id", (F.col("id") % 2).alias("half"), F.when(F.col("id") > 2, F.col("id")).alias("few")).repartition(2)
+    several.write.parquet(str(tmp_path / "several"))
+    both = quality.check_model("s", spark.read.parquet(str(tmp_path / "several")), {"id": ("unique",), "half": ("unique",), "few": ("not_null", "unique")})
+    assert rows(both.select("column", "test", "failures")) == [("few", "not_null", 3), ("few", "unique", 0), ("half", "unique", 2), ("id", "unique", 0)]
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
     store = Store(spark, str(tmp_path / "store"))
     with pytest.raises(sinks.QualityError, match="m.k not_null: 1"):
         sinks.publish_marts(store, {"ok": ok}, [checks])
@@ -168,7 +181,7 @@ def test_a_replayed_stream_batch_is_taken_once(spark, tmp_path):
 
 
 def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 10)
     store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
     schema = doc(Status="select")
     everything = [page(f"p{i}", RUNS[0], Status=select("Open")) for i in range(60)]
@@ -181,13 +194,13 @@ def test_an_incremental_run_rewrites_only_its_buckets(spark, tmp_path, monkeypat
     sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[0])
     sync.sync_database(store, cfg, landed(spark, schema, *everything, comments=said), RUNS[1], full=True)
     assert store.buckets("t_pages") == store.buckets("t_comments") == 6
-    before = {f.path for f in store._manifest().tables["t_pages"].folders}
+    before = set(store.parts("t_pages"))
     out = sync.sync_database(
         store, cfg, landed(spark, schema, page("p7", RUNS[2], Status=select("Done"), Extra={}), comments=comments(["p7", "p8"], "2")), RUNS[2]
     )
     texts = {r.comment_id: r.text for r in store.read("t_comments").collect()}
     assert len(texts) == 60 and texts["c-p7"] == "2" and texts["c-p8"] == "1" and out.comments == 1
-    after = {f.path for f in store._manifest().tables["t_pages"].folders}
+    after = set(store.parts("t_pages"))
     assert out.changes == 1 and len(before - after) == 1 and len(after - before) == 1
     got = {r.page_id: r.status for r in store.read("t_pages").collect()}
     assert len(got) == 60 and got["p7"] == "Done" and got["p8"] == "Open"
@@ -205,9 +218,9 @@ def test_an_empty_first_run_leaves_a_usable_database(spark, tmp_path):
     again = Store(spark, str(tmp_path))
     assert again.read("t_changes").count() == again.read("t_pages").count() == 0
     assert sync.sync_database(again, cfg, landed(spark, schema, page("a", RUNS[1], Status=select("Open"))), RUNS[1]).changes > 0
-    folders = len(again._manifest().tables["t_changes"].folders)
+    parts = again.parts("t_changes")
     sync.sync_database(again, cfg, landed(spark, schema), RUNS[2])
-    assert len(again._manifest().tables["t_changes"].folders) == folders  # a run without changes adds none
+    assert again.parts("t_changes") == parts  # a run without changes adds none
     assert rows(Store(spark, str(tmp_path)).read("t_pages").select("page_id", "status")) == [("a", "Open")]
 
 
@@ -216,7 +229,7 @@ def test_the_second_of_two_writers_fails(spark, tmp_path):
     data = spark.range(3).withColumnRenamed("id", "n")
     assert one.tables() == two.tables() == []
     one.publish(replace={"x": data})
-    with pytest.raises(store_module.ConflictError):
+    with pytest.raises(tables_module.ConflictError):
         two.publish(replace={"x": data})
     assert Store(spark, str(tmp_path)).read("x").count() == 3
     two.refresh()
@@ -224,7 +237,7 @@ def test_the_second_of_two_writers_fails(spark, tmp_path):
 
 
 def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 10)
     store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
     seen = []
     for i, run in enumerate(RUNS):
@@ -234,13 +247,76 @@ def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
     assert seen[-1] >= 9 and store.read("t_pages").count() == 300 == store.read("t_pages").select("page_id").distinct().count()
 
 
-def test_appended_folders_are_merged(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "FAN", 3)
+def test_small_parts_are_joined_and_tables_no_longer_named_dropped(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    for i in range(10):
-        store.publish(append={"x": spark.createDataFrame([(i, f"d{i % 2}")], "n int, day string")}, partition_by={"x": ["day"]})
-    assert len(store._manifest().tables["x"].folders) <= 4
-    assert rows(Store(spark, str(tmp_path)).read("x").select("n", "day")) == sorted(((i, f"d{i % 2}") for i in range(10)), key=str)
+    store.publish(append={"x": spark.range(5).select(F.col("id").cast("int").alias("n"), F.lit("d9").alias("day"))}, partition_by={"x": ["day"]})
+    large = store.parts("x")
+    for i in range(4):
+        store.publish(append={"x": spark.createDataFrame([(i, f"d{i % 2}")], "n int, day string")})
+    before = rows(store.read("x"))
+    assert len(store.parts("x")) == 5 and store.compact("x", below_rows=3) == 4
+    assert len(store.parts("x")) == 2 and set(large) < set(store.parts("x")) and store.compact("x", below_rows=3) == 0
+    assert rows(Store(spark, str(tmp_path)).read("x")) == before and len(before) == 9
+    assert store.vacuum() == []
+    store.publish(replace={"x": spark.range(3)})
+    assert len(store.vacuum()) == 1 and store.read("x").count() == 3
+
+
+def test_a_failed_run_leaves_readers_and_the_next_run_on_the_old_state(spark, tmp_path, monkeypatch):
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    sync.sync_database(store, cfg, landed(spark, schema, page("a", RUNS[0], Status=select("Open"))), RUNS[0])
+    before = {n: rows(store.read(n)) for n in store.tables()}
+    second = landed(spark, schema, page("a", RUNS[1], Status=select("Done")), page("b", RUNS[1], Status=select("New")))
+    with monkeypatch.context() as m:  # everything is written but the run's own rows
+
+        def lost(*_):
+            raise OSError("lost")
+
+        m.setattr(Tables, "_finish", lost)
+        with pytest.raises(OSError):
+            sync.sync_database(store, cfg, second, RUNS[1])
+    again = Store(spark, str(tmp_path))
+    assert {n: rows(again.read(n)) for n in again.tables()} == before and again.meta("last_sync:t") == RUNS[0]
+    assert sync.sync_database(again, cfg, second, RUNS[1]).pages == 2
+    assert [r for r in log_of(again, RUNS[0]) if r[1] == "status"] == [("a", "status", "Open", "Done"), ("b", "status", None, "New")]
+    assert rows(again.read("t_pages").select("page_id", "status")) == [("a", "Done"), ("b", "New")]
+
+
+def test_reading_some_buckets_prunes_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 10)
+    store, key = Store(spark, str(tmp_path)), {"x_pages": "page_id"}
+    data = spark.range(60).select(F.col("id").cast("string").alias("page_id"))
+    for _ in range(2):
+        store.publish(replace={"x_pages": data}, bucket_by=key)
+    some = store.read_buckets("x_pages", [0, 3])
+    plan = some._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "_part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(some.inputFiles()) == 2 and 0 < some.count() < 60
+
+
+def test_a_typed_landing_is_pruned_by_day_and_edit_time(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    store, cfg, schema = Store(spark, str(tmp_path / "db")), sync.DatabaseConfig("t"), doc(Status="select", Points="number")
+
+    def dump(day, *lines):
+        page_source.land_pages(spark.createDataFrame([(x,) for x in lines], "raw string").coalesce(1), landing, day)
+
+    early = "2026-01-30T00:00:00Z"
+    dump("2026-01-30", page("a", early, Status=select("Open")), page("b", early, Status=select("Open")))
+    first = sync.sync_database(store, cfg, sync.Landed(schema, page_source.read_landed(spark, landing)), RUNS[0])
+    dump("2026-02-02", page("a", "2026-02-01T05:00:00-08:00", Status=select("Done")), page("b", "2026-01-20T00:00:00Z", Status=select("Old")))
+    dump("2026-02-02", page("c", "no time", Status=select("New"), Points={"number": "many"}), "no json")
+    delivery = sync.Landed(schema, page_source.read_landed(spark, landing))
+    taken = sync.taken_pages(delivery, RUNS[0], full=False)
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_day" in plan and "GreaterThanOrEqual(last_edited_time" in plan
+    second = sync.sync_database(store, cfg, delivery, RUNS[1])
+    assert (first.pages, second.pages) == (2, 2) and first.rejected == 0
+    assert rows(store.read("t_pages").select("page_id", "status")) == [("a", "Done"), ("b", "Open"), ("c", "New")]
+    # Dumps of days before the last run are not even listed for the scan.
+    assert taken.inputFiles() and all("ingest_day=2026-02-02" in f for f in taken.inputFiles())
+    assert rows(store.read("t_rejects")) == [("c", "Points", "many", RUNS[1])] and second.rejected == 1
+    assert any("1 values could not be read" in m for m in second.messages)
 
 
 def test_an_append_with_another_type_is_refused(spark, tmp_path):
@@ -251,7 +327,7 @@ def test_an_append_with_another_type_is_refused(spark, tmp_path):
 
 
 def test_files_handling_can_change_on_a_table_in_buckets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 5)
     store, schema = Store(spark, str(tmp_path)), doc(Files="files")
     lines = [page(f"p{n}", RUNS[0], Files={"files": [{"name": "f", "file": {"url": "u"}}]}) for n in range(40)]
     for full in (False, True):
