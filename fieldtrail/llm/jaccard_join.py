@@ -370,7 +370,11 @@ def _bridges(members: DataFrame, labels: DataFrame, texts: DataFrame, tested: Da
 
 
 def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_key (a hash of the text), n_shingles and component_id of every row."""
+    """doc_id, text_key (a hash of the text), n_shingles, component_id and keeper of every row.
+
+    ``component_id`` and ``keeper`` are the doc_id and text_key of the component's first row: smallest id
+    (rows without one come last), then smallest text_key. They tell one row of a group from
+    the others also where ids repeat or are NULL."""
     workers_can_import(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     sets = stored(
@@ -396,11 +400,13 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     bridges = stored(_bridges(members, labels, texts, first, n, percent), "links")
     if bridges.limit(1).count():
         labels = components(links.union(bridges))
-    ids = sets.filter("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("own"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    ids = sets.filter("v IS NOT NULL").groupBy("v").agg(F.min(place).alias("own"))
     named = ids.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    smallest = named.groupBy("label").agg(F.min("own").alias("component_id"))
-    of_set = stored(named.join(smallest, "label").select("v", "component_id"), "components")
+    smallest = named.groupBy("label").agg(F.min("own").alias("first"))
+    first_row = [F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("keeper")]
+    of_set = stored(named.join(smallest, "label").select("v", *first_row), "components")
     linked_rows = sets.filter("v IS NOT NULL").join(of_set, "v")
-    alone = sets.filter("v IS NULL").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "text_key", "n_shingles", "component_id"]
+    alone = sets.filter("v IS NULL").withColumns({"component_id": F.col("doc_id"), "keeper": F.col("text_key")})
+    columns = ["doc_id", "text_key", "n_shingles", "component_id", "keeper"]
     return linked_rows.select(*columns).union(alone.select(*columns))

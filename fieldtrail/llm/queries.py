@@ -170,7 +170,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component under links of 90 % of three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_join.link_documents(docs, n=3, percent=90).drop("text_key")
+    return jaccard_join.link_documents(docs, n=3, percent=90).drop("text_key", "keeper")
 
 
 @query("op1_suffix_dedup")
