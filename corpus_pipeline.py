@@ -40,8 +40,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 80 % of five-word shingles: the one with the smallest id.
 
-    Rows alike in id and text are one document. Of a group without any id, all texts stay; of other
-    groups, those without an id go.
+    Rows alike in id and text are one document. Documents without an id come after those with one; where
+    ids do not tell the documents of a group apart, the one with the smallest hash of its text stays.
     """
     configure(spark)
     groups = stored(jaccard_join.link_documents(docs, n=5, percent=80), "groups")
@@ -49,7 +49,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if groups.filter("n_shingles > 0").groupBy(*key).count().filter("count > 1").limit(1).count():
         filled = F.col("text").isNotNull() & (F.col("text") != "")
         docs = docs.filter(filled).dropDuplicates(["doc_id", "text"]).union(docs.filter(~F.coalesce(filled, F.lit(False))))
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*key).distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keeper"))
+    gone = groups.filter(~stays).select(*key).distinct()
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
     return docs.join(gone, same, "left_anti").select(*docs.columns)
