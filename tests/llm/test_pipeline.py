@@ -59,6 +59,21 @@ def test_stages(spark, folder):
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in kept.collect()}
 
 
+def test_one_document_stays_where_ids_do_not_tell_them_apart(spark):
+    rng = random.Random(3)
+    drop = dict(corpus_pipeline.STAGES)["n-gram jaccard join"]
+    base = [sentence(rng, 80) for _ in range(4)]
+    rows = [(None, base[0]), (None, base[0] + " more"), (7, base[1]), (7, base[1] + " more"), (7, base[1])]
+    rows += [(None, base[2]), (9, base[2] + " more"), (None, base[3]), (None, None), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in drop(spark, docs, "").collect()]
+    of = lambda text: [(i, t) for i, t in kept if t and t.startswith(text)]
+    assert [len(of(b)) for b in base] == [1, 1, 1, 1]
+    assert of(base[0])[0][0] is None and of(base[1])[0][0] == 7 and of(base[2]) == [(9, base[2] + " more")]
+    assert kept.count((None, None)) == 2 and kept.count((7, "")) == 2 and len(kept) == 8
+    assert drop(spark, docs.limit(0), "").collect() == []
+
+
 def test_run(spark, folder):
     path, rows, _ = folder
     got = corpus_pipeline.run(spark, path).collect()
