@@ -357,6 +357,17 @@ def test_a_late_version_in_a_stream_does_not_win(spark, tmp_path):
     assert store.read("t_changes").where("page_id = 'a' AND old_value IS NOT NULL").count() == 0
 
 
+def test_kept_rows_of_a_stream_leave_the_initial_partitions(spark, tmp_path):
+    store, setting = Store(spark, str(tmp_path)), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    write = stream.batch_writer(store, "t", lambda batch, number: f"run-{number}")
+    spark.conf.set(setting, "60")
+    try:
+        write(spark.range(300).select(F.concat(F.lit("p"), "id").alias("page_id"), F.lit("2026-01-01").alias("last_edited_time")), 0)
+    finally:
+        spark.conf.unset(setting)
+    assert store.read("t_pages").count() == 300 and len(store.read("t_pages").inputFiles()) <= 10
+
+
 def test_a_run_without_renamed_options_reads_no_history(spark, tmp_path):
     store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
     schema = json.dumps({"properties": {"Status": {"id": "s", "type": "select", "select": {"options": [{"id": "o_Open", "name": "Open"}]}}}})
