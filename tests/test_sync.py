@@ -368,6 +368,24 @@ def test_kept_rows_of_a_stream_leave_the_initial_partitions(spark, tmp_path):
     assert store.read("t_pages").count() == 300 and len(store.read("t_pages").inputFiles()) <= 10
 
 
+def test_buckets_that_meet_in_a_partition_are_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 1_000)
+    store, sizes = Store(spark, str(tmp_path)), {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    keyed = spark.range(0, 8_000, numPartitions=8).select(F.sha2(F.col("id").cast("string"), 512).alias("page_id"))
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        for _ in range(2):
+            store.publish(replace={"t_pages": keyed}, bucket_by={"t_pages": "page_id"})
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    written = spark.read.parquet(*store.read("t_pages").inputFiles()).groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).count()
+    assert store.buckets("t_pages") == 8 and written.agg(F.sum("count")).first()[0] == 8_000
+    # No task writes the rows of two buckets, though the eight hash to fewer partitions.
+    assert written.agg(F.max("count")).first()[0] <= 1_300
+
+
 def test_a_run_without_renamed_options_reads_no_history(spark, tmp_path):
     store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
     schema = json.dumps({"properties": {"Status": {"id": "s", "type": "select", "select": {"options": [{"id": "o_Open", "name": "Open"}]}}}})
