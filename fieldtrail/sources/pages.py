@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -266,7 +267,13 @@ def rejected_values(
     props = projected(schema, include, exclude)
     if not props:
         return pages.sparkSession.createDataFrame([], "page_id string, property string, value string")
-    given = F.from_json(F.col(raw), "properties map<string, map<string, string>>").getField("properties")
+    parsed = pages.select(raw, F.from_json(F.col(raw), page_shape(props)).alias("_page"))
+    unread = {prop.name: _property_columns(prop, files_handling)[0].isNull() for prop in props}
+    # Most pages have every value read; the texts as given are looked up in the others only.
+    given = F.when(
+        reduce(Column.__or__, unread.values()),
+        F.from_json(F.col(raw), "properties map<string, map<string, string>>").getField("properties"),
+    )
     entries = []
     for prop in props:
         value = F.col("_given")[F.lit(prop.name)][F.lit(prop.type)]
@@ -275,15 +282,14 @@ def rejected_values(
             empty = empty | value.rlike(r'"start":\s*null')
         if prop.type in ("formula", "rollup"):
             empty = empty | ~value.rlike(r'"(string|number|boolean|date|array)":\s*[^n\s]')
-        unread = _property_columns(prop, files_handling)[0].isNull()
         entries.append(
             F.when(
-                value.isNotNull() & ~empty & unread,
+                value.isNotNull() & ~empty & unread[prop.name],
                 F.struct(F.lit(prop.name).alias("property"), value.alias("value")),
             )
         )
     return (
-        pages.select(F.from_json(F.col(raw), page_shape(props)).alias("_page"), given.alias("_given"))
+        parsed.select("_page", given.alias("_given"))
         .select(F.col("_page.id").alias("page_id"), F.inline(F.array(*entries)))
         .where(F.col("property").isNotNull())
     )

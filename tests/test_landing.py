@@ -130,3 +130,10 @@ def test_comments(spark):
     doc = {"page_id": "p", "results": [{"id": "c1", "created_time": "t", "last_edited_time": "u", "rich_text": [{"plain_text": "a"}, {"plain_text": "b"}]}]}
     df = spark.createDataFrame([(json.dumps(doc),), ('{"page_id": "q", "results": []}',)], "raw string")
     assert rows(content.comment_rows(df)) == [("c1", "p", "t", "u", "ab")]
+
+
+def test_given_values_are_looked_up_only_beside_unread_ones(spark):
+    found = pages.rejected_values(landed(spark, full=FULL, broken=BROKEN), pages.parse_schema(DOC))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    by_text = [line.split("from_json(StructField(properties,MapType")[0] for line in plan.splitlines() if "MapType" in line]
+    assert len(by_text) == 1 and by_text[0].rstrip().endswith("THEN") and "CASE WHEN" in by_text[0]
