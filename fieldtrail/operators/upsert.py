@@ -33,23 +33,33 @@ def aligned_types(prev: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def not_older(
-    batch: DataFrame, prev: DataFrame, key: str, order: Sequence[Callable[[Column], Column]], columns: Sequence[str], batch_is_small: bool = False
+    batch: DataFrame, prev: DataFrame, key: str, order: Sequence[Callable[[Column], Column]], columns: Sequence[str],
+    batch_is_small: bool = False, unread_as_given: bool = False,
 ) -> DataFrame:
     """The batch without rows older than the stored version of their key, so that a late or
     repeated delivery never wins. ``order`` reads a rank from each of ``columns``; a row whose
-    first rank is NULL on either side stays."""
+    first rank is NULL on either side stays. With ``unread_as_given`` two given values that both cannot
+    be read are compared as ``latest_per_key`` does: by the other ranks, then as text."""
     have = [c for c in columns if c in prev.columns]
     if len(have) < len(columns):
         return batch
 
+    first = columns[0]
+
+    def unread(of: str) -> Column:
+        return order[0](F.col(f"{of}{first}")).isNull()
+
     def rank(of: str) -> Column:
-        return F.struct(*[read(F.col(f"{of}{c}")).alias(c) for read, c in zip(order, columns)])
+        ranks = [read(F.col(f"{of}{c}")).alias(c) for read, c in zip(order, columns)]
+        given = F.when(unread(of), F.col(f"{of}{first}").cast("string")).alias("_given")
+        return F.struct(*ranks, *([given] if unread_as_given else []))
 
     stored = prev.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_stored_{c}") for c in columns])
     if batch_is_small:
         stored = stored.join(F.broadcast(batch.select(F.col(key).alias("_key"))), "_key", "left_semi")
-    first = columns[0]
-    unknown = order[0](F.col(f"_stored_{first}")).isNull() | order[0](F.col(first)).isNull()
+    unknown = unread("_stored_") | unread("")
+    if unread_as_given:
+        unknown &= ~(unread("_stored_") & unread("") & F.col(f"_stored_{first}").isNotNull() & F.col(first).isNotNull())
     joined = batch.join(stored, F.col(key) == F.col("_key"), "left")
     return joined.where(F.col("_key").isNull() | unknown | (rank("") >= rank("_stored_"))).select(*batch.columns)
 

@@ -34,8 +34,8 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: newest version per page, compared with the stored
     pages, both published in one commit with the batch number. Text in the ``moments`` columns of
-    ``order`` is compared as the moment it names, whatever its offset. A version older than the stored
-    one of its page is passed over. A batch that is replayed
+    ``order`` is compared as the moment it names, whatever its offset; two that name none are compared as
+    text. A version older than the stored one of its page is passed over. A batch that is replayed
     after a failure finds its number published and does nothing, so the history gets
     every record once."""
 
@@ -54,7 +54,7 @@ def batch_writer(
             now = run_ts(latest, number)
             buckets = store.touched_buckets(f"{table}_pages", latest, "page_id")
             stored = store.read_buckets(f"{table}_pages", buckets)
-            latest = upsert.not_older(latest, stored, "page_id", reads, list(order), small)
+            latest = upsert.not_older(latest, stored, "page_id", reads, list(order), small, unread_as_given=True)
             changes = diff.detect_changes(latest, stored, now, change_fields, exclude_change_fields, small)
             pages = {f"{table}_pages": upsert.upsert(stored, latest, batch_is_small=small)}
             records = {f"{table}_changes": changes.withColumn("detected_date", F.substring("detected_at", 1, 10))}

@@ -357,6 +357,22 @@ def test_a_late_version_in_a_stream_does_not_win(spark, tmp_path):
     assert store.read("t_changes").where("page_id = 'a' AND old_value IS NOT NULL").count() == 0
 
 
+def test_a_stream_compares_unreadable_edit_times_as_its_batches_do(spark, tmp_path):
+    shape = "page_id string, last_edited_time string, event_id long, status string"
+    east = "2026-01-01T05:00:00+05:00"  # the moment of a and b, in other text
+    first = [("a", "2026-01-01T00:00:00Z", 1, "new"), ("b", "2026-01-01T00:00:00Z", 2, "new"), ("c", "x", 2, "new"), ("d", "y", 1, "new"), ("e", None, 2, "old"), ("f", "x", 2, "old")]
+    later = [("a", east, 0, "old"), ("b", east, 2, "again"), ("c", "y", 1, "old"), ("d", "x", 1, "old"), ("e", "x", 1, "again"), ("f", "2026-01-01", 1, "again")]
+    store = Store(spark, str(tmp_path))
+    write = stream.batch_writer(store, "t", lambda batch, number: f"run-{number}", ["last_edited_time", "event_id"], ["status"])
+    for number, batch in enumerate((first, later)):
+        write(spark.createDataFrame(batch, shape), number)
+    kept = dict(rows(store.read("t_pages").select("page_id", "status")))
+    assert kept == {"a": "new", "b": "again", "c": "new", "d": "new", "e": "again", "f": "again"}
+    together = Store(spark, str(tmp_path / "together"))
+    stream.batch_writer(together, "t", lambda batch, number: "run", ["last_edited_time", "event_id"])(spark.createDataFrame(first[2:4] + later[2:4], shape), 0)
+    assert rows(together.read("t_pages").select("page_id", "status")) == [("c", "new"), ("d", "new")]
+
+
 def test_kept_rows_of_a_stream_leave_the_initial_partitions(spark, tmp_path):
     store, setting = Store(spark, str(tmp_path)), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     write = stream.batch_writer(store, "t", lambda batch, number: f"run-{number}")
