@@ -65,8 +65,10 @@ class SyncResult:
 @dataclass
 class SyncPlan:
     """The lazy outcome of a run; publishing it is the only side effect there is. The flat
-    rows it was made from are kept until ``close``, also by a dry run."""
+    rows it was made from are staged until ``close``, also by a dry run."""
 
+    store: Tables
+    staged: str
     delivered: DataFrame
     #: The delivered rows that are not older than the stored ones.
     batch: DataFrame
@@ -87,7 +89,7 @@ class SyncPlan:
     renamed_options: bool = False
 
     def close(self) -> None:
-        self.delivered.unpersist()
+        self.store.unstage(self.staged)
 
     def __enter__(self) -> SyncPlan:
         return self
@@ -127,7 +129,7 @@ def flatten_batch(landed: Landed, cfg: DatabaseConfig, last_sync: str | None, fu
 
 
 def plan_sync(store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool = False) -> SyncPlan:
-    """Evolve, read, flatten, compare and upsert one database; nothing is written."""
+    """Evolve, read, flatten, compare and upsert one database; nothing is published."""
     spark, name = store.spark, cfg.name
     pages = store.read(f"{name}_pages")
     # The name a record had is kept beside it, to see which parts a rename reaches.
@@ -170,21 +172,21 @@ def plan_sync(store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, f
         own = spark.createDataFrame(rows, BACKUP_REGISTRY)
         registries["_backups"] = all_backups.where(F.col("table_name") != name).unionByName(own)
 
-    delivered = flatten_batch(landed, cfg, store.meta(f"last_sync:{name}"), full).persist()
+    staged = store.stage(f"{name}_delivered", flatten_batch(landed, cfg, store.meta(f"last_sync:{name}"), full))
     try:
-        return _compared(store, cfg, landed, run_ts, full, delivered, pages, changes, registries, messages, reshaped, fields_moved)
+        return _compared(store, cfg, landed, run_ts, full, staged, pages, changes, registries, messages, reshaped, fields_moved)
     except Exception:
-        delivered.unpersist()
+        store.unstage(staged)
         raise
 
 
 def _compared(
-    store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool, delivered: DataFrame, pages: DataFrame,
+    store: Tables, cfg: DatabaseConfig, landed: Landed, run_ts: str, full: bool, staged: str, pages: DataFrame,
     changes: DataFrame, registries: dict[str, DataFrame], messages: list[str], reshaped: bool,
     fields_moved: bool,
 ) -> SyncPlan:
     """The part of a plan that reads pages."""
-    name = cfg.name
+    name, delivered = cfg.name, store.staged(staged)
     small = skew.fits_broadcast(delivered.select("page_id"))
     unreadable = delivered.where(to_timestamp(F.col("last_edited_time")).isNull()).limit(1000).count()
     if unreadable:
@@ -239,6 +241,8 @@ def _compared(
             rows = rows.join(batch.select("page_id"), "page_id", "left_semi")
         comments = rows
     return SyncPlan(
+        store=store,
+        staged=staged,
         delivered=delivered,
         batch=batch,
         renamed_options=renamed_options,

@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 #: Runtime SQL settings the operators rely on. UTC fixes what a text date with an
 #: offset truncates to; the skew settings let AQE split what no operator salted. Timestamps are
 #: written in the form that has Parquet statistics, so scans by time skip row groups. Rows that are kept
-#: may leave their shuffle in fewer partitions than it began with, like those of any other plan.
+#: may leave their shuffle in fewer partitions than it began with, like those of any other plan. On disk,
+#: the shuffle files of a finished query go at once instead of with the driver's next garbage collection, and a
+#: task that writes into a few partition folders keeps a file open in each instead of sorting its rows by folder.
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -20,6 +22,8 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 #: Set only where the session leaves them open. Many small shuffle partitions, which the adaptive
 #: planner joins up to the advisory size, serve small and large inputs alike; a local session

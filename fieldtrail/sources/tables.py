@@ -53,8 +53,10 @@ _EMPTY = {"_schema": SCHEMA_REGISTRY, "_options": OPTION_REGISTRY, "_backups": B
 _SUFFIXES = {
     "_pages": PAGES_SCHEMA, "_changes": CHANGES_SCHEMA, "_comments": COMMENTS_SCHEMA, "_rejects": REJECTS_SCHEMA,
 }
-#: Tables of one run written at the same time.
+#: Tables of one run written at the same time; those that held more than a bucket before take turns.
 WRITERS = 4
+#: Half a history are the hex digits of its ids, which zstd packs into half their bytes and Spark's default does not.
+CODEC = "zstd"
 #: Rows a bucket of a keyed table should hold; a run writes a table anew once its buckets
 #: hold twice as many.
 BUCKET_ROWS = 2_000_000
@@ -273,9 +275,13 @@ class Tables:
                 entry = Entry(kind, columns, self._data_table(name, known, columns, layout), layout, key, buckets)
             return changed(entry, parts={**entry.parts, **self._append(fresh[name], entry, run)})
 
-        # The tables do not depend on each other, so small ones fill the gaps of large ones.
+        # The tables do not depend on each other, so small ones fill the gaps of large ones. Those come one
+        # by one: the shuffle files of the one before are gone then.
+        large = [n for n in fresh if n in before.tables and before.tables[n].rows > BUCKET_ROWS]
+        turns = [large, *([n] for n in fresh if n not in large)]
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-            written = dict(zip(fresh, pool.map(write, fresh)))
+            done = pool.map(lambda names: {n: write(n) for n in names}, turns)
+            written = {n: entry for turn in done for n, entry in turn.items()}
         after = State(
             before.version + 1,
             {**{n: t for n, t in before.tables.items() if n not in drop}, **written},
@@ -305,7 +311,7 @@ class Tables:
             # Buckets meet by chance in a few of so few hash partitions; rebalancing splits what is too large.
             df = df.hint("rebalance", PART)
         if not self.spark.catalog.tableExists(where):
-            df.write.format("parquet").partitionBy(PART, *entry.partition_by).saveAsTable(where)
+            df.write.format("parquet").option("compression", CODEC).partitionBy(PART, *entry.partition_by).saveAsTable(where)
         else:
             held = set(self.spark.table(where).columns)
             added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entry.columns if f.name not in held)
@@ -335,6 +341,22 @@ class Tables:
         df = self.spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1)
         df.write.format("parquet").mode("append").saveAsTable(self._at(RUNS))
 
+    # -- rows of a run in progress ---------------------------------------------------
+
+    def stage(self, name: str, df: DataFrame) -> str:
+        """Writes rows that a run reads several times as a Spark table of its own; returns its name. What an
+        executor keeps instead takes several times the space, and its shuffle files stay as long."""
+        table = f"stage_{re.sub(r'\W', '_', name, flags=re.ASCII).lower()}_{uuid.uuid4().hex[:8]}"
+        df.write.format("parquet").option("compression", CODEC).saveAsTable(self._at(table))
+        return table
+
+    def staged(self, table: str) -> DataFrame:
+        return self.spark.table(self._at(table))
+
+    def unstage(self, table: str) -> None:
+        """Drops staged rows; those of a run that did not come to it are dropped by ``vacuum``."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._at(table)}")
+
     # -- upkeep ----------------------------------------------------------------------
 
     def compact(self, name: str, below_rows: int = BUCKET_ROWS) -> int:

@@ -1,5 +1,7 @@
 import json
 import re
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -402,6 +404,75 @@ def test_buckets_that_meet_in_a_partition_are_split(spark, tmp_path, monkeypatch
     assert written.agg(F.max("count")).first()[0] <= 1_300
 
 
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+
+def staged_tables(store):
+    return [t.name for t in store.spark.catalog.listTables(store.database) if t.name.startswith("stage_")]
+
+
+def test_what_a_run_leaves_on_the_disk(spark, tmp_path):
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    spark._jvm.System.gc()  # what earlier tests left may go at any time, this run's must go by itself
+    time.sleep(1)
+    before = shuffle_files(spark)
+    for run in RUNS[:2]:
+        out = sync.sync_database(store, cfg, landed(spark, schema, *[page(f"{run}{i}", run, Status=select("Open")) for i in range(5_000)]), run)
+        assert (out.pages, out.changes) == (5_000, 15_000)
+    until = time.monotonic() + 10  # executors are told to drop the files, not waited for
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    # Rows are not sorted by the folder they go to, so none are spilled for that.
+    table = f"`{store.database}`.`{store._state().tables['t_changes'].data_table}`"
+    plan = spark.sql(f"EXPLAIN EXTENDED INSERT INTO {table} SELECT * FROM {table}").first()[0]
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort [" not in plan
+    # Half of an id's 64 hex digits are nothing but their spelling.
+    sizes = [Path(f.removeprefix("file:")).stat().st_size for f in store.read("t_changes").inputFiles()]
+    assert sum(sizes) < 50 * store.read("t_changes").count()
+    assert store.read("t_changes").select("id").distinct().count() == 30_000
+    assert store.read("t_changes").where("id <> sha2(concat_ws('|', page_id, field, detected_at), 256)").isEmpty()
+
+
+def test_staged_rows_go_with_their_run(spark, tmp_path, monkeypatch):
+    store, cfg, schema = Store(spark, str(tmp_path)), sync.DatabaseConfig("t"), doc(Status="select")
+    first = landed(spark, schema, page("a", RUNS[0], Status=select("Open")), page("a", RUNS[1], Status=select("Done")))
+    with sync.plan_sync(store, cfg, first, RUNS[0]) as plan:
+        assert rows(plan.delivered.select("page_id", "status")) == [("a", "Done")] and staged_tables(store) == [plan.staged]
+    assert staged_tables(store) == [] and store.vacuum() == []
+    with monkeypatch.context() as m:
+        m.setattr(page_source, "rejected_values", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            sync.plan_sync(store, cfg, first, RUNS[0])
+    assert staged_tables(store) == []
+    left = store.stage("t_delivered", first.pages)  # as of a run that was killed
+    assert store.vacuum() == [left] and staged_tables(store) == []
+
+
+def test_large_tables_are_written_one_by_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_module, "BUCKET_ROWS", 10)
+    store, large, small = Store(spark, str(tmp_path)), spark.range(50), spark.range(5)
+    busy, beside, write = set(), set(), Tables._append
+
+    def timed(self, df, entry, run):
+        beside.update(frozenset((entry.data_table[5:6], other)) for other in busy)
+        busy.add(entry.data_table[5:6])
+        time.sleep(0.5)
+        try:
+            return write(self, df, entry, run)
+        finally:
+            busy.discard(entry.data_table[5:6])
+
+    fresh = {"a": large, "b": large, "c": small, "d": small}
+    store.publish(replace=fresh)
+    monkeypatch.setattr(Tables, "_append", timed)
+    store.publish(append=fresh)
+    assert frozenset("ab") not in beside and frozenset("cd") in beside
+    assert [store.read(n).count() for n in "abcd"] == [100, 100, 10, 10]
+
+
 def test_a_run_without_renamed_options_reads_no_history(spark, tmp_path):
     store, cfg = Store(spark, str(tmp_path)), sync.DatabaseConfig("t")
     schema = json.dumps({"properties": {"Status": {"id": "s", "type": "select", "select": {"options": [{"id": "o_Open", "name": "Open"}]}}}})
